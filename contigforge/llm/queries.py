@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op7_bpe
 from .licenses import op5_licenses
 from .media import op1_media
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_media": op1_media, "op5_licenses": op5_licenses}
+    return {"op1_media": op1_media, "op5_licenses": op5_licenses, "op7_bpe": op7_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
