@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op7_bpe
 from .licenses import op5_licenses
+from .linededup import OP10_SQL, op10_lines
 from .media import op1_media
+from .packing import op9_packing
+from .tokenfiles import op2_tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_media": op1_media, "op5_licenses": op5_licenses, "op7_bpe": op7_bpe}
+    return {"op1_media": op1_media, "op2_tokens": op2_tokens, "op5_licenses": op5_licenses, "op7_bpe": op7_bpe, "op9_packing": op9_packing, "op10_lines": op10_lines}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_lines": OP10_SQL}
