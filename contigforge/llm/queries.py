@@ -11,11 +11,12 @@ from .licenses import op5_licenses
 from .linededup import OP10_SQL, op10_lines
 from .media import op1_media
 from .packing import op9_packing
+from .simhash import op8_simhash
 from .tokenfiles import op2_tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_media": op1_media, "op2_tokens": op2_tokens, "op5_licenses": op5_licenses, "op7_bpe": op7_bpe, "op9_packing": op9_packing, "op10_lines": op10_lines}
+    return {"op1_media": op1_media, "op2_tokens": op2_tokens, "op5_licenses": op5_licenses, "op7_bpe": op7_bpe, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_lines": op10_lines}
 
 
 def oracle_sql() -> dict[str, str]:
