@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op7_bpe
+from .fingerprints import op4_fingerprints
 from .licenses import op5_licenses
 from .linededup import OP10_SQL, op10_lines
 from .media import op1_media
@@ -16,7 +17,7 @@ from .tokenfiles import op2_tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_media": op1_media, "op2_tokens": op2_tokens, "op5_licenses": op5_licenses, "op7_bpe": op7_bpe, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_lines": op10_lines}
+    return {"op1_media": op1_media, "op2_tokens": op2_tokens, "op4_fingerprints": op4_fingerprints, "op5_licenses": op5_licenses, "op7_bpe": op7_bpe, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_lines": op10_lines}
 
 
 def oracle_sql() -> dict[str, str]:
