@@ -229,7 +229,8 @@ def _train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds
         bias_power += error.sum() ** 2
         w -= 0.3 * grad / np.sqrt(power)
         bias -= 0.3 * error.sum() / np.sqrt(bias_power)
-    return {BIAS: bias} | {int(k): float(x) for k, x, c in zip(names, w, chosen, strict=True) if c}
+    bias += np.log(max(bad, 0.5) / max(len(rows) - bad, 0.5))  # back from even classes to the sample's
+    return {BIAS: float(bias)} | {int(k): float(x) for k, x, c in zip(names, w, chosen, strict=True) if c}
 
 
 @dataclass
