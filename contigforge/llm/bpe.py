@@ -148,11 +148,13 @@ class ByteBpe:
 
         self.split = regex.compile(pattern).findall
         self.bpe = SegmentTreeBpe(read_ranks(path))
-        self.chunks = Chunks(self.whole, BYTE_LEVEL, self.parts)
+        self.chunks, self.next = Chunks(self.whole, BYTE_LEVEL, lambda p: self.next[p], self.prepare), {}
 
-    def parts(self, pieces: list[str]) -> list[bytes]:
-        ids = self.bpe.pieces(raw := [p.encode() for p in pieces])
-        return list(map(ids.__getitem__, raw))
+    def prepare(self, strings: list[str]) -> None:
+        """Merges, side by side, the pieces of a batch that are not remembered."""
+        new = list({p for s in set(strings) for p in BYTE_LEVEL(s) if p not in self.chunks.pieces})
+        ids = self.bpe.pieces(raw := [p.encode() for p in new])
+        self.next = dict(zip(new, map(ids.__getitem__, raw), strict=True))
 
     def whole(self, strings: list[str]) -> list[bytes]:
         split = [self.split(s) for s in strings]

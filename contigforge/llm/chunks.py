@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable
-from itertools import islice
 
 #: Characters whose class, case and normal form every Unicode version and library agrees on; white space is only " \t\n\r".
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-įı-ňŊ-ž]*")
@@ -23,52 +22,54 @@ BYTE_LEVEL = re.compile(rf" ?[{_L}]+|{_SHORT}| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\
 _WORD_LEVEL = re.compile(rf"[{_L}]+|{_SHORT}|[{_N}]|[^\s{_L}{_N}]+").findall
 
 #: Chunks, and pieces of them, that one worker remembers; one beyond is encoded each time it comes.
-REMEMBERED = 500_000
+REMEMBERED = 900_000
 
 
-class Known:
-    """A bounded memory of what an encoder gave for a string."""
+class Known(dict):
+    """A bounded memory of what an encoder gave for a string; a string that is not in it is encoded when it is asked for."""
 
-    def __init__(self, many: Callable[[list[str]], list[bytes]]):
-        self.many, self.known = many, {}
+    def __init__(self, one: Callable[[str], bytes]):
+        super().__init__()
+        self.one = one
+
+    def __missing__(self, string: str) -> bytes:
+        out = self.one(string)
+        if len(self) < REMEMBERED:
+            self[string] = out
+        return out
 
-    def all(self, strings: list[str]) -> list[bytes]:
-        got = list(map(self.known.get, strings))
-        if missing := list({c: None for c, g in zip(strings, got, strict=True) if g is None}):
-            new = dict(zip(missing, self.many(missing), strict=True))
-            got = [new[c] if g is None else g for c, g in zip(strings, got, strict=True)]
-            if len(self.known) + len(new) <= REMEMBERED:
-                self.known.update(new)
-        return got
+
+def is_plain(text: str) -> bool:
+    """Whether the text can be split at its spaces."""
+    if "  " in text or " \n" in text or "\n " in text:
+        return False
+    if text.isascii() and text.replace("\n", "").isprintable():
+        return True
+    return _PLAIN.fullmatch(text) is not None and not _SPACED.search(text)
 
 
 class Chunks:
     """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes.
 
-    whole: the encoder of any strings; split and pieces: for plain strings, their pieces and those pieces' encoder.
+    whole: the encoder of any strings; split and piece: for plain strings, their pieces and the encoder of one; ahead: told, before any is
+    asked for, the strings of a batch that are not remembered, for encoders that do many at once.
     """
 
-    def __init__(self, whole: Callable[[list[str]], list[bytes]], split: Callable[[str], list[str]], pieces: Callable[[list[str]], list[bytes]]):
-        self.whole, self.split, self.pieces = whole, split, Known(pieces)
-        self.first, self.later = Known(self._joined), Known(lambda chunks: self._joined([" " + c for c in chunks]))
+    def __init__(self, whole: Callable[[list[str]], list[bytes]], split: Callable[[str], list[str]], piece: Callable[[str], bytes], ahead: Callable[[list[str]], None] | None = None):
+        self.whole, self.split, self.ahead = whole, split, ahead
+        self.pieces = Known(piece)
+        self.first, self.later = Known(self._joined), Known(lambda chunk: self._joined(" " + chunk))
 
-    def _joined(self, strings: list[str]) -> list[bytes]:
-        split = [self.split(s) for s in strings]
-        got = iter(self.pieces.all([p for s in split for p in s]))
-        return [b"".join(islice(got, len(s))) for s in split]
+    def _joined(self, string: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(string)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if _PLAIN.fullmatch(t) and not _SPACED.search(t)]
-        parts = [texts[i].split(" ") for i in plain]
-        heads = self.first.all([p[0] for p in parts])
-        tails = iter(self.later.all([c for p in parts for c in p[1:]]))
-        for i, p, head in zip(plain, parts, heads, strict=True):
-            out[i] = head + b"".join(islice(tails, len(p) - 1))
-        if rest := [i for i, x in enumerate(out) if x is None]:
-            for i, ids in zip(rest, self.whole([texts[i] for i in rest]), strict=True):
-                out[i] = ids
-        return out
+        parts = [t.partition(" ") if is_plain(t) else None for t in texts]
+        if self.ahead:
+            self.ahead([p[0] for p in parts if p and p[0] not in self.first] + [" " + c for p in parts if p and p[1] for c in p[2].split(" ") if c not in self.later])
+        rest = iter(self.whole([t for t, p in zip(texts, parts, strict=True) if p is None]))
+        first, later = self.first, self.later.__getitem__
+        return [next(rest) if p is None else first[p[0]] + b"".join(map(later, p[2].split(" "))) if p[1] else first[p[0]] for p in parts]
 
 
 _made: dict[tuple, Chunks] = {}
@@ -92,8 +93,8 @@ def library(path: str, words: bool) -> Chunks:
         tok.encode_special_tokens = True
         model = tok.model.tokenize
         _made["tokenizers", path] = Chunks(
-            lambda texts: [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)],
+            lambda texts: [] if not texts else [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)],
             (lambda s: _WORD_LEVEL(s.lower())) if words else BYTE_LEVEL,
-            lambda pieces: [array("I", [t.id for t in model(p.encode().decode("latin-1").translate(letters))]).tobytes() for p in pieces],
+            lambda piece: array("I", [t.id for t in model(piece.encode().decode("latin-1").translate(letters))]).tobytes(),
         )
     return _made["tokenizers", path]

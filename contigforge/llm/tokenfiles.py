@@ -134,9 +134,9 @@ def write(df: DataFrame, path: str, vocabulary: str, end_id: int, words: bool =
 def files(spark: SparkSession, path: str) -> DataFrame:
     """The segments under path, each with the number of ids before it in all shards."""
     f = spark.read.schema(FILES).parquet(path)
-    shards = f.groupBy("shard").agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))  # a row for each task that wrote
+    shards = f.groupBy("shard").agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))  # a row for each task that wrote: at most the session's shuffle partitions
     bases = shards.select("shard", (F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("base"))
-    return f.join(bases, "shard").select("doc_ids", "n_tokens", "payload", (F.col("base") + F.col("shard_start")).alias("start"))
+    return f.join(F.broadcast(bases), "shard").select("doc_ids", "n_tokens", "payload", (F.col("base") + F.col("shard_start")).alias("start"))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
