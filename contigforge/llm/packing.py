@@ -27,11 +27,13 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .chunks import library
-from .common import documents, stage, tokenizer_path
+from .common import checkpoint, documents, stage, tokenizer_path
 
 WINDOW = 1024
 BLOCK = 512
 END_ID = 0
+#: Rows of a task and source that may be sent to all executors, some 40 bytes each.
+BROADCAST_ROWS = 200_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
 
@@ -42,7 +44,8 @@ class Schedule:
         self.totals, self.window, self.block = totals, window, block
         self.total = sum(totals)
         self.blocks = -(-self.total // (window * block))
-        self.counts = lru_cache(64)(self._counts)
+        self.counts, self.offsets = lru_cache(64)(self._counts), lru_cache(64)(self._offsets)
+        self.columns = lru_cache(4096)(lambda block, queue: np.ascontiguousarray(self.counts(block)[:, queue]))
 
     def given(self, tokens: int) -> np.ndarray:
         """Tokens of each queue among the first so many: Webster's rounding of the shares, which never takes a token back as tokens grows."""
@@ -100,30 +103,38 @@ class Schedule:
             low += 1
         return low
 
-    def pieces(self, queue: int, begin: int, n: int) -> list[tuple[int, int, int, int]]:
+    def _offsets(self, block: int) -> np.ndarray:
+        """Where each queue's tokens begin in each of the block's windows."""
+        served = np.diff(self.counts(block), axis=0)
+        return np.cumsum(served, 1) - served
+
+    def pieces(self, queue: int, begin: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(start in the document, length, sequence, offset) of the tokens begin .. begin + n of a queue."""
-        out, done, block = [], 0, None
-        while done < n:
-            if block is None or begin + done >= counts[-1, queue]:
-                block = self.block_of(queue, begin + done)
-                counts = self.counts(block)
-                own = counts[:, queue]
-            w = int(np.searchsorted(own, begin + done, "right")) - 1
-            take = int(min(n - done, own[w + 1] - begin - done))
-            offset = int((counts[w + 1, :queue] - counts[w, :queue]).sum() + begin + done - own[w])
-            number = block * self.block + w
-            if (number + 1) * self.window <= self.total:
-                out.append((done, take, number, offset))
-            else:  # the last tokens: sequences of falling powers of two
-                rest, at, start = self.total - number * self.window, 0, done
-                for power in range(rest.bit_length() - 1, -1, -1):
-                    if rest >> power & 1:
-                        a, e = max(offset, at), min(offset + take, at + (1 << power))
-                        if a < e:
-                            out.append((start + a - offset, e - a, number, a - at))
-                        at, number = at + (1 << power), number + 1
-            done += take
-        return out
+        out = []
+        at, end = begin, begin + n
+        while at < end:
+            block = self.block_of(queue, at)
+            own = self.columns(block, queue)
+            stop = min(end, int(own[-1]))
+            low, high = (int(x) for x in np.searchsorted(own, (at, stop - 1), "right"))
+            start = np.maximum(own[low - 1 : high], at)
+            length = np.minimum(own[low : high + 1], stop) - start
+            number = np.arange(low - 1, high) + block * self.block
+            offset = self.offsets(block)[low - 1 : high, queue] + start - own[low - 1 : high]
+            out.append(np.stack([start - begin, length, number, offset])[:, length > 0])
+            at = stop
+        got = np.concatenate(out, 1)
+        if (got[2, -1] + 1) * self.window > self.total:  # the last tokens: sequences of falling powers of two
+            s, k, number, o = got[:, -1].tolist()
+            rest, before, cut = self.total - number * self.window, 0, []
+            for power in range(rest.bit_length() - 1, -1, -1):
+                if rest >> power & 1:
+                    a, e = max(o, before), min(o + k, before + (1 << power))
+                    if a < e:
+                        cut.append((s + a - o, e - a, number, a - before))
+                    before, number = before + (1 << power), number + 1
+            got = np.concatenate([got[:, :-1], np.array(cut, np.int64).T], 1)
+        return got[0], got[1], got[2], got[3]
 
 
 def tokenise(df: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -149,7 +160,7 @@ def pack(df: DataFrame, vocabulary: str, window: int = WINDOW, block: int = BLOC
     """The pieces of PIECES. The ids are written once into the shared folder; sums of a row for each task and source set the queues' places. The list of sources is the mixture and is held by the driver."""
     spark = df.sparkSession
     tokens = stage(tokenise(df, vocabulary, end_id, **columns), "packing")
-    sums = tokens.groupBy("source", "task").agg(F.sum("n_tokens").alias("n"))
+    sums = checkpoint(tokens.groupBy("source", "task").agg(F.sum("n_tokens").alias("n")))
     bases = sums.select(F.col("source").alias("b_source"), F.col("task").alias("b_task"), F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     mixture = sorted(((r.source, r.n) for r in sums.groupBy("source").agg(F.sum("n").alias("n")).collect()), key=lambda x: (x[0] is not None, x[0] or ""))
     names, totals = [m[0] for m in mixture], [int(m[1]) for m in mixture]
@@ -157,14 +168,20 @@ def pack(df: DataFrame, vocabulary: str, window: int = WINDOW, block: int = BLOC
     def run(batches):
         plan, place = Schedule(totals, window, block), {s: i for i, s in enumerate(names)}
         for b in batches:
-            out = []
-            for doc_id, source, base, n, ids in zip(*(b.column(k).to_pylist() for k in ("doc_id", "source", "begin", "n_tokens", "ids")), strict=True):
+            parts, crc, count = [], [], []
+            for source, base, n, ids in zip(*(b.column(k).to_pylist() for k in ("source", "begin", "n_tokens", "ids")), strict=True):
                 wide = memoryview(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
-                out += [(doc_id, s, k, zlib.crc32(wide[4 * s : 4 * (s + k)]), n, q, o, source) for s, k, q, o in plan.pieces(place[source], base, n)]
-            kinds = [pa.int64()] * 7 + [pa.string()]
-            names_ = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names_)
-
+                parts.append(got := plan.pieces(place[source], base, n))
+                first = (got[0] * 4).tolist()
+                crc += [zlib.crc32(wide[x:y]) for x, y in zip(first, (*first[1:], 4 * n), strict=True)]
+                count.append(len(first))
+            row = pa.array(np.repeat(np.arange(len(count)), count))
+            start, length, sequence, offset = (pa.array(np.concatenate(x)) for x in zip(*parts, strict=True))
+            columns = [b.column("doc_id").take(row), start, length, pa.array(crc, pa.int64()), b.column("n_tokens").take(row), sequence, offset, b.column("source").take(row)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
+
+    if sums.count() <= BROADCAST_ROWS:  # else the join is by shuffle
+        bases = F.broadcast(bases)
     placed = tokens.join(bases, (F.col("task") == F.col("b_task")) & F.col("source").eqNullSafe(F.col("b_source")))
     return placed.select("doc_id", "source", (F.col("base") + F.col("task_start")).alias("begin"), "n_tokens", "ids").mapInArrow(run, PIECES)
 
