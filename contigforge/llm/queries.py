@@ -14,11 +14,12 @@ from .media import op1_media
 from .packing import op9_packing
 from .quality import op3_quality
 from .simhash import op8_simhash
+from .suffixes import op6_repeats
 from .tokenfiles import op2_tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_media": op1_media, "op2_tokens": op2_tokens, "op3_quality": op3_quality, "op4_fingerprints": op4_fingerprints, "op5_licenses": op5_licenses, "op7_bpe": op7_bpe, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_lines": op10_lines}
+    return {"op1_media": op1_media, "op2_tokens": op2_tokens, "op3_quality": op3_quality, "op4_fingerprints": op4_fingerprints, "op5_licenses": op5_licenses, "op6_repeats": op6_repeats, "op7_bpe": op7_bpe, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_lines": op10_lines}
 
 
 def oracle_sql() -> dict[str, str]:
