@@ -360,8 +360,44 @@ def _second(buckets: int):
     return send
 
 
+def repeated_windows(strings: list[bytes]) -> np.ndarray:
+    """Of all windows of all strings, in order, whether its hash comes again: one that doesn't is no repeat."""
+    found, held, size = [], [], 0
+
+    def close() -> None:
+        data = np.frombuffer(b"".join(held), np.uint8)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTES[data] * _UP[: len(data)], out=sums[1:])
+        value = _mix((sums[LENGTH:] - sums[:-LENGTH]) * _DOWN[: len(data) - LENGTH + 1], 4)
+        sizes = np.fromiter(map(len, held), np.int64, len(held))
+        inside = np.ones(len(data), bool)
+        ends = np.cumsum(sizes)
+        for k in range(1, LENGTH):
+            inside[ends - k] = False
+        found.append(value[inside[: len(value)]])
+
+    for x in strings:
+        held.append(x)
+        size += len(x)
+        if size >= BATCH:
+            close()
+            held, size = [], 0
+    if held:
+        close()
+    value = np.concatenate(found)
+    order = np.argsort(value)
+    same = value[order][1:] == value[order][:-1]
+    out = np.zeros(len(value), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
 def _merge_bucket(_key: tuple, table: pa.Table) -> pa.Table:
-    """Merges the shards of one bucket and tells each chunk the windows that a smaller id has."""
+    """Merges the shards of one bucket and tells each chunk the windows that a smaller id has.
+
+    Only stretches of windows whose hash comes again are merged, equal stretches once.
+    """
     bucket = table.column("bucket")[0].as_py()
     names: dict[bytes, int] = {}
     least: list[int] = []
@@ -378,13 +414,40 @@ def _merge_bucket(_key: tuple, table: pa.Table) -> pa.Table:
             elif i < least[w]:
                 least[w] = i
         rows.append((chunk, kind, place, ids, which))
-    found = least_ids(list(names), np.array(least, np.int64))
+    strings = list(names)
+    again = repeated_windows(strings)
+    counts = np.fromiter(map(len, strings), np.int64, len(strings)) - LENGTH + 1
+    ends = np.cumsum(counts)
+    flat = np.repeat(np.array(least, np.int64), counts)
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], again, [False]]).astype(np.int8)))
+    start, stop = edge[::2], edge[1::2]  # stretches, cut where a string ends
+    inner = ends[:-1][(np.searchsorted(start, ends[:-1], "left") - 1 >= 0) & again[np.maximum(ends[:-1] - 1, 0)] & again[ends[:-1]]] if len(ends) > 1 else ends[:0]
+    start, stop = np.sort(np.concatenate([start, inner])), np.sort(np.concatenate([stop, inner]))
+    owner = np.searchsorted(ends, start, "right")
+    parts: dict[bytes, int] = {}
+    part_least: list[int] = []
+    part_of = []
+    for w, f, t in zip(owner.tolist(), (start - (ends - counts)[owner]).tolist(), (stop - (ends - counts)[owner]).tolist(), strict=True):
+        k = parts.setdefault(strings[w][f : t + LENGTH - 1], len(parts))
+        part_of.append(k)
+        if k == len(part_least):
+            part_least.append(least[w])
+        elif least[w] < part_least[k]:
+            part_least[k] = least[w]
+    if parts:
+        found = least_ids(list(parts), np.array(part_least, np.int64))
+        for k, s, e in zip(part_of, start.tolist(), stop.tolist(), strict=True):
+            flat[s:e] = found[k]
     out = []
+    begins = ends - counts
     for chunk, kind, place, ids, which in rows:
-        tell = [(p, k, int(found[w][k])) for p, i, w in zip(place.tolist(), ids.tolist(), which, strict=True) for k in np.flatnonzero(found[w] < i).tolist()]
-        if tell:
-            p, k, i = zip(*tell, strict=True)
-            out.append((chunk, bucket, LEAST if kind == PART else SINGLE_LEAST, _pack(np.array(p, "<u4"), np.array(k, "u1"), np.array(i, "<i8"))))
+        which = np.array(which, np.int64)
+        n = counts[which]
+        k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        value = flat[np.repeat(begins[which], n) + k]
+        tell = np.flatnonzero(value < np.repeat(ids, n))
+        if len(tell):
+            out.append((chunk, bucket, LEAST if kind == PART else SINGLE_LEAST, _pack(np.repeat(place, n)[tell].astype("<u4"), k[tell].astype("u1"), value[tell].astype("<i8"))))
     return _table(out)
 
 
