@@ -52,7 +52,7 @@ class View:
     """What the labellers look at; shares are of words or of characters."""
 
     words: int
-    upper: float  # letters in upper case
+    upper: float  # of all but white space, in upper case
     bang: float  # words that hold "!!"
     marks: float  # words that hold a run of other marks
     odd: float  # characters that are neither letters, digits, white space nor usual punctuation
@@ -72,12 +72,12 @@ def shape(word: str) -> str:
     """Letters as A or a, digits as 0, runs folded."""
     if (out := _shape_of.get(word)) is None:
         out = _RUN.sub(r"\1", word.encode().translate(_SHAPE).decode("latin-1"))[:12]
-        if len(_shape_of) < 300_000:
+        if len(_shape_of) < 800_000:
             _shape_of[word] = out
     return out
 
 
-def view(text: str) -> tuple[View, Counter, Counter, int]:
+def view(text: str) -> tuple[View, set[int], Counter, int]:
     words = text.split()
     n = len(words)
     counts = Counter(words)
@@ -85,26 +85,51 @@ def view(text: str) -> tuple[View, Counter, Counter, int]:
     for w, k in counts.items():
         shapes[shape(w)] += k
     same = sum(map(str.__eq__, words, words[1:])) if n else 0
-    letters = sum(1 for c in text if c.isalpha()) if not text.isascii() else len(text.encode().translate(None, _NOT_LETTER))
-    upper = len(_UPPER.findall(text)) if not text.isascii() else len(text.encode().translate(None, _NOT_UPPER))
+    raw = text.encode()
+    inked = len(raw.translate(None, _SPACE))
+    upper = len(raw) - len(raw.translate(None, _UPPER)) + (0 if text.isascii() else len(_UPPER_BEYOND.findall(text)))
     per = 1 / max(n, 1)
-    low = Counter()
+    indices, insults = set(), 0
     for w, k in counts.items():
-        if (core := _CORE.search(w)) and core.group().lower() in INSULTS:
-            low["insult"] += k
+        i = core(w)
+        if i >= 0:
+            indices.add(i)
+        elif i < -1:
+            indices.add(-i - 2)
+            insults += k
     return (
         View(
-            n, upper / max(letters, 1), sum(k for s, k in shapes.items() if "!" in s) * per, sum(k for s, k in shapes.items() if re.search(r"[a-zA-Z0-9.,][*#$%&@~^]", s)) * per,
-            len(_ODD.findall(text)) / max(len(text), 1), counts.get("|", 0) * per, same * per, len(counts) * per, max(counts.values(), default=0) * per,
-            sum(k for w, k in counts.items() if len(w) <= 3) * per, (text.count(". ") + text.count(".\n") + text.endswith(".")) * per, low["insult"],
-        ), counts, shapes, same,
+            n, upper / max(inked, 1), sum(k for s, k in shapes.items() if "!" in s) * per, sum(k for s, k in shapes.items() if _MARKED.search(s)) * per,
+            len(raw.translate(None, _USUAL)) / max(len(text), 1), counts.get("|", 0) * per, same * per, len(counts) * per, max(counts.values(), default=0) * per,
+            sum(k for w, k in counts.items() if len(w) <= 3) * per, (text.count(". ") + text.count(".\n") + text.endswith(".")) * per, insults,
+        ), indices, shapes, same,
     )
 
 
-_NOT_LETTER = bytes(c for c in range(256) if not (65 <= c <= 90 or 97 <= c <= 122))
-_NOT_UPPER = bytes(c for c in range(256) if not 65 <= c <= 90)
-_UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
-_ODD = re.compile(r"[^\w\s.,;:'\"()?!-]")
+_core_of: dict[str, int] = {}
+
+
+def core(word: str) -> int:
+    """The number of a word's feature, from its first run of letters and digits in lower case; -1 without one, and -2 - number for an insult."""
+    if (out := _core_of.get(word)) is None:
+        if found := _CORE.search(word):
+            low = found.group().lower()
+            out = zlib.crc32(low.encode()) % WORDS
+            if low in INSULTS:
+                out = -2 - out
+        else:
+            out = -1
+        if len(_core_of) < 800_000:
+            _core_of[word] = out
+    return out
+
+
+_SPACE = b" \t\n\r\x0b\x0c"
+_UPPER = bytes(range(65, 91))
+_UPPER_BEYOND = re.compile(r"[À-ÖØ-Þ]")
+_MARKED = re.compile(r"[a-zA-Z0-9.,][*#$%&@~^]")
+#: Bytes that are no odd mark: letters, digits, white space, usual punctuation and all beyond ASCII.
+_USUAL = bytes(c for c in range(256) if c >= 128 or chr(c).isalnum() or chr(c) in " \t\n\r\x0b\x0c_.,;:'\"()?!-")
 
 LABELLERS = {
     "shouting": lambda v: JUNK if v.upper > 0.5 else ABSTAIN,
@@ -123,13 +148,9 @@ LABELLERS = {
 }
 
 
-def features(counts: Counter, shapes: Counter, same: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of a text: its distinct words in lower case, and shares of shapes, drawn towards 0 in short texts."""
-    index, value = [], []
-    for w in counts:
-        if core := _CORE.search(w):
-            index.append(zlib.crc32(core.group().lower().encode()) % WORDS)
-    index = sorted(set(index))
+def features(indices: set[int], shapes: Counter, same: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of a text: 1 for each of its words, and shares of shapes, drawn towards 0 in short texts."""
+    index = sorted(indices)
     value = [1.0] * len(index)
     for s, k in shapes.items():
         index.append(WORDS + zlib.crc32(s.encode()) % SHAPES)
