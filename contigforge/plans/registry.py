@@ -5,11 +5,689 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import sequences as fn
+from ..operators import benchmark, clustering, contigs, coverage, kmers, legacy, markers, recruitment, relational, summary, taxonomy
+from ..operators import embedding as emb
+from ..session import scratch
+from ..sources import readers, writers
+from .domain import Domain, duck
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, *ctes: str):
+    """Registers a function of Domain under its name."""
+
+    def add(f):
+        _QUERIES[f.__name__] = lambda spark, sf_dir: f(Domain(spark, sf_dir))
+        if sql:
+            _SQL[f.__name__] = duck(sql, *ctes)
+        return f
+
+    return add
+
+
+def six(df: DataFrame) -> DataFrame:
+    """Doubles to six places, so that the order of a sum does not show."""
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+# Sources and sinks: what is written is read back and must be the table.
+
+
+@query("SELECT contig, contig AS description, md5(sequence) AS sequence_md5, length(sequence)::BIGINT AS length FROM contigs WHERE sequence <> ''")
+def fasta_scan(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "fasta")
+    writers.fasta(d.contigs.filter("sequence <> ''"), path)
+    return readers.fasta(d.spark, path).select("contig", "description", F.md5(F.col("sequence").cast("binary")).alias("sequence_md5"), F.length("sequence").cast("bigint").alias("length"))
+
+
+@query("SELECT contig, round(coverage, 6) AS coverage, cluster FROM bins")
+def tsv_scan(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "tsv")
+    writers.tsv(d.bins.select("contig", "cluster", "coverage", "gc_content"), path, compressed=True)
+    return six(readers.tsv(d.spark, path, "contig string, cluster string, coverage double, gc_content double", columns=["contig", "coverage", "cluster"]))
+
+
+@query("SELECT t.taxid, t.name, t.parent, t.rank FROM tree t")
+def taxonomy_dumps(d: Domain) -> DataFrame:
+    nodes, names = scratch(d.spark, "nodes"), scratch(d.spark, "names")
+    bar = "\t|\t"
+    d.tree.select(F.concat(F.concat_ws(bar, F.col("taxid").cast("string"), F.col("parent").cast("string"), "rank", F.lit("XX")), F.lit("\t|"))).write.text(nodes)
+    d.tree.select(F.concat(F.concat_ws(bar, F.col("taxid").cast("string"), F.initcap("name"), F.lit(""), F.lit("scientific name")), F.lit("\t|"))).write.text(names)
+    return taxonomy.build_tree(readers.nodes_dump(d.spark, nodes), readers.names_dump(d.spark, names)).select("taxid", "name", "parent", "rank")
+
+
+@query("SELECT l_orderkey AS old_taxid, l_partkey AS new_taxid FROM (SELECT DISTINCT l_orderkey::INTEGER AS l_orderkey, l_partkey::INTEGER AS l_partkey FROM lineitem)")
+def merged_dump(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "merged")
+    d.lineitem.select("l_orderkey", "l_partkey").distinct().select(F.concat(F.concat_ws("\t|\t", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")), F.lit("\t|"))).write.text(path)
+    return readers.merged_dump(d.spark, path)
+
+
+@query("SELECT s_suppkey::INTEGER AS taxid FROM supplier")
+def deleted_dump(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "deleted")
+    d.supplier.select(F.concat(F.col("s_suppkey").cast("string"), F.lit("\t|"))).write.text(path)
+    return readers.deleted_dump(d.spark, path)
+
+
+@query("SELECT qseqid, sseqid, round(bitscore, 6) AS bitscore FROM hits")
+def blast_scan(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "blast")
+    row = d.hits.selectExpr("qseqid", "sseqid", "99.5", "100", "1", "0", "1", "100", "1", "100", "'1e-30'", "bitscore")
+    row.write.csv(path, sep="\t")
+    return six(readers.blast6(d.spark, path).select("qseqid", "sseqid", "bitscore"))
+
+
+@query("SELECT contig || '_1' AS orf, sacc, round(score, 6) AS score FROM markers")
+def profile_hits_scan(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "tblout")
+    line = F.format_string("%-20s %-10s %-20s %-10s %9.2g %6.1f %5.1f %9.2g %6.1f %5.1f 1.0 1 0 0 1 1 1 1 a profile", F.concat(F.lit("name"), "sacc"), F.col("sacc"), F.concat("contig", F.lit("_1")), F.lit("-"), F.lit(1e-5), F.col("score"), F.lit(0.1), F.lit(1e-5), F.col("score"), F.lit(0.1))
+    d.markers.select(line).union(d.spark.sql("select '# a comment'")).write.text(path)
+    return six(readers.tblout(d.spark, path).select("orf", "sacc", "score"))
+
+
+@query("SELECT concat('c', l_suppkey) AS contig, round(sum(l_quantity * l_partkey)::DOUBLE / max(50000), 6) AS coverage FROM lineitem GROUP BY l_suppkey")
+def bed_coverage(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "bed")
+    rows = d.lineitem.selectExpr("concat('c', l_suppkey) contig", "cast(l_quantity as bigint) depth", "l_partkey bases", "50000 length", "0.5 share")
+    rows.union(d.spark.sql("select 'genome', 1, 1, 1, 1.0")).write.csv(path, sep="\t")
+    return six(readers.bed_coverage(d.spark, path))
+
+
+@query("SELECT concat('r', l_orderkey, '_', l_linenumber) AS qname, concat('c', l_suppkey) AS rname, l_partkey::INTEGER AS pos FROM lineitem")
+def sam_scan(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "sam")
+    rows = d.lineitem.selectExpr("concat_ws('\t', concat('r', l_orderkey, '_', l_linenumber), '0', concat('c', l_suppkey), l_partkey, '60', '10M', '*', '0', '0', 'ACGTACGTAC', 'FFFFFFFFFF')")
+    rows.union(d.spark.sql("select '@HD\tVN:1.6'")).write.text(path)
+    return readers.sam(d.spark, path).select("qname", "rname", "pos")
+
+
+@query("SELECT qseqid, to_json(list_sort(list_distinct(list(taxid))))::VARCHAR AS taxids FROM (SELECT qseqid, (100000 + substr(sseqid, 2, length(sseqid) - 3)::INTEGER) AS taxid FROM hits) GROUP BY qseqid")
+def sseqid_taxids_scan(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "sseqids")
+    taxonomy.accession_taxids(d.hits, d.live).selectExpr("qseqid", "sseqid", "raw_taxid", "raw_taxid merged_taxid", "raw_taxid cleaned_taxid").write.csv(path, sep="\t", header=True)
+    return readers.sseqid_taxids(d.spark, path).select("qseqid", F.to_json("taxids").alias("taxids"))
+
+
+@query("SELECT count(*)::BIGINT AS n, sum(l)::BIGINT AS bases, (SELECT count(*) FROM (SELECT DISTINCT u, v FROM edges))::BIGINT AS links FROM (SELECT length(sequence) AS l FROM contigs)")
+def gfa_scan(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "gfa")
+    segments = d.contigs.select(F.concat_ws("\t", F.lit("S"), "contig", "sequence").alias("value"))
+    links = d.edges.distinct().select(F.concat_ws("\t", F.lit("L"), "u", F.lit("+"), "v", F.lit("-"), F.lit("0M")).alias("value"))
+    segments.union(links).write.text(path)
+    g = readers.gfa(d.spark, path)
+    n = g["segments"].agg(F.count("*").alias("n"), F.sum("length").cast("bigint").alias("bases"))
+    return n.crossJoin(g["links"].agg(F.count("*").alias("links")))  # a row each
+
+
+@query("SELECT concat('c', l_suppkey) AS contig, arg_min(concat('ref', l_partkey), (-l_quantity, concat('ref', l_partkey))) AS reference FROM lineitem GROUP BY l_suppkey")
+def nucmer_best(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "coords")
+    head = d.spark.sql("select 'S1 E1 | S2 E2 | LEN 1 LEN 2 | % IDY | TAGS' union all select '====='")
+    d.lineitem.selectExpr("concat('1 ', l_partkey, ' | 1 ', l_partkey, ' | ', l_partkey, ' ', l_partkey, ' | ', l_quantity, ' | ref', l_partkey, ' c', l_suppkey)").union(head).write.text(path)
+    return readers.best_alignments(readers.nucmer_coords(d.spark, path))
+
+
+@query("SELECT contig, reference_genome AS reference, length::DOUBLE AS identity FROM truth")
+def assembly_alignments(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "alignments")
+    rows = d.truth.selectExpr("concat_ws('\t', '1', '10', '1', '10', reference_genome, contig, length, '', 'True')")
+    rows.union(d.spark.sql("select 'S1\tE1\tS2\tE2\tReference\tContig\tIDY\tAmbiguous\tBest_group' union all select 'CONTIG\tx\t10\tcorrect'")).write.text(path)
+    return readers.assembly_alignments(d.spark, path).select("contig", "reference", "identity")
+
+
+@query("SELECT concat('u', user_id) AS rank, count(*)::BIGINT AS n, coalesce(sum(gap), 0)::BIGINT AS seconds FROM (SELECT user_id, date_diff('second', date_trunc('second', ts), lead(date_trunc('second', ts)) OVER (ORDER BY date_trunc('second', ts), what)) AS gap FROM (SELECT user_id, ts, 'Examining u' || user_id || ': ' || event_id AS what FROM events)) GROUP BY user_id")
+def binning_log(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "log")
+    d.events.select(F.concat(F.lit("["), F.date_format("ts", "MM/dd/yyyy hh:mm:ss a"), F.lit(" INFO] core: "), F.concat(F.lit("Examining u"), "user_id", F.lit(": "), "event_id"))).coalesce(1).write.text(path)
+    return legacy.log_rollup(readers.binning_log(d.spark, path)).select("rank", "n", F.coalesce("seconds", F.lit(0)).alias("seconds"))
+
+
+@query("SELECT coalesce(cluster, 'unclustered') AS bin, contig FROM bins")
+def bin_folder_scan(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "bins")
+    sequences = d.bins.select("contig", F.lit("ACGT").alias("sequence"))
+    writers.cluster_fasta(sequences, d.bins, path)
+    rows = d.spark.read.option("recursiveFileLookup", "true").text(path).select(F.input_file_name().alias("f"), "value").filter("value like '>%'")
+    return rows.select(F.regexp_extract("f", "cluster=([^/]+)/", 1).alias("bin"), F.expr("substr(value, 2)").alias("contig"))
+
+
+@query("SELECT rank, n FROM (SELECT coalesce(s.name, 'unclassified') AS rank, count(*)::BIGINT AS n FROM bins b LEFT JOIN tree t ON b.taxid = t.taxid LEFT JOIN tree p ON t.parent = p.taxid LEFT JOIN tree s ON p.parent = s.taxid GROUP BY 1)")
+def rank_groups(d: Domain) -> DataFrame:
+    ranked = taxonomy.add_ranks(d.bins.select("contig", "taxid"), d.tree)
+    return writers.rank_groups(d.bins.select("contig"), ranked, "superkingdom").groupBy(F.col("superkingdom").alias("rank")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM (VALUES (0::BIGINT, '@Version:0.9.0'), (1, '@SampleID:s1'), (2, ''), (3, '@@SEQUENCEID' || chr(9) || 'BINID')) v(line_no, value) UNION ALL SELECT 4, contig || chr(9) || cluster FROM bins WHERE cluster IS NOT NULL")
+def biobox_binning(d: Domain) -> DataFrame:
+    return writers.biobox_lines(d.bins, "genome_binning", "s1")
+
+
+# Contigs.
+
+
+@query("SELECT contig, round(coalesce(100.0 * length(regexp_replace(sequence, '[^GC]', '', 'g'))::DOUBLE / nullif(length(sequence), 0), 0), 6) AS gc_content, length(sequence)::INTEGER AS length FROM contigs")
+def length_gc(d: Domain) -> DataFrame:
+    return six(contigs.length_gc(d.contigs))
+
+
+@query("SELECT contig, length(sequence)::INTEGER AS length FROM contigs WHERE length(sequence) >= 3000 OR (SELECT max(length(sequence)) FROM contigs) < 3000")
+def length_filter(d: Domain) -> DataFrame:
+    return contigs.length_filter(d.contigs, 3000).select("contig", F.length("sequence").alias("length"))
+
+
+_NX = "SELECT max(l) FILTER (WHERE cum >= {q} * total) FROM (SELECT l, sum(l) OVER (ORDER BY l DESC, contig ROWS UNBOUNDED PRECEDING) AS cum, sum(l) OVER () AS total FROM (SELECT contig, length(sequence) AS l FROM contigs))"
+
+
+@query(
+    "SELECT count(*)::BIGINT AS n_contigs, sum(length(sequence))::BIGINT AS size, arg_min(contig, (-length(sequence), contig)) AS largest, round(100.0 * sum(length(regexp_replace(sequence, '[^GC]', '', 'g')))::DOUBLE / sum(length(sequence)), 6) AS weighted_gc, "
+    + ", ".join(f"({_NX.format(q=q)})::INTEGER AS {n}" for n, q in (("n10", 0.1), ("n50", 0.5), ("n90", 0.9)))
+    + " FROM contigs"
+)
+def assembly_description(d: Domain) -> DataFrame:
+    return six(contigs.describe(d.contigs))
+
+
+@query("SELECT contig, (doc_id % 50 + 1.5)::DOUBLE AS coverage FROM contigs")
+def header_coverage(d: Domain) -> DataFrame:
+    return coverage.get(d.spark, d.contigs, from_spades=True)
+
+
+@query("SELECT DISTINCT qseqid, 'k' || split_part(substr(qseqid, 2), '_', 1) AS contig FROM hits")
+def orf_contigs(d: Domain) -> DataFrame:
+    return d.hits.select("qseqid", fn.orf_contig(F.col("qseqid")).alias("contig")).distinct()
+
+
+@query("SELECT p_partkey, translate(lower(p_name || ' (' || p_brand || ')/' || p_type), ' /()', '____') AS name FROM part")
+def taxon_names(d: Domain) -> DataFrame:
+    return d.part.select("p_partkey", fn.taxon_name(F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")/"), "p_type")).alias("name"))
+
+
+@query("SELECT contig, md5(reverse(translate(sequence, 'ACGT', 'TGCA'))) AS md5 FROM contigs")
+def reverse_complement(d: Domain) -> DataFrame:
+    return d.contigs.select("contig", F.md5(fn.reverse_complement(F.col("sequence")).cast("binary")).alias("md5"))
+
+
+@query("SELECT s_suppkey, 'bin_' || CASE WHEN length(s_suppkey::VARCHAR) >= 4 THEN s_suppkey::VARCHAR ELSE lpad(s_suppkey::VARCHAR, 4, '0') END AS name FROM supplier")
+def zero_padded_names(d: Domain) -> DataFrame:
+    return d.supplier.select("s_suppkey", fn.zero_padded("bin_", F.col("s_suppkey"), 4).alias("name"))
+
+
+# k-mers.
+
+_KMERS = (
+    "w AS (SELECT contig, substr(sequence, i::BIGINT, 3) AS k FROM (SELECT contig, sequence, unnest(range(1, length(sequence) - 2)) AS i FROM contigs WHERE length(sequence) > 3))",
+    "f AS (SELECT contig, k, reverse(translate(k, 'ACGT', 'TGCA')) AS r FROM w WHERE regexp_full_match(k, '[ACGT]+'))",
+    "counts AS (SELECT contig, CASE WHEN translate(k, 'ATCG', '0123') <= translate(r, 'ATCG', '0123') THEN k ELSE r END AS kmer, count(*)::BIGINT AS n FROM f GROUP BY 1, 2)",
+)
+
+
+@query("SELECT contig, kmer, n FROM counts", *_KMERS)
+def kmer_counts(d: Domain) -> DataFrame:
+    return kmers.count(d.contigs, 3)
+
+
+@query("SELECT contig, " + ", ".join(f"sum(n) FILTER (WHERE kmer = '{k}')::BIGINT AS {k}" for k in kmers.canonical_kmers(2)) + " FROM counts GROUP BY contig", *[x.replace(", 3)", ", 2)").replace("- 2)", "- 1)").replace("> 3", "> 2") for x in _KMERS])
+def kmer_counts_wide(d: Domain) -> DataFrame:
+    return kmers.wide(kmers.count(d.contigs, 2), 2)
+
+
+@query("SELECT c.contig, k.kmer, round(ln(coalesce(n, 0) + 1) - avg(ln(coalesce(n, 0) + 1)) OVER (PARTITION BY c.contig), 6) AS value FROM (SELECT DISTINCT contig FROM counts) c CROSS JOIN (SELECT DISTINCT kmer FROM counts) k LEFT JOIN counts USING (contig, kmer)", *_KMERS)
+def kmer_am_clr(d: Domain) -> DataFrame:
+    return six(kmers.normalize(kmers.count(d.contigs, 3), "am_clr"))
+
+
+@query("SELECT contig, kmer, round(l - avg(l) OVER (PARTITION BY contig), 6) AS value FROM (SELECT contig, kmer, ln(CASE WHEN n IS NULL THEN 1.0::DOUBLE / 1024 ELSE n::DOUBLE / t * (1 - (32 - p) * (1.0::DOUBLE / 1024)) END) AS l FROM (SELECT contig, sum(n) AS t, count(*) AS p FROM counts GROUP BY contig) g CROSS JOIN (SELECT unnest([" + ", ".join(f"'{k}'" for k in kmers.canonical_kmers(3)) + "]) AS kmer) k LEFT JOIN counts USING (contig, kmer))", *_KMERS)
+def kmer_clr(d: Domain) -> DataFrame:
+    return six(kmers.normalize(kmers.count(d.contigs, 3), "clr", 3))
+
+
+@query()
+def kmer_ilr(d: Domain) -> DataFrame:
+    return kmers.normalize(kmers.count(d.contigs, 3), "ilr", 3)
+
+
+@query()
+def kmer_pca(d: Domain) -> DataFrame:
+    return kmers.pca(kmers.features(kmers.am_clr(kmers.count(d.contigs, 3))), 5)
+
+
+def _embedded(d: Domain, width: int = 8) -> DataFrame:
+    """Contigs of the embeddings table: features, coverage, GC, markers, taxa and order."""
+    marks = markers.markers_list(d.markers.withColumn("contig", F.expr("concat('v', substr(contig, 2))")).dropDuplicates(["contig", "sacc"]))
+    rows = d.embeddings.selectExpr("concat('v', vec_id) contig", f"transform(slice(embedding, 1, {width}), x -> cast(x as double)) features", "cast(vec_id % 40 as double) / 100 coverage", "40 + cast(vec_id % 30 as double) / 10 gc_content", "concat('kingdom', label div 5) superkingdom", "concat('phylum', label) phylum", "vec_id row_pos", "cast(1000 + vec_id as bigint) length")
+    rows = rows.withColumns({r: F.lit("unclassified") for r in ("class", "order", "family", "genus", "species")})
+    return rows.join(marks, "contig", "left")
+
+
+@query()
+def tsne_embedding(d: Domain) -> DataFrame:
+    return emb.embed(_embedded(d, 16), 2, by="phylum", rounds=250)
+
+
+# Markers and bins.
+
+
+@query("SELECT contig, sacc, count(*)::BIGINT AS n FROM markers GROUP BY ALL")
+def marker_counts(d: Domain) -> DataFrame:
+    return markers.marker_counts(d.markers)
+
+
+@query("SELECT m.contig, m.sacc, m.score FROM markers m JOIN cutoffs c ON m.sacc = split_part(c.accession, '.', 1) WHERE m.score > c.cutoff")
+def marker_cutoffs(d: Domain) -> DataFrame:
+    return markers.apply_cutoffs(d.markers, d.cutoffs)
+
+
+@query("SELECT contig, to_json(list_sort(list(sacc)))::VARCHAR AS markers FROM markers GROUP BY contig")
+def marker_lists(d: Domain) -> DataFrame:
+    return markers.markers_list(d.markers).select("contig", F.to_json("markers").alias("markers"))
+
+
+@query("SELECT l_shipmode AS contig, sum(CASE WHEN s = 'A' THEN n END)::BIGINT AS A, sum(CASE WHEN s = 'N' THEN n END)::BIGINT AS N, sum(CASE WHEN s = 'R' THEN n END)::BIGINT AS R FROM (SELECT concat('c', l_suppkey) AS l_shipmode, l_returnflag AS s, count(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY 1")
+def markers_wide(d: Domain) -> DataFrame:
+    return markers.markers_wide(d.lineitem.selectExpr("concat('c', l_suppkey) contig", "l_returnflag sacc"), ["A", "N", "R"])
+
+
+@query("SELECT contig, count(*)::BIGINT AS n_markers FROM markers GROUP BY contig")
+def marker_totals(d: Domain) -> DataFrame:
+    return markers.markers_count(d.markers)
+
+
+_METRICS = (
+    "cm AS (SELECT cluster, sacc, count(*) AS n FROM bins JOIN markers USING (contig) WHERE cluster IS NOT NULL GROUP BY ALL)",
+    "per AS (SELECT cluster, count(*) AS present, count(*) FILTER (WHERE n = 1) AS single FROM cm GROUP BY cluster)",
+    "sd AS (SELECT cluster, stddev_samp(coverage) AS coverage_stddev, stddev_samp(gc_content) AS gc_content_stddev FROM bins WHERE cluster IS NOT NULL GROUP BY cluster)",
+    "metrics AS (SELECT cluster, coalesce(present, 0)::DOUBLE * 100 / (SELECT count(DISTINCT sacc) FROM markers) AS completeness, single::DOUBLE * 100 / nullif(present, 0) AS purity, coverage_stddev, gc_content_stddev FROM sd LEFT JOIN per USING (cluster))",
+)
+
+
+@query("SELECT cluster, round(completeness, 6) AS completeness, round(purity, 6) AS purity, round(coverage_stddev, 6) AS coverage_stddev, round(gc_content_stddev, 6) AS gc_content_stddev FROM metrics", *_METRICS)
+def bin_metrics(d: Domain) -> DataFrame:
+    return six(markers.bin_metrics(d.bins, d.markers))
+
+
+@query("SELECT b.contig, cluster, round(completeness, 6) AS completeness, round(purity, 6) AS purity FROM bins b JOIN metrics USING (cluster) WHERE completeness >= 20 AND purity >= 30 AND coverage_stddev <= 40 AND gc_content_stddev <= 15", *_METRICS)
+def bin_metric_filter(d: Domain) -> DataFrame:
+    rows = markers.metric_filter(markers.add_metrics(d.bins, d.markers), 20, 30, 40, 15)
+    return six(rows.select("contig", "cluster", "completeness", "purity"))
+
+
+_STATS = ", ".join(
+    f"round_even(round({e}, 9), 2) AS {n}"
+    for x in ("coverage", "gc_content")
+    for n, e in ((f"min_{x}", f"min({x})"), (f"max_{x}", f"max({x})"), (f"std_{x}", f"stddev_samp({x})"), (f"median_{x}", f"median({x})"), (f"length_weighted_{x}_mean", f"(sum({x} * length) / sum(length))"))
+)
+
+
+@query(
+    "SELECT cluster, nseqs, size, round_even(round(coalesce(u, 0)::DOUBLE * 100 / e, 9), 2) AS completeness, round_even(round(coalesce(s, 0)::DOUBLE * 100 / nullif(u, 0), 9), 2) AS purity, coalesce(m, 0)::BIGINT AS marker_sum, coalesce(u, 0)::BIGINT AS unique_markers, coalesce(s, 0)::BIGINT AS single_copy_markers, coalesce(r, 0)::BIGINT AS redundant_markers, e::BIGINT AS expected_unique_markers, "
+    "round_even(round(nseqs::DOUBLE * 100 / sum(nseqs) OVER (), 9), 2) AS percent_nseqs, round_even(round(size::DOUBLE * 100 / sum(size) OVER (), 9), 2) AS percent_size, n90, n50, n10, * EXCLUDE (cluster, nseqs, size, u, s, m, r, e, n90, n50, n10) "
+    "FROM g LEFT JOIN mk USING (cluster) JOIN nx USING (cluster) CROSS JOIN (SELECT count(DISTINCT sacc) AS e FROM markers)",
+    "b AS (SELECT contig, coalesce(cluster, 'unclustered') AS cluster, length, gc_content, coverage FROM bins)",
+    f"g AS (SELECT cluster, count(*)::BIGINT AS nseqs, sum(length)::BIGINT AS size, {_STATS} FROM b GROUP BY cluster)",
+    "mk AS (SELECT cluster, sum(n) AS m, count(*) AS u, count(*) FILTER (WHERE n = 1) AS s, count(*) FILTER (WHERE n > 1) AS r FROM (SELECT cluster, sacc, count(*) AS n FROM b JOIN markers USING (contig) GROUP BY ALL) GROUP BY cluster)",
+    "nx AS (SELECT cluster, max(length) FILTER (WHERE cum >= 0.9 * total)::BIGINT AS n90, max(length) FILTER (WHERE cum >= 0.5 * total)::BIGINT AS n50, max(length) FILTER (WHERE cum >= 0.1 * total)::BIGINT AS n10 FROM (SELECT cluster, length, sum(length) OVER (PARTITION BY cluster ORDER BY length DESC, contig ROWS UNBOUNDED PRECEDING) AS cum, sum(length) OVER (PARTITION BY cluster) AS total FROM b) GROUP BY cluster)",
+)
+def metabin_stats(d: Domain) -> DataFrame:
+    return summary.metabin_stats(d.bins, d.markers)
+
+
+# Taxonomy.
+
+_LINEAGE = (
+    "up AS (SELECT taxid, taxid AS ancestor, parent AS next, 0 AS steps FROM tree UNION ALL SELECT up.taxid, t.taxid, t.parent, steps + 1 FROM up JOIN tree t ON up.next = t.taxid WHERE up.ancestor <> 1)",
+    "canon AS (SELECT up.taxid, ancestor, t.rank, t.name FROM up JOIN tree t ON up.ancestor = t.taxid WHERE ancestor <> 1 AND t.rank IN ('species', 'genus', 'family', 'order', 'class', 'phylum', 'superkingdom'))",
+    "depth AS (SELECT taxid, max(steps) AS depth FROM up GROUP BY taxid)",
+)
+_RANK_NAMES = ("superkingdom", "phylum", "class", "order", "family", "genus", "species")
+
+
+@query("SELECT taxid, ancestor, canon.rank, canon.name FROM canon", *_LINEAGE)
+def lineages(d: Domain) -> DataFrame:
+    return taxonomy.lineage_rows(d.tree).select("taxid", "ancestor", "rank", "name")
+
+
+@query("SELECT t.taxid, " + ", ".join(f"coalesce(max(c.name) FILTER (WHERE c.rank = '{r}'), 'unclassified') AS \"{r}\"" for r in _RANK_NAMES) + " FROM tree t LEFT JOIN canon c USING (taxid) GROUP BY t.taxid", *_LINEAGE)
+def lineage_frame(d: Domain) -> DataFrame:
+    return taxonomy.lineage_frame(d.tree)
+
+
+@query("SELECT t.taxid, coalesce(max(c.name) FILTER (WHERE c.rank = 'phylum'), 'unclassified') AS name FROM tree t LEFT JOIN canon c USING (taxid) GROUP BY t.taxid", *_LINEAGE)
+def name_at_rank(d: Domain) -> DataFrame:
+    return taxonomy.name_at(d.tree, d.tree.select("taxid"), "phylum")
+
+
+_TAXA = (
+    "top AS (SELECT qseqid, sseqid FROM hits QUALIFY bitscore >= 0.9 * max(bitscore) OVER (PARTITION BY qseqid))",
+    "taxa AS (SELECT DISTINCT qseqid, coalesce(l.taxid, 1) AS taxid FROM top LEFT JOIN live l ON sseqid = accession_version)",
+    "sets AS (SELECT qseqid, count(*) AS n FROM taxa GROUP BY qseqid)",
+    "shared AS (SELECT t.qseqid, ancestor, count(*) AS k FROM taxa t JOIN up USING (taxid) GROUP BY ALL)",
+    "lcas AS (SELECT s.qseqid, arg_max(s.ancestor, d.depth)::INTEGER AS lca FROM shared s JOIN sets USING (qseqid) JOIN depth d ON s.ancestor = d.taxid WHERE k = n GROUP BY s.qseqid)",
+)
+
+
+@query("SELECT qseqid, t.name, t.rank, lca FROM lcas JOIN tree t ON lca = t.taxid", *_LINEAGE, *_TAXA)
+def blast_lca(d: Domain) -> DataFrame:
+    return taxonomy.blast_to_lca(d.hits, d.live, d.tree)
+
+
+@query("SELECT DISTINCT h.qseqid, h.sseqid, coalesce(l.taxid, 1)::INTEGER AS raw_taxid FROM hits h LEFT JOIN live l ON h.sseqid = l.accession_version")
+def accession_taxids(d: Domain) -> DataFrame:
+    return taxonomy.accession_taxids(d.hits, d.live)
+
+
+@query("SELECT qseqid, sseqid, round(bitscore, 6) AS bitscore FROM hits QUALIFY bitscore >= 0.9 * max(bitscore) OVER (PARTITION BY qseqid)")
+def top_hits(d: Domain) -> DataFrame:
+    return six(taxonomy.top_hits(d.hits))
+
+
+_VOTES = (
+    "own AS (SELECT up.taxid, arg_min(ancestor, steps) AS top FROM up JOIN tree t ON ancestor = t.taxid WHERE t.rank IN ('species', 'genus', 'family', 'order', 'class', 'phylum', 'superkingdom') GROUP BY up.taxid)",
+    "votes AS (SELECT 'k' || split_part(substr(qseqid, 2), '_', 1) AS contig, coalesce(top, 1) AS taxid, count(*)::BIGINT AS n, min(qseqid) AS first_seen FROM lcas LEFT JOIN own ON lca = own.taxid GROUP BY 1, 2)",
+    "ranked AS (SELECT v.*, t.rank, list_position(['species', 'genus', 'family', 'order', 'class', 'phylum', 'superkingdom', 'root'], t.rank) AS ix FROM votes v JOIN tree t USING (taxid))",
+)
+
+
+@query("SELECT contig, rank, taxid::INTEGER AS taxid, n FROM ranked", *_LINEAGE, *_TAXA, *_VOTES)
+def vote_counts(d: Domain) -> DataFrame:
+    lcas = taxonomy.blast_to_lca(d.hits, d.live, d.tree)
+    return taxonomy.vote_counts(lcas, d.tree).select("contig", "rank", "taxid", "n")
+
+
+_CHOICE = (
+    "pairs AS (SELECT a.contig, a.taxid, a.ix, a.n, a.first_seen, b.n AS bn, EXISTS (SELECT 1 FROM canon x JOIN canon y ON x.ancestor = y.ancestor WHERE x.taxid = a.taxid AND y.taxid = b.taxid) AS same FROM ranked a JOIN ranked b ON a.contig = b.contig AND b.ix >= a.ix)",
+    "good AS (SELECT contig, taxid, ix, n, first_seen FROM pairs GROUP BY ALL HAVING sum(CASE WHEN same THEN bn ELSE 0 END) > sum(CASE WHEN same THEN 0 ELSE bn END))",
+    "chosen AS (SELECT contig, arg_min(taxid, (ix, -n, first_seen)) AS taxid FROM good GROUP BY contig)",
+    "grid AS (SELECT DISTINCT contig, taxid, r.at, r.rix FROM ranked CROSS JOIN (SELECT unnest(['species', 'genus', 'family', 'order', 'class', 'phylum', 'superkingdom']) AS at, unnest(range(1, 8)) AS rix) r WHERE rix >= ix)",
+    "tally AS (SELECT g.contig, g.rix, c.ancestor, count(*) AS k FROM grid g LEFT JOIN canon c ON g.taxid = c.taxid AND g.at = c.rank GROUP BY ALL)",
+    "won AS (SELECT contig, arg_min(ancestor, rix) AS taxid FROM (SELECT *, sum(k) OVER (PARTITION BY contig, rix) AS total FROM tally) WHERE ancestor IS NOT NULL AND 2 * k > total GROUP BY contig)",
+)
+
+
+@query("SELECT v.contig, coalesce(c.taxid, w.taxid, 1)::INTEGER AS taxid FROM (SELECT DISTINCT contig FROM votes) v LEFT JOIN chosen c USING (contig) LEFT JOIN won w USING (contig)", *_LINEAGE, *_TAXA, *_VOTES, *_CHOICE)
+def majority_vote(d: Domain) -> DataFrame:
+    return taxonomy.assign(d.spark, "hits", hits=d.hits, live=d.live, tree=d.tree)
+
+
+@query("SELECT v.contig, coalesce(w.taxid, 1)::INTEGER AS taxid FROM (SELECT DISTINCT contig FROM votes) v LEFT JOIN won w USING (contig)", *_LINEAGE, *_TAXA, *_VOTES, *_CHOICE)
+def lowest_majority(d: Domain) -> DataFrame:
+    votes = taxonomy.vote_counts(taxonomy.blast_to_lca(d.hits, d.live, d.tree), d.tree)
+    return taxonomy.lowest_majority(votes, d.tree)
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 100000 + s_suppkey END::INTEGER AS cleaned_taxid FROM supplier")
+def cleaned_taxids(d: Domain) -> DataFrame:
+    rows = d.supplier.selectExpr("s_suppkey", "cast(900000 + s_suppkey as int) taxid")
+    merged = d.supplier.filter("s_suppkey % 3 <> 0").selectExpr("cast(900000 + s_suppkey as int) old_taxid", "cast(100000 + s_suppkey as int) new_taxid")
+    deleted = d.supplier.filter("s_suppkey % 3 = 0").selectExpr("cast(900000 + s_suppkey as int) taxid")
+    return taxonomy.clean_taxids(rows, d.tree, merged, deleted).select("s_suppkey", "cleaned_taxid")
+
+
+@query()
+def metabin_taxonomy(d: Domain) -> DataFrame:
+    return summary.metabin_taxonomy(d.bins, taxonomy.lineage_frame(d.tree), d.tree)
+
+
+# Binning and recruitment.
+
+
+@query()
+def binning_dbscan(d: Domain) -> DataFrame:
+    return clustering.guided_binning(_embedded(d), d.markers.select("sacc").distinct().count(), clustering.Limits(5, 40, 25, 5))
+
+
+@query()
+def binning_hdbscan(d: Domain) -> DataFrame:
+    return clustering.guided_binning(_embedded(d), d.markers.select("sacc").distinct().count(), clustering.Limits(5, 40, 25, 5), "hdbscan")
+
+
+@query()
+def binning_large_data(d: Domain) -> DataFrame:
+    """Each taxon's contigs are embedded anew; taxa over the limit are left to a finer rank."""
+
+    def again(rows: DataFrame) -> DataFrame:
+        new = emb.embed(rows, 2, by="taxon", rounds=120).select("contig", F.transform("features", lambda x: x / 10).alias("_f"))
+        return rows.join(new, "contig").withColumn("features", F.col("_f")).drop("_f")
+
+    return clustering.guided_binning(_embedded(d, 16), d.markers.select("sacc").distinct().count(), clustering.Limits(5, 40, 25, 5), max_partition=1000, embed=again)
+
+
+def _recruitment(d: Domain) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rows = _embedded(d)
+    x = recruitment.features(rows, rows.select("contig", "coverage"), rows.select("contig", "superkingdom", "phylum"))
+    marks = rows.select("contig", F.explode("markers").alias("sacc"))
+    return x, rows.select("contig", F.when(F.col("row_pos") % 4 != 0, F.concat(F.lit("bin_"), "phylum")).alias("cluster")), marks
+
+
+@query()
+def recruitment_trees(d: Domain) -> DataFrame:
+    x, bins, marks = _recruitment(d)
+    return recruitment.recruit(x, bins, marks, n=3)
+
+
+@query()
+def recruitment_forest(d: Domain) -> DataFrame:
+    x, bins, marks = _recruitment(d)
+    return recruitment.recruit(x, bins, marks, "random_forest", n=5, confidence=0.6)
+
+
+@query(
+    "SELECT contig, cluster FROM (SELECT contig, cluster, row_number() OVER (PARTITION BY contig ORDER BY votes DESC, cluster) AS r, votes FROM (SELECT concat('o', l_orderkey) AS contig, concat('b', l_suppkey % 5) AS cluster, count(*) AS votes FROM lineitem GROUP BY 1, 2)) WHERE r = 1 AND votes >= 2"
+)
+def confident_votes(d: Domain) -> DataFrame:
+    votes = d.lineitem.selectExpr("concat('o', l_orderkey) contig", "concat('b', l_suppkey % 5) cluster").groupBy("contig", "cluster").agg(F.count("*").alias("votes"))
+    return recruitment.confident(votes, 2, 1.0)
+
+
+@query(
+    "SELECT p.contig, p.cluster FROM predictions p WHERE NOT EXISTS (SELECT 1 FROM (SELECT cluster, count(*) FILTER (WHERE n = 1) AS s FROM was GROUP BY cluster) w LEFT JOIN (SELECT cluster, count(*) FILTER (WHERE n = 1) AS s FROM now GROUP BY cluster) x USING (cluster) WHERE w.cluster = p.cluster AND coalesce(x.s, 0) < w.s)",
+    "predictions AS (SELECT contig, concat('bin_', lpad((contig_order % 25)::VARCHAR, 4, '0')) AS cluster FROM bins WHERE cluster IS NULL)",
+    "was AS (SELECT cluster, sacc, count(*) AS n FROM bins JOIN markers USING (contig) WHERE cluster IS NOT NULL GROUP BY ALL)",
+    "now AS (SELECT cluster, sacc, count(*) AS n FROM (SELECT contig, cluster FROM bins WHERE cluster IS NOT NULL UNION ALL SELECT contig, cluster FROM predictions) JOIN markers USING (contig) GROUP BY ALL)",
+)
+def contamination_veto(d: Domain) -> DataFrame:
+    predictions = d.bins.filter("cluster is null").selectExpr("contig", "concat('bin_', lpad(cast(contig_order % 25 as string), 4, '0')) cluster")
+    return recruitment.uncontaminated(predictions, d.bins, d.markers)
+
+
+# Benchmarks.
+
+_PAIRS = (
+    "pt AS (SELECT b.contig, coalesce(b.cluster, '-1') AS p, coalesce(t.reference_genome, '-1') AS t FROM bins b LEFT JOIN (SELECT * FROM truth WHERE reference_genome <> 'misassembled') t USING (contig))",
+    "cells AS (SELECT p, t, count(*)::DOUBLE AS n FROM pt GROUP BY ALL)",
+    "pm AS (SELECT sum(n) AS m FROM cells GROUP BY p)",
+    "tm AS (SELECT sum(n) AS m FROM cells GROUP BY t)",
+    "total AS (SELECT sum(n) AS total, sum(n * (n - 1) / 2) AS s FROM cells)",
+    "h AS (SELECT total, s, (SELECT sum(m * (m - 1) / 2) FROM pm) AS sp, (SELECT sum(m * (m - 1) / 2) FROM tm) AS st, (SELECT sum(-m / total * ln(m / total)) FROM pm) AS hp, (SELECT sum(-m / total * ln(m / total)) FROM tm) AS ht, (SELECT sum(-n / total * ln(n / total)) FROM cells) AS hpt FROM total)",
+    "x AS (SELECT *, sp * st / (total * (total - 1) / 2) AS e, hp + ht - hpt AS mi FROM h)",
+)
+
+
+@query(
+    "SELECT round((s - e) / ((sp + st) / 2 - e), 6) AS ari, round(mi / least(hp, ht), 6) AS nmi_min, round(mi / sqrt(hp * ht), 6) AS nmi_geometric, round(mi / ((hp + ht) / 2), 6) AS nmi_arithmetic, round(mi / greatest(hp, ht), 6) AS nmi_max, round(mi / ht, 6) AS homogeneity, round(mi / hp, 6) AS completeness, round(coalesce(s / nullif(sqrt(sp * st), 0), 0), 6) AS fowlkes_mallows, round(2 * (mi / ht) * (mi / hp) / (mi / ht + mi / hp), 6) AS v_measure FROM x",
+    *_PAIRS,
+)
+def clustering_benchmark(d: Domain) -> DataFrame:
+    return six(benchmark.clustering_scores(benchmark.labels(d.bins, d.truth)))
+
+
+@query("SELECT contig, (dense_rank() OVER (ORDER BY p) - 1 - (CASE WHEN (SELECT count(*) FROM pt WHERE p = '-1') > 0 THEN 1 ELSE 0 END))::INTEGER AS code FROM pt", *_PAIRS)
+def label_codes(d: Domain) -> DataFrame:
+    return benchmark.codes(benchmark.labels(d.bins, d.truth), "p").select("contig", "code")
+
+
+@query()
+def adjusted_mutual_information(d: Domain) -> DataFrame:
+    score = benchmark.adjusted_mutual_information(benchmark.labels(d.bins, d.truth))
+    return d.spark.range(1).select(F.lit(score).alias("ami"))
+
+
+_TAXA_SCORES = (
+    "pair AS (SELECT b.contig, b.taxid AS p, t.taxid AS t FROM bins b JOIN truth t USING (contig))",
+    "pu AS (SELECT contig, ancestor FROM pair JOIN up ON p = up.taxid)",
+    "tu AS (SELECT contig, ancestor FROM pair JOIN up ON t = up.taxid)",
+    "per AS (SELECT coalesce(pu.ancestor, tu.ancestor) AS taxid, count(*) FILTER (WHERE pu.contig IS NOT NULL AND tu.contig IS NOT NULL) AS tp, count(pu.contig) AS pp, count(tu.contig) AS support FROM pu FULL JOIN tu ON pu.contig = tu.contig AND pu.ancestor = tu.ancestor GROUP BY 1)",
+    "pr AS (SELECT taxid, coalesce(tp::DOUBLE / nullif(pp, 0), 0) AS precision, coalesce(tp::DOUBLE / nullif(support, 0), 0) AS recall, support::BIGINT AS support FROM per)",
+    "sc AS (SELECT taxid::INTEGER AS taxid, precision, recall, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1, support FROM pr)",
+)
+
+
+@query("SELECT taxid, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM sc", *_LINEAGE, *_TAXA_SCORES)
+def lineage_benchmark(d: Domain) -> DataFrame:
+    return six(benchmark.lineage_scores(d.bins, d.truth, d.tree))
+
+
+@query("SELECT round(sum(precision * support) / sum(support), 6) AS precision, round(sum(recall * support) / sum(support), 6) AS recall, round(sum(f1 * support) / sum(support), 6) AS f1 FROM sc", *_LINEAGE, *_TAXA_SCORES)
+def weighted_lineage_benchmark(d: Domain) -> DataFrame:
+    return six(benchmark.weighted_scores(benchmark.lineage_scores(d.bins, d.truth, d.tree)))
+
+
+@query("SELECT round(avg(p), 6) AS precision, round(avg(r), 6) AS recall, round(avg(coalesce(2 * p * r / nullif(p + r, 0), 0)), 6) AS f1 FROM (SELECT contig, k::DOUBLE / (SELECT count(*) FROM pu WHERE pu.contig = z.contig) AS p, k::DOUBLE / (SELECT count(*) FROM tu WHERE tu.contig = z.contig) AS r FROM (SELECT pair.contig, count(tu.contig) AS k FROM pair JOIN pu USING (contig) LEFT JOIN tu ON pu.contig = tu.contig AND pu.ancestor = tu.ancestor GROUP BY pair.contig HAVING max((SELECT count(*) FROM tu t2 WHERE t2.contig = pair.contig)) > 0) z)", *_LINEAGE, *_TAXA_SCORES)
+def sample_lineage_benchmark(d: Domain) -> DataFrame:
+    return six(benchmark.sample_scores(d.bins, d.truth, d.tree))
+
+
+_CELLS = (
+    "tr AS (SELECT contig, reference_genome, length FROM truth WHERE reference_genome <> 'misassembled')",
+    "cl AS (SELECT reference_genome, cluster, sum(length)::BIGINT AS shared, count(*)::BIGINT AS contigs FROM bins b JOIN tr USING (contig) WHERE cluster IS NOT NULL GROUP BY ALL)".replace("sum(length)", "sum(tr.length)"),
+    "best AS (SELECT *, row_number() OVER (PARTITION BY reference_genome ORDER BY shared DESC, cluster) AS r FROM cl)",
+    "sco AS (SELECT reference_genome, cluster, shared, contigs, shared::DOUBLE / (SELECT sum(length) FROM tr WHERE tr.reference_genome = best.reference_genome) AS precision, shared::DOUBLE / (SELECT sum(shared) FROM cl WHERE cl.cluster = best.cluster) AS recall FROM best WHERE r = 1)",
+)
+
+
+@query("SELECT reference_genome, cluster, shared, contigs, round(precision, 6) AS precision, round(recall, 6) AS recall, round(2 * precision * recall / (precision + recall), 6) AS f1 FROM sco", *_CELLS)
+def binning_benchmark(d: Domain) -> DataFrame:
+    return six(benchmark.binning_classification(d.bins, d.truth))
+
+
+@query("SELECT reference_genome, metric, round(score, 6) AS score FROM (UNPIVOT (SELECT reference_genome, precision, recall FROM sco) ON precision, recall INTO NAME metric VALUE score)", *_CELLS)
+def benchmark_long(d: Domain) -> DataFrame:
+    rows = benchmark.binning_classification(d.bins, d.truth)
+    return six(benchmark.long_scores(rows, ["reference_genome"], ["precision", "recall"]))
+
+
+# Older evaluations.
+
+
+@query("SELECT l_orderkey, l_linenumber, n_name FROM lineitem JOIN nation ON l_partkey BETWEEN n_nationkey * 100 AND n_nationkey * 100 + 99")
+def read_ranges(d: Domain) -> DataFrame:
+    reads = d.lineitem.selectExpr("l_orderkey", "l_linenumber", "l_partkey number")
+    return legacy.in_ranges(reads, d.nation.selectExpr("n_name", "n_nationkey * 100 start", "n_nationkey * 100 + 99 end")).select("l_orderkey", "l_linenumber", "n_name")
+
+
+@query("SELECT concat('c', l_suppkey) AS contig, l_returnflag AS species, count(*)::BIGINT * 50 AS reads, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY l_suppkey), 6) AS percent FROM lineitem GROUP BY l_suppkey, l_returnflag")
+def read_shares(d: Domain) -> DataFrame:
+    return six(legacy.read_shares(d.lineitem.selectExpr("concat('c', l_suppkey) contig", "l_returnflag species"), 50))
+
+
+@query("SELECT contig, species, percent < 60 AS chimeric FROM (SELECT concat('c', l_suppkey) AS contig, l_returnflag AS species, count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY l_suppkey) AS percent, row_number() OVER (PARTITION BY l_suppkey ORDER BY count(*) DESC, l_returnflag) AS r FROM lineitem GROUP BY l_suppkey, l_returnflag) WHERE r = 1")
+def chimeras(d: Domain) -> DataFrame:
+    return legacy.chimeras(legacy.read_shares(d.lineitem.selectExpr("concat('c', l_suppkey) contig", "l_returnflag species")), 60).select("contig", "species", "chimeric")
+
+
+@query("SELECT (ceil(length / 10000.0) * 10000)::BIGINT AS length_bucket, count(*)::BIGINT AS n, count(*) FILTER (WHERE cluster = reference_genome)::BIGINT AS correct FROM (SELECT b.length, 'g' || (b.contig_order % 20) AS cluster, reference_genome FROM bins b JOIN truth USING (contig)) GROUP BY 1")
+def accuracy_by_length(d: Domain) -> DataFrame:
+    rows = d.bins.join(d.truth.select("contig", "reference_genome"), "contig").selectExpr("length", "concat('g', contig_order % 20) predicted", "reference_genome actual")
+    return legacy.accuracy_by_length(rows).select("length_bucket", "n", "correct")
+
+
+@query("SELECT l_tax AS confidence, count(*)::BIGINT AS n, round(count(*) FILTER (WHERE l_returnflag = l_linestatus) * 100.0::DOUBLE / count(*), 6) AS accuracy FROM lineitem GROUP BY l_tax")
+def accuracy_by_confidence(d: Domain) -> DataFrame:
+    return six(legacy.accuracy_by_confidence(d.lineitem.selectExpr("l_tax confidence", "l_returnflag predicted", "l_linestatus actual")))
+
+
+_SHARED = (
+    "tr AS (SELECT contig, reference_genome, length FROM truth WHERE reference_genome <> 'misassembled')",
+    "cells AS (SELECT reference_genome, coalesce(cluster, 'unclustered') AS cluster, sum(tr.length) AS shared FROM bins JOIN tr USING (contig) GROUP BY 1, 2)",
+    "f AS (SELECT reference_genome, cluster, shared * 100.0::DOUBLE / (SELECT sum(length) FROM tr WHERE tr.reference_genome = c.reference_genome) AS recall, round(shared * 100.0::DOUBLE / (SELECT sum(shared) FROM cells d WHERE d.cluster = c.cluster)) AS precision, row_number() OVER (PARTITION BY reference_genome ORDER BY cluster = 'unclustered', shared DESC, cluster) AS r FROM cells c)",
+)
+
+
+@query("SELECT reference_genome, cluster, round(recall, 6) AS recall, precision, round(coalesce(2 * recall * precision / nullif(recall + precision, 0), 0), 6) AS f1 FROM f WHERE r = 1", *_SHARED)
+def f1_percent(d: Domain) -> DataFrame:
+    return six(legacy.f1_percent(d.bins, d.truth))
+
+
+@query("SELECT round(sum(x), 1) AS sum_f1, round(median(x), 1) AS median_f1 FROM (SELECT coalesce(2 * recall * precision / nullif(recall + precision, 0), 0) AS x FROM f WHERE r = 1)", *_SHARED)
+def f1_summary(d: Domain) -> DataFrame:
+    return legacy.f1_summary(legacy.f1_percent(d.bins, d.truth))
+
+
+@query(
+    "SELECT n.cluster, size, longest, n50, round(coalesce(present, 0) * 100.0::DOUBLE / 139, 6) AS completeness, round(uniq * 100.0::DOUBLE / nullif(total_markers, 0), 6) AS purity FROM n LEFT JOIN m USING (cluster)",
+    "n AS (SELECT cluster, max(total)::BIGINT AS size, max(length)::BIGINT AS longest, min(length) FILTER (WHERE cum > total / 2)::BIGINT AS n50 FROM (SELECT cluster, length, sum(length) OVER (PARTITION BY cluster ORDER BY length) AS cum, sum(length) OVER (PARTITION BY cluster) AS total FROM bins WHERE cluster IS NOT NULL) GROUP BY cluster)",
+    "m AS (SELECT cluster, sum(k) AS total_markers, count(*) AS present, count(*) FILTER (WHERE k = 1) AS uniq FROM (SELECT cluster, sacc, count(*) AS k FROM bins JOIN markers USING (contig) WHERE cluster IS NOT NULL GROUP BY ALL) GROUP BY cluster)",
+)
+def cluster_summary(d: Domain) -> DataFrame:
+    return six(legacy.cluster_summary(d.bins, d.markers))
+
+
+@query("SELECT u AS node, 'p1' AS component FROM edges WHERE false")
+def graph_components(d: Domain) -> DataFrame:
+    return legacy.graph_components(d.edges)
+
+
+@query("SELECT concat('n', s_nationkey) AS nation, count(DISTINCT s_suppkey)::BIGINT AS n_s_suppkey, count(DISTINCT s_name)::BIGINT AS n_s_name FROM supplier GROUP BY s_nationkey")
+def distinct_per_assembly(d: Domain) -> DataFrame:
+    return legacy.distinct_per(d.supplier.withColumn("nation", F.expr("concat('n', s_nationkey)")), "nation", "s_suppkey", "s_name")
+
+
+@query("SELECT contig, CASE WHEN reference_genome = 'misassembled' OR m.n IS NULL THEN 'unclustered' ELSE reference_genome END AS label FROM truth LEFT JOIN (SELECT contig, count(*) AS n FROM markers GROUP BY contig) m USING (contig)")
+def training_labels(d: Domain) -> DataFrame:
+    rows = d.truth.join(markers.markers_count(d.markers), "contig", "left")
+    return legacy.training_label(rows).select("contig", "label")
+
+
+@query("SELECT o_orderkey, last_value(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS price FROM orders")
+def forward_fill(d: Domain) -> DataFrame:
+    rows = d.orders.selectExpr("o_orderkey", "o_custkey", "case when o_orderstatus = 'F' then o_totalprice end price")
+    return legacy.forward_fill(rows, "o_custkey", "o_orderkey", "price").select("o_orderkey", "price")
+
+
+# Joins and sets.
+
+
+@query("SELECT b.contig, cluster, coverage, reference_genome, n_markers FROM bins b JOIN truth USING (contig) JOIN (SELECT contig, count(*)::BIGINT AS n_markers FROM markers GROUP BY contig) USING (contig)")
+def annotation_join(d: Domain) -> DataFrame:
+    return relational.annotate(d.bins.select("contig", "cluster", "coverage"), d.truth.select("contig", "reference_genome"), markers.markers_count(d.markers))
+
+
+@query("SELECT contig, cluster FROM bins WHERE contig IN (SELECT contig FROM markers)")
+def semi_join(d: Domain) -> DataFrame:
+    return relational.within(d.bins.select("contig", "cluster"), d.markers)
+
+
+@query("SELECT contig, cluster FROM bins WHERE contig NOT IN (SELECT contig FROM truth WHERE reference_genome = 'misassembled')")
+def anti_join(d: Domain) -> DataFrame:
+    return relational.without(d.bins.select("contig", "cluster"), d.truth.filter("reference_genome = 'misassembled'"))
+
+
+@query("SELECT cluster, contig, NULL::VARCHAR AS reference_genome FROM bins UNION ALL SELECT NULL, contig, reference_genome FROM truth")
+def stacked(d: Domain) -> DataFrame:
+    return relational.stack(d.bins.select("contig", "cluster"), d.truth.select("contig", "reference_genome"))
+
+
+@query("SELECT contig FROM bins UNION SELECT contig FROM markers")
+def contig_union(d: Domain) -> DataFrame:
+    return relational.either(d.bins, d.markers)
+
+
+del _SQL["graph_components"]
+_SQL["graph_components"] = duck(
+    "SELECT node, min(other) AS component FROM reach GROUP BY node",
+    "b AS (SELECT DISTINCT u, v FROM edges UNION SELECT DISTINCT v, u FROM edges)",
+    "reach AS (SELECT DISTINCT u AS node, u AS other FROM b UNION SELECT r.node, b.v FROM reach r JOIN b ON r.other = b.u)",
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
@@ -35,3 +36,22 @@ def get_session(name: str = "contigforge") -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's spark.checkpoint.dir, or where that is unset (tests) one of our own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        spark.sparkContext.setCheckpointDir(folder := tempfile.mkdtemp(prefix="checkpoints-"))
+    return folder
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """df written to the shared folder; loops call this each round, so that plans stay short and lost executors cost one round."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
