@@ -33,7 +33,7 @@ SEGMENTS = 8
 SMALL = 64
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """A bit is 1 if it is set in over half of the shingles' hashes; repeats count."""
     import xxhash
 
@@ -46,7 +46,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     starts = np.concatenate([[0], ends[:-1] + 1])[:n].tolist()
     stops = ends[shingle - 1 :].tolist() if len(words) >= shingle else [len(row)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(row[s:e], SEED) for s, e in zip(starts, stops, strict=True)], "<u8")
+    hashes = np.array([digest(row[s:e], seed) for s, e in zip(starts, stops, strict=True)], "<u8")
     ones = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
@@ -171,6 +171,68 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     return rows.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+#: Of near_copies: words of a shingle and the least share of common shingles.
+COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
+#: The fingerprints that propose copies: shingle and seed. Single words move fewer bits when a few words change than long shingles do.
+PROPOSERS = ((1, 42), (1, 43))
+
+
+def _shingles(text, size: int):
+    """The set of hashes of a text's shingles: array<bigint>."""
+    words = F.filter(F.split(F.lower(text), "[ \\t\\n\\r\\x0B\\f]+"), lambda w: w != "")
+
+    def of(w):
+        some = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
+        return F.when(F.size(w) >= size, some).otherwise(F.array(F.xxhash64(F.array_join(w, " "))))
+
+    return F.array_distinct(F.transform(F.array(words), of)[0])
+
+
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = COPY_SIMILARITY) -> DataFrame:
+    """(doc_id, text_hash, component_id): documents are linked by SHINGLE-word fingerprints at most BITS apart, or by similarity or more of their COPY_SHINGLE-word shingles.
+
+    The second kind is proposed by the PROPOSERS' fingerprints, at most BITS apart, and then held against the whole shingle sets. Proposed are, for each different text,
+    the text of least id with its fingerprint and that of its component, and the pairs of texts that connect fingerprints; so their number grows with the texts alone.
+    Copies that no proposal joins, which differ in more than BITS bits for every proposer, are not found.
+    """
+
+    def make():
+        def one(b: pa.RecordBatch) -> pa.RecordBatch:
+            own = b.column("text").to_pylist()
+            columns = {f"f{k}": (pa.array(np.array([fingerprint(t, n, seed) for t in own], np.uint64).view(np.int64)), None) for k, (n, seed) in enumerate(kinds)}
+            return batch(doc_id=(b.column("doc_id"), None), text_hash=(b.column("text_hash"), None), **columns)
+
+        return one
+
+    kinds = ((SHINGLE, SEED), *PROPOSERS)
+    names = [f"f{k}" for k in range(len(kinds))]
+    source = texts(df, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    rows = stage(map_batches(source, make, "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names)), "near-copies")
+    different = checkpoint(rows.groupBy("text_hash").agg(F.min("doc_id").alias("first"), *[F.first(n).alias(n) for n in names]))
+    order = F.struct(F.col("first").isNull(), "first", "text_hash")
+    pairs = []
+    for n in names:
+        heads = checkpoint(different.groupBy(F.col(n).alias("fp")).agg(F.min_by("text_hash", order).alias("head")))
+        same = different.join(heads, different[n] == heads.fp).select(F.col("text_hash").alias("u"), F.col("head").alias("v"))
+        joined = edges(heads.select("fp")).join(heads.select(F.col("fp").alias("u"), F.col("head").alias("hu")), "u").join(heads.select(F.col("fp").alias("v"), F.col("head").alias("hv")), "v").select(F.col("hu").alias("u"), F.col("hv").alias("v"))
+        pairs.append(checkpoint(same.union(joined).filter("u <> v").distinct()))
+    proposed = pairs[1]
+    for more in pairs[2:]:
+        proposed = proposed.union(more)
+    near = components(proposed).join(different.select(F.col("text_hash").alias("node"), "first"), "node")
+    leads = near.groupBy("component").agg(F.min_by("node", F.struct(F.col("first").isNull(), "first", "node")).alias("v"))
+    proposed = checkpoint(proposed.union(near.join(leads, "component").select(F.col("node").alias("u"), "v")).filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    asked = proposed.select(F.col("u").alias("text_hash")).union(proposed.select("v")).distinct()
+    sets = checkpoint(source.join(asked, "text_hash", "left_semi").dropDuplicates(["text_hash"]).select("text_hash", _shingles(F.col("text"), COPY_SHINGLE).alias("s")))
+    held = proposed.join(sets.select(F.col("text_hash").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("text_hash").alias("v"), F.col("s").alias("b")), "v")
+    common = F.size(F.array_intersect("a", "b"))
+    copies = held.filter(common >= similarity * (F.size("a") + F.size("b") - common)).select("u", "v")
+    linked = components(pairs[0].union(copies))
+    named = different.join(linked.withColumnRenamed("node", "text_hash"), "text_hash", "left").select("text_hash", "first", F.coalesce("component", "text_hash").alias("root"))
+    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.select("doc_id", "text_hash").join(named.join(least, "root").select("text_hash", "component_id"), "text_hash").select("doc_id", "text_hash", "component_id")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = groups(documents(spark, sf_dir))

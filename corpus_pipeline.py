@@ -36,14 +36,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the least id, and of rows with one id that of the least text hash. Documents without an id stay if no other of their group has one, one of them."""
+    """One document of each group of near copies: that of the least id, and of rows with one id that of the least text hash. Groups without any id keep their different texts."""
     _ready(spark)
     docs = docs.select(*COLUMNS)
-    found = simhash.groups(docs).select("doc_id", "component_id").filter("doc_id is null or doc_id = component_id").distinct()
-    kept = docs.join(found.select(F.col("doc_id").alias("k_id")), F.col("doc_id").eqNullSafe(F.col("k_id")), "left_semi")
-    firsts = kept.groupBy("doc_id").agg(F.min(F.xxhash64(F.coalesce("text", F.lit("")))).alias("k_hash")).withColumnRenamed("doc_id", "k_id")
-    kept = kept.join(firsts, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("k_hash")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    found = simhash.near_copies(docs).filter("doc_id <=> component_id")
+    firsts = found.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("k")).agg(F.min("text_hash").alias("k_hash")).select(F.col("doc_id").alias("k_id"), "k_hash")
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    kept = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("k_id")) & (own == F.col("k_hash")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
