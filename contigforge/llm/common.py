@@ -37,7 +37,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) alone: other columns go, a null text becomes empty, a null id stays null."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return df.select(column(id_col).cast("long").alias("doc_id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"))
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
@@ -81,3 +81,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with as many underscores before it as no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def column(name: str):
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")

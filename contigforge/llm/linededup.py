@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import column, documents, fresh
 
 #: Distinct sites that make a line boilerplate.
 MIN_SITES = 5
@@ -37,7 +37,7 @@ def _key(line: Column) -> Column:
 
 def boilerplate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """(key, sites, first_id) of the lines on min_sites sites or more. sites is exact for lines near the threshold, else the estimate."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.concat(F.lit("s"), F.col(site_col).cast("string")), F.lit("")).alias("site"), F.explode(F.array_distinct(F.transform(_lines(F.col(text_col).cast("string")), _key))).alias("key")).filter("key is not null")
+    rows = df.select(column(id_col).cast("long").alias("id"), F.coalesce(F.concat(F.lit("s"), column(site_col).cast("string")), F.lit("")).alias("site"), F.explode(F.array_distinct(F.transform(_lines(column(text_col).cast("string")), _key))).alias("key")).filter("key is not null")
     pairs = rows.groupBy("key", "site").agg(F.min("id").alias("id"))  # a row for each line and site: partial aggregation folds hot lines before they move
     spread = pairs.groupBy("key").agg(F.hll_sketch_agg("site", lg_k).alias("sketch"), F.min("id").alias("first_id"))
     width = max(1.0, NEAR * 1.04 / 2 ** (lg_k / 2) * min_sites)
@@ -48,25 +48,26 @@ def boilerplate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return counted.filter(F.col("sites") >= min_sites)
 
 
-def _marked(df: DataFrame, ids: Column, text: Column, found: DataFrame, keep_first: bool) -> DataFrame:
-    """(id, hash) and the places of lines to remove, of each document that has any; places count from 0."""
-    rows = df.select(ids.alias("m_id"), F.xxhash64(text).alias("m_hash"), F.posexplode(F.transform(_lines(text), _key)).alias("place", "key")).filter("key is not null")
+def _marked(df: DataFrame, ids: Column, text: Column, found: DataFrame, keep_first: bool, names: list[str]) -> DataFrame:
+    """The id, the text's hash and the places of lines to remove, of each document that has any, under these names; places count from 0."""
+    rows = df.select(ids.alias("id"), F.xxhash64(text).alias("hash"), F.posexplode(F.transform(_lines(text), _key)).alias("place", "key")).filter("key is not null")
     hit = rows.join(found.select("key", "first_id"), "key")
     if keep_first:
-        hit = hit.filter(~F.col("m_id").eqNullSafe(F.col("first_id")) | F.col("m_id").isNull())
-    return hit.groupBy("m_id", "m_hash").agg(F.collect_set("place").alias("places"))
+        hit = hit.filter(~F.col("id").eqNullSafe(F.col("first_id")) | F.col("id").isNull())
+    return hit.groupBy(F.col("id").alias(names[0]), F.col("hash").alias(names[1])).agg(F.collect_set("place").alias(names[2]))
 
 
 def remove_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, keep_first: bool = True) -> DataFrame:
     """df with boilerplate lines cut from its texts; all columns as they were, with line counts _n_lines and _n_removed added."""
-    ids, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
-    marks = _marked(df, ids, text, boilerplate(df, id_col, text_col, site_col, min_sites), keep_first)
-    rows = df.join(marks, ids.eqNullSafe(F.col("m_id")) & (F.xxhash64(text) == F.col("m_hash")), "left")
-    kept = F.array_join(F.filter(_lines(text), lambda _, i: ~F.array_contains("places", i)), "\n")
+    ids, text = column(id_col).cast("long"), column(text_col).cast("string")
+    own_id, own_hash, places = (fresh(df, n) for n in ("m_id", "m_hash", "places"))
+    marks = _marked(df, ids, text, boilerplate(df, id_col, text_col, site_col, min_sites), keep_first, [own_id, own_hash, places])
+    rows = df.join(marks, ids.eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_hash)), "left")
+    kept = F.array_join(F.filter(_lines(text), lambda _, i: ~F.array_contains(F.col(places), i)), "\n")
     return rows.select(
-        *[F.when(F.col("places").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in df.columns],
+        *[F.when(F.col(places).isNull(), column(c)).otherwise(kept).alias(c) if c == text_col else column(c) for c in df.columns],
         F.coalesce(F.size(_lines(text)), F.lit(1)).cast("long").alias("_n_lines"),
-        F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("_n_removed"),
+        F.coalesce(F.size(places), F.lit(0)).cast("long").alias("_n_removed"),
     )
 
 

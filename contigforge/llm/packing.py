@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .chunks import library
-from .common import checkpoint, documents, stage, tokenizer_path
+from .common import checkpoint, column, documents, stage, tokenizer_path
 
 WINDOW = 1024
 BLOCK = 512
@@ -152,7 +152,7 @@ def tokenise(df: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str =
             yield pa.RecordBatch.from_arrays([pa.array([task] * len(ids), pa.int32()), b.column("source"), pa.array(starts, pa.int64()), b.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["task", "source", "task_start", "doc_id", "n_tokens", "ids"])
 
     ship(df.sparkSession)
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(source_col).cast("string").alias("source"))
+    rows = df.select(column(id_col).cast("long").alias("doc_id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"), column(source_col).cast("string").alias("source"))
     return rows.mapInArrow(run, "task int, source string, task_start long, doc_id long, n_tokens long, ids binary")
 
 

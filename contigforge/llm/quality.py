@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, checkpoint, documents, map_batches, texts
+from .common import batch, checkpoint, column, documents, fresh, map_batches, texts
 
 ABSTAIN, GOOD, JUNK, HARMFUL = 0, 1, 2, 3
 CLASSES = (GOOD, JUNK, HARMFUL)
@@ -324,9 +324,10 @@ def score(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str =
 
 def keep_good(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df whose text is kept, all columns as they were."""
-    ids, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    good = score(df, scorer, id_col, text_col).filter("keep").select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash")).distinct()
-    return df.join(good, ids.eqNullSafe(F.col("g_id")) & (F.xxhash64(text) == F.col("g_hash")), "left_semi")
+    ids, text = column(id_col).cast("long"), F.coalesce(column(text_col).cast("string"), F.lit(""))
+    own_id, own_hash = fresh(df, "g_id"), fresh(df, "g_hash")
+    good = score(df, scorer, id_col, text_col).filter("keep").select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).distinct()
+    return df.join(good, ids.eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_hash)), "left_semi")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,12 +178,12 @@ PROPOSERS = ((1, 42), (1, 43))
 
 
 def _shingles(text, size: int):
-    """The set of hashes of a text's shingles: array<bigint>."""
+    """The set of 32-bit hashes of a text's shingles: array<int>."""
     words = F.filter(F.split(F.lower(text), "[ \\t\\n\\r\\x0B\\f]+"), lambda w: w != "")
 
     def of(w):
-        some = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
-        return F.when(F.size(w) >= size, some).otherwise(F.array(F.xxhash64(F.array_join(w, " "))))
+        some = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.hash(*[F.get(w, i + k) for k in range(size)]))
+        return F.when(F.size(w) >= size, some).otherwise(F.array(F.hash(F.array_join(w, " "))))
 
     return F.array_distinct(F.transform(F.array(words), of)[0])
 
@@ -221,12 +221,16 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         proposed = proposed.union(more)
     near = components(proposed).join(different.select(F.col("text_hash").alias("node"), "first"), "node")
     leads = near.groupBy("component").agg(F.min_by("node", F.struct(F.col("first").isNull(), "first", "node")).alias("v"))
-    proposed = checkpoint(proposed.union(near.join(leads, "component").select(F.col("node").alias("u"), "v")).filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    asked = proposed.select(F.col("u").alias("text_hash")).union(proposed.select("v")).distinct()
-    sets = checkpoint(source.join(asked, "text_hash", "left_semi").dropDuplicates(["text_hash"]).select("text_hash", _shingles(F.col("text"), COPY_SHINGLE).alias("s")))
-    held = proposed.join(sets.select(F.col("text_hash").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("text_hash").alias("v"), F.col("s").alias("b")), "v")
+    proposed = proposed.union(near.join(leads, "component").select(F.col("node").alias("u"), "v")).filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    side = lambda k: different.select(F.col("text_hash").alias(k), F.col("f0").alias(f"f_{k}"))
+    proposed = checkpoint(proposed.join(side("u"), "u").join(side("v"), "v").select("u", "v", (F.bit_count(F.col("f_u").bitwiseXOR(F.col("f_v"))) <= BITS).alias("near")))
+    asked = proposed.filter("not near").select(F.explode(F.array("u", "v")).alias("text_hash")).distinct().join(different.select("text_hash", F.coalesce("first", F.lit(0)).alias("k"), F.col("first").isNull().alias("none")), "text_hash")
+    keyed = source.select("text_hash", F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("none"), "text")
+    sets = keyed.join(asked, ["text_hash", "k", "none"], "left_semi").dropDuplicates(["text_hash", "k", "none"])  # one exchange serves both
+    sets = stage(sets.select("text_hash", _shingles(F.col("text"), COPY_SHINGLE).alias("s")), "near-copies-sets")
+    held = proposed.filter("not near").select("u", "v").join(sets.select(F.col("text_hash").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("text_hash").alias("v"), F.col("s").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b"))
-    copies = held.filter(common >= similarity * (F.size("a") + F.size("b") - common)).select("u", "v")
+    copies = held.filter(common >= similarity * (F.size("a") + F.size("b") - common)).select("u", "v").union(proposed.filter("near").select("u", "v"))
     linked = components(pairs[0].union(copies))
     named = different.join(linked.withColumnRenamed("node", "text_hash"), "text_hash", "left").select("text_hash", "first", F.coalesce("component", "text_hash").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .common import documents, shuffle_partitions
+from .common import column, documents, shuffle_partitions
 
 LENGTH = 50
 GRAM = 20
@@ -507,17 +507,13 @@ def _kept(raw: bytes, spans: np.ndarray) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-def _plan(df: DataFrame, id_col: str, text_col: str, finish, schema: str, hot: int) -> DataFrame:
-    """The whole plan in one query: texts are dealt to chunks by one exchange that all three steps over them reuse."""
-    spark = df.sparkSession
+def _plan(rows: DataFrame, finish, schema: str, hot: int) -> DataFrame:
+    """The whole plan in one query: rows (_id, _raw and others) are dealt to chunks by one exchange that all three steps over them reuse."""
+    spark = rows.sparkSession
     ship(spark)
     buckets = 2 * shuffle_partitions(spark)
-    chunks = max(1, df.count() // CHUNK_DOCUMENTS)
-    ids = F.col(id_col).cast("long")
-    rows = df.select("*", ids.alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("_raw"), F.pmod(F.xxhash64(ids), F.lit(chunks)).alias("_chunk"))
-    rows = rows.drop(text_col)
-    narrow = rows
-    by_chunk = narrow.groupBy("_chunk")
+    chunks = max(1, rows.count() // CHUNK_DOCUMENTS)
+    by_chunk = rows.withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.lit(chunks))).groupBy("_chunk")
     first = by_chunk.applyInArrow(_first(buckets), SENT)
     found = first.groupBy("bucket").applyInArrow(_compare(hot), SENT)
     second = by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(_second(buckets), SENT)
@@ -525,6 +521,10 @@ def _plan(df: DataFrame, id_col: str, text_col: str, finish, schema: str, hot: i
     return by_chunk.cogroup(found.unionByName(merged).groupBy("chunk")).applyInArrow(finish(buckets), schema)
 
 
+def _own(df: DataFrame, id_col: str, text_col: str) -> list:
+    return [column(id_col).cast("long").alias("_id"), F.coalesce(column(text_col).cast("string"), F.lit("")).cast("binary").alias("_raw")]
+
+
 DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -540,24 +540,27 @@ def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: i
 
         return end
 
-    return _plan(df.select(F.col(id_col), F.col(text_col)), id_col, text_col, finish, DIGEST, hot)
+    return _plan(df.select(*_own(df, id_col, text_col)), finish, DIGEST, hot)
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """df with repeated passages cut from its texts; a character of which bytes are left over at a cut goes too. A null text stays null."""
     others = [c for c in df.columns if c != text_col]
+    held = [f"_c{i}" for i in range(len(others))]
 
     def finish(buckets: int):
         def end(_key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
             c = Chunk(table, buckets)
             text = [_kept(r, s).decode("utf-8", "ignore") for r, s in zip(c.raws, _spans(c, said), strict=True)]
             missing = table.column("_null").to_pylist()
-            return pa.table([*(table.column(k) for k in others), pa.array([None if m else t for t, m in zip(text, missing, strict=True)], pa.string())], names=[*others, text_col])
+            return pa.table([*(table.column(k) for k in held), pa.array([None if m else t for t, m in zip(text, missing, strict=True)], pa.string())], names=[*held, "_text"])
 
         return end
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*others).schema) + f", `{text_col}` string"
-    return _plan(df.withColumn("_null", F.col(text_col).isNull()), id_col, text_col, finish, schema, hot).select(*df.columns)
+    rows = df.select(*_own(df, id_col, text_col), column(text_col).isNull().alias("_null"), *[column(c).alias(h) for c, h in zip(others, held, strict=True)])
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*held).schema), "_text string"])
+    names = dict(zip(others, held, strict=True)) | {text_col: "_text"}
+    return _plan(rows, finish, schema, hot).select(*[F.col(names[c]).alias(c) for c in df.columns])
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,10 +40,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _ready(spark)
     docs = docs.select(*COLUMNS)
     found = simhash.near_copies(docs).filter("doc_id <=> component_id")
-    firsts = found.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("k")).agg(F.min("text_hash").alias("k_hash")).select(F.col("doc_id").alias("k_id"), "k_hash")
-    own = F.xxhash64(F.coalesce("text", F.lit("")))
-    kept = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("k_id")) & (own == F.col("k_hash")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    key = [F.coalesce("doc_id", F.lit(0)).alias("_k"), F.col("doc_id").isNull().alias("_none")]
+    firsts = found.groupBy(*key, F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("_own")).agg(F.min("text_hash").alias("_hash")).drop("_own")
+    keyed = docs.select("*", *key, F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    kept = keyed.join(firsts, ["_k", "_none", "_hash"], "left_semi").dropDuplicates(["_k", "_none", "_hash"])  # one exchange of the texts serves both
+    return kept.select(*COLUMNS)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
