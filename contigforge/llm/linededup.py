@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, documents, fresh
+from .common import column, documents, fresh, stage
 
 #: Distinct sites that make a line boilerplate.
 MIN_SITES = 5
@@ -61,7 +61,8 @@ def remove_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """df with boilerplate lines cut from its texts; all columns as they were, with line counts _n_lines and _n_removed added."""
     ids, text = column(id_col).cast("long"), column(text_col).cast("string")
     own_id, own_hash, places = (fresh(df, n) for n in ("m_id", "m_hash", "places"))
-    marks = _marked(df, ids, text, boilerplate(df, id_col, text_col, site_col, min_sites), keep_first, [own_id, own_hash, places])
+    found = stage(boilerplate(df, id_col, text_col, site_col, min_sites), "boilerplate")  # a table of known size: the join is by broadcast where that is small, else it can split hot lines
+    marks = _marked(df, ids, text, found, keep_first, [own_id, own_hash, places])
     rows = df.join(marks, ids.eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_hash)), "left")
     kept = F.array_join(F.filter(_lines(text), lambda _, i: ~F.array_contains(F.col(places), i)), "\n")
     return rows.select(
