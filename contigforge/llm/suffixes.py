@@ -36,8 +36,8 @@ LENGTH = 50
 GRAM = 20
 #: Different runs of one anchor beyond which its windows are dealt one by one.
 HOT = 20_000
-#: Documents in a chunk, on average.
-CHUNK_DOCUMENTS = 2048
+#: Documents in a chunk, and bytes of text, on average at most.
+CHUNK_DOCUMENTS, CHUNK_BYTES = 2048, 8 << 20
 #: Windows of a text hashed at once, and bytes of a batch of them.
 PIECE, BATCH = 1 << 17, 1 << 18
 #: Strings of a shard whose suffixes are sorted at once.
@@ -512,7 +512,8 @@ def _plan(rows: DataFrame, finish, schema: str, hot: int) -> DataFrame:
     spark = rows.sparkSession
     ship(spark)
     buckets = 2 * shuffle_partitions(spark)
-    chunks = max(1, rows.count() // CHUNK_DOCUMENTS)
+    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("_raw")), F.lit(0)).alias("bytes")).first()
+    chunks = max(1, size.n // CHUNK_DOCUMENTS, size.bytes // CHUNK_BYTES)
     by_chunk = rows.withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.lit(chunks))).groupBy("_chunk")
     first = by_chunk.applyInArrow(_first(buckets), SENT)
     found = first.groupBy("bucket").applyInArrow(_compare(hot), SENT)
