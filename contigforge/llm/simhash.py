@@ -175,6 +175,8 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
 COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
 #: The fingerprints that propose copies: shingle and seed. Single words move fewer bits when a few words change than long shingles do.
 PROPOSERS = ((1, 42), (1, 43))
+#: Sets of more shingles are first compared by one hash in so many, and dropped if those are 0.3 less alike than asked for: so far off, it takes some twenty hashes to err once in a thousand.
+SKETCH_FROM, SKETCH_ONE_IN = 160, 8
 
 
 def _shingles(text, size: int):
@@ -227,10 +229,22 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     asked = proposed.filter("not near").select(F.explode(F.array("u", "v")).alias("text_hash")).distinct().join(different.select("text_hash", F.coalesce("first", F.lit(0)).alias("k"), F.col("first").isNull().alias("none")), "text_hash")
     keyed = source.select("text_hash", F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("none"), "text")
     sets = keyed.join(asked, ["text_hash", "k", "none"], "left_semi").dropDuplicates(["text_hash", "k", "none"])  # one exchange serves both
-    sets = stage(sets.select("text_hash", _shingles(F.col("text"), COPY_SHINGLE).alias("s")), "near-copies-sets")
-    held = proposed.filter("not near").select("u", "v").join(sets.select(F.col("text_hash").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("text_hash").alias("v"), F.col("s").alias("b")), "v")
-    common = F.size(F.array_intersect("a", "b"))
-    copies = held.filter(common >= similarity * (F.size("a") + F.size("b") - common)).select("u", "v").union(proposed.filter("near").select("u", "v"))
+    sets = sets.select("text_hash", _shingles(F.col("text"), COPY_SHINGLE).alias("s"))
+    part = F.when(F.size("s") > SKETCH_FROM, F.filter("s", lambda h: F.pmod(h, F.lit(SKETCH_ONE_IN)) == 0)).otherwise(F.col("s"))
+    sets = stage(sets.select("text_hash", F.size("s").alias("n"), part.alias("part"), "s"), "near-copies-sets")
+
+    def beside(rows: DataFrame, column: str) -> DataFrame:
+        for k in "uv":
+            rows = rows.join(sets.select(F.col("text_hash").alias(k), F.col(column).alias(f"{column}_{k}")), k)
+        return rows
+
+    def alike(column: str, least: float):
+        common = F.size(F.array_intersect(f"{column}_u", f"{column}_v"))
+        return common >= least * (F.size(f"{column}_u") + F.size(f"{column}_v") - common)
+
+    sized = beside(proposed.filter("not near").select("u", "v"), "n").filter(F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v"))
+    likely = checkpoint(beside(sized, "part").filter((F.least("n_u", "n_v") <= SKETCH_FROM) | alike("part", similarity - 0.3)).select("u", "v"))
+    copies = beside(likely, "s").filter(alike("s", similarity)).select("u", "v").union(proposed.filter("near").select("u", "v"))
     linked = components(pairs[0].union(copies))
     named = different.join(linked.withColumnRenamed("node", "text_hash"), "text_hash", "left").select("text_hash", "first", F.coalesce("component", "text_hash").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
