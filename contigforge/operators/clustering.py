@@ -253,6 +253,20 @@ def cluster_groups(contigs: DataFrame, expected: int, limits: Limits = Limits(),
     return contigs.withColumnRenamed(by, "taxon").groupBy("taxon").applyInPandas(run, CLUSTERED)
 
 
+def dbscan_groups(contigs: DataFrame, eps: float) -> DataFrame:
+    """(taxon, contig, first): of each group of contigs (taxon, contig, features, coverage, row_pos), the component of distances up to eps, named by its first contig."""
+    ship(contigs.sparkSession)
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["row_pos", "contig"]).reset_index(drop=True)
+        x = np.column_stack([np.array(frame["features"].tolist(), float).reshape(len(frame), -1), frame["coverage"].to_numpy(float)])
+        labels = dbscan(x, eps)
+        first = frame["contig"].groupby(labels).transform("first")
+        return pd.DataFrame({"taxon": str(key[0]), "contig": frame["contig"], "first": first})
+
+    return contigs.select("taxon", "contig", "features", "coverage", "row_pos").groupBy("taxon").applyInPandas(run, "taxon string, contig string, first string")
+
+
 def reindex_bins(rows: DataFrame, start: int = 0, width: int = 4, order: tuple[str, ...] = ("taxon", "cluster")) -> DataFrame:
     """rows of clusters renamed bin_0001 and so on in the given order, after start others."""
     names = rows.filter("cluster > 0").select(*order).distinct()
@@ -260,31 +274,6 @@ def reindex_bins(rows: DataFrame, start: int = 0, width: int = 4, order: tuple[s
     return rows.join(names.select(*order, zero_padded("bin_", number, width).alias("bin")), list(order), "left")
 
 
-def guided_binning(contigs: DataFrame, expected: int, limits: Limits = Limits(), method: str = "dbscan", reverse_ranks: bool = False, start_rank: str = "superkingdom", max_partition: int | None = None, embed=None) -> DataFrame:  # noqa: B008
-    """(contig, cluster, metrics) by rounds over the ranks, coarse to fine or the other way: each taxon's contigs that have no bin yet are clustered.
-
-    max_partition: taxa with more contigs are left to finer ranks. embed: a function of a rank's contigs that gives them new features.
-    """
-    ranks = list(RANKS if reverse_ranks else reversed(RANKS))
-    ranks = ranks[: ranks.index(start_rank) + 1] if reverse_ranks else ranks[ranks.index(start_rank) :]
-    out, found = None, 0
-    for rank in ranks:
-        left = contigs.join(out.select("contig"), "contig", "left_anti") if out is not None else contigs
-        left = left.filter(F.col(rank) != UNCLASSIFIED).withColumn("taxon", F.col(rank))
-        if max_partition:
-            fits = contigs.filter(F.col(rank) != UNCLASSIFIED).groupBy(F.col(rank).alias("taxon")).count().filter(F.col("count") <= max_partition).select("taxon")
-            left = left.join(fits, "taxon", "left_semi")
-        if embed:
-            left = embed(left)
-        new = cluster_groups(left, expected, limits, method).filter("cluster > 0")
-        new = checkpoint(reindex_bins(new, found).select("contig", F.col("bin").alias("cluster"), *METRICS))
-        found += new.select("cluster").distinct().count()
-        out = new if out is None else checkpoint(out.unionByName(new))
-    if not found:
-        raise BinningError("no cluster was recovered")
-    return contigs.select("contig").join(out, "contig", "left")
-
-
 class Checkpoints:
     """Finished taxa of a long run, a Parquet folder for each rank and taxon, under a hash of the parameters, so that a changed parameter starts anew."""
 
@@ -310,3 +299,35 @@ class Checkpoints:
     def finished(self, rank: str) -> set[str]:
         rows = self.read(rank)
         return {r.taxon for r in rows.select("taxon").distinct().collect()} if rows is not None else set()
+
+
+def guided_binning(contigs: DataFrame, expected: int, limits: Limits = Limits(), method: str = "dbscan", reverse_ranks: bool = False, start_rank: str = "superkingdom", max_partition: int | None = None, embed=None, store: Checkpoints | None = None) -> DataFrame:  # noqa: B008
+    """(contig, cluster, metrics) by rounds over the ranks, coarse to fine or the other way: each taxon's contigs that have no bin yet are clustered.
+
+    max_partition: taxa with more contigs are left to finer ranks. embed: a function of a rank's contigs that gives them new features.
+    store: where each rank's clusters are kept, so that a run that is started again goes on after the last finished rank.
+    """
+    ranks = list(RANKS if reverse_ranks else reversed(RANKS))
+    ranks = ranks[: ranks.index(start_rank) + 1] if reverse_ranks else ranks[ranks.index(start_rank) :]
+    out, found = None, 0
+    for rank in ranks:
+        left = contigs.join(out.select("contig"), "contig", "left_anti") if out is not None else contigs
+        left = left.filter(F.col(rank) != UNCLASSIFIED).withColumn("taxon", F.col(rank))
+        if max_partition:
+            fits = contigs.filter(F.col(rank) != UNCLASSIFIED).groupBy(F.col(rank).alias("taxon")).count().filter(F.col("count") <= max_partition).select("taxon")
+            left = left.join(fits, "taxon", "left_semi")
+        if embed:
+            left = embed(left)
+        if store and (kept := store.read(rank)) is not None and not kept.isEmpty():
+            new = kept.drop("rank")
+        else:
+            new = cluster_groups(left, expected, limits, method)
+            if store:
+                store.write(rank, checkpoint(new))
+        new = new.filter("cluster > 0")
+        new = checkpoint(reindex_bins(new, found).select("contig", F.col("bin").alias("cluster"), *METRICS))
+        found += new.select("cluster").distinct().count()
+        out = new if out is None else checkpoint(out.unionByName(new))
+    if not found:
+        raise BinningError("no cluster was recovered")
+    return contigs.select("contig").join(out, "contig", "left")

@@ -97,6 +97,13 @@ def accession_taxids(hits: DataFrame, live: DataFrame, dead: DataFrame | None =
     return out.select("qseqid", "sseqid", F.coalesce("_live", "_dead", F.lit(ROOT)).alias("raw_taxid"))
 
 
+def genome_taxids(hits: DataFrame, genomes: DataFrame) -> DataFrame:
+    """(qseqid, sseqid, raw_taxid) by a map of genome accessions, the root where the map has none."""
+    wanted = hits.select("qseqid", "sseqid").distinct()
+    known = genomes.groupBy(F.col("accession").alias("sseqid")).agg(F.max("taxid").alias("taxid"))
+    return wanted.join(known, "sseqid", "left").select("qseqid", "sseqid", F.coalesce("taxid", F.lit(ROOT)).alias("raw_taxid"))
+
+
 def lca_pair(a: Column, b: Column) -> Column:
     """The lowest common ancestor of two root paths; of a missing path, the root."""
     return F.coalesce(F.element_at(F.array_intersect(a, b), 1), F.lit(ROOT))

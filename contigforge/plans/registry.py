@@ -168,6 +168,23 @@ def biobox_binning(d: Domain) -> DataFrame:
     return writers.biobox_lines(d.bins, "genome_binning", "s1")
 
 
+@query("SELECT concat('GCF_', lpad(doc_id::VARCHAR, 9, '0'), '.1') AS accession, concat('GCF_', lpad(doc_id::VARCHAR, 9, '0'), '.1 ', contig) AS description, length(sequence)::INTEGER AS length FROM contigs WHERE sequence <> ''")
+def combined_genomes(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "genomes")
+    writers.fasta_by(d.contigs.filter("sequence <> ''").withColumn("genome", F.concat(F.lit("GCF_"), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".1_x"))).repartition(8, "genome"), "genome", path)
+    return readers.combined_fasta(d.spark, path + "/*").select("accession", "description", F.length("sequence").alias("length"))
+
+
+@query("SELECT concat('NODE_', l_orderkey) AS scaffold, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_linestatus) - 1)::INTEGER AS position, l_partkey::VARCHAR AS segment, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS orient FROM lineitem")
+def scaffold_paths(d: Domain) -> DataFrame:
+    path = scratch(d.spark, "scaffolds")
+    step = F.concat(F.col("l_partkey").cast("string"), F.when(F.col("l_linestatus") == "F", "+").otherwise("-"))
+    rows = d.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", step.alias("s")))).alias("v"))
+    name = F.concat(F.lit("NODE_"), F.col("l_orderkey").cast("string"))
+    rows.select(F.concat(name, F.lit("\n"), F.array_join("v.s", ","), F.lit("\n"), name, F.lit("'\n1-;"))).coalesce(1).write.text(path)
+    return readers.scaffold_paths(d.spark, path)
+
+
 # Contigs.
 
 
@@ -381,6 +398,11 @@ def accession_taxids(d: Domain) -> DataFrame:
     return taxonomy.accession_taxids(d.hits, d.live)
 
 
+@query("SELECT DISTINCT qseqid, sseqid, coalesce(l.taxid, 1)::INTEGER AS raw_taxid FROM hits h LEFT JOIN (SELECT * FROM live WHERE taxid <= 100050) l ON h.sseqid = l.accession_version")
+def genome_taxids(d: Domain) -> DataFrame:
+    return taxonomy.genome_taxids(d.hits, d.live.filter("taxid <= 100050").selectExpr("accession_version accession", "taxid"))
+
+
 @query("SELECT qseqid, sseqid, round(bitscore, 6) AS bitscore FROM hits QUALIFY bitscore >= 0.9 * max(bitscore) OVER (PARTITION BY qseqid)")
 def top_hits(d: Domain) -> DataFrame:
     return six(taxonomy.top_hits(d.hits))
@@ -414,6 +436,12 @@ def majority_vote(d: Domain) -> DataFrame:
     return taxonomy.assign(d.spark, "hits", hits=d.hits, live=d.live, tree=d.tree)
 
 
+@query("SELECT contig, taxid::INTEGER AS taxid, sum(CASE WHEN same THEN bn ELSE 0 END)::BIGINT AS consistent, sum(CASE WHEN same THEN 0 ELSE bn END)::BIGINT AS inconsistent FROM pairs GROUP BY contig, taxid", *_LINEAGE, *_TAXA, *_VOTES, *_CHOICE)
+def vote_consistency(d: Domain) -> DataFrame:
+    votes = taxonomy.vote_counts(taxonomy.blast_to_lca(d.hits, d.live, d.tree), d.tree)
+    return taxonomy.consistency(votes, d.tree).select("contig", "taxid", "consistent", "inconsistent")
+
+
 @query("SELECT v.contig, coalesce(w.taxid, 1)::INTEGER AS taxid FROM (SELECT DISTINCT contig FROM votes) v LEFT JOIN won w USING (contig)", *_LINEAGE, *_TAXA, *_VOTES, *_CHOICE)
 def lowest_majority(d: Domain) -> DataFrame:
     votes = taxonomy.vote_counts(taxonomy.blast_to_lca(d.hits, d.live, d.tree), d.tree)
@@ -436,6 +464,16 @@ def metabin_taxonomy(d: Domain) -> DataFrame:
 # Binning and recruitment.
 
 
+@query(
+    "SELECT taxon, contig, 'v' || min(other) AS first FROM reach GROUP BY taxon, contig",
+    "x AS (SELECT 'phylum' || label AS taxon, 'v' || vec_id AS contig, vec_id, list_transform(embedding[1:8], lambda e: e::DOUBLE) || [(vec_id % 40)::DOUBLE / 100] AS f FROM embeddings)",
+    "near AS (SELECT a.taxon, a.contig, b.vec_id, b.contig AS next FROM x a JOIN x b ON a.taxon = b.taxon AND list_distance(a.f, b.f) <= 0.3)",
+    "reach AS (SELECT taxon, contig, vec_id AS other, next FROM near UNION SELECT r.taxon, r.contig, n.vec_id, n.next FROM reach r JOIN near n ON r.taxon = n.taxon AND r.next = n.contig)",
+)
+def dbscan_pass(d: Domain) -> DataFrame:
+    return clustering.dbscan_groups(_embedded(d).withColumn("taxon", F.col("phylum")), 0.3)
+
+
 @query()
 def binning_dbscan(d: Domain) -> DataFrame:
     return clustering.guided_binning(_embedded(d), d.markers.select("sacc").distinct().count(), clustering.Limits(5, 40, 25, 5))

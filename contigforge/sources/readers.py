@@ -24,11 +24,11 @@ def fasta_folder(spark: SparkSession, path: str) -> DataFrame:
 
 
 def combined_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(accession, contig, line_no?, ...) headers of genome files, each with the assembly accession of its path before it."""
+    """(accession, description, sequence) of genome files, each record named by the assembly accession of its path and its own name."""
     from ..functions.sequences import genome_accession
 
-    lines = spark.read.text(path).select(genome_accession(F.input_file_name()).alias("accession"), "value").filter(F.col("value").startswith(">"))
-    return lines.select("accession", F.concat("accession", F.lit(" "), F.regexp_replace("value", "^>", "")).alias("header"))
+    records = spark.read.option("lineSep", "\n>").text(path).select(genome_accession(F.input_file_name()).alias("accession"), F.regexp_replace("value", "^>", "").alias("r")).filter(F.trim("r") != "")
+    return records.select("accession", F.concat("accession", F.lit(" "), F.substring_index("r", "\n", 1)).alias("description"), F.regexp_replace(F.expr("substr(r, length(substring_index(r, '\n', 1)) + 1)"), "\\s", "").alias("sequence"))
 
 
 def tsv(spark: SparkSession, path: str, schema: str, header: bool = True, columns: list[str] | None = None) -> DataFrame:
@@ -130,6 +130,15 @@ def gfa(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {"segments": segments, "links": links, "paths": paths.select("path", F.expr("substr(step, 1, length(step) - 1)").alias("segment"), F.expr("right(step, 1)").alias("orient"), "position")}
 
 
+def scaffold_paths(spark: SparkSession, path: str) -> DataFrame:
+    """(scaffold, position, segment, orient) of a scaffold path file: a name, then its steps, those of gaps between semicolons; a name that ends in ' is the other strand and is left out."""
+    records = spark.read.option("lineSep", "\nNODE_").text(path).select(F.when(F.col("value").startswith("NODE_"), F.col("value")).otherwise(F.concat(F.lit("NODE_"), "value")).alias("r"))
+    name = F.trim(F.substring_index("r", "\n", 1))
+    body = F.expr("substr(r, length(substring_index(r, '\n', 1)) + 1)")
+    steps = records.filter(~name.endswith("'")).select(name.alias("scaffold"), F.posexplode(F.filter(F.split(F.regexp_replace(body, "\\s", ""), "[,;]"), lambda x: x != "")).alias("position", "step"))
+    return steps.select("scaffold", "position", F.expr("substr(step, 1, length(step) - 1)").alias("segment"), F.expr("right(step, 1)").alias("orient"))
+
+
 def nucmer_coords(spark: SparkSession, path: str) -> DataFrame:
     """(reference, contig, start, end, identity) of a coords table with bars between its groups; the two lines above the rows are left out."""
     f = spark.read.text(path).filter(F.col("value").rlike(r"^\s*\d+\s+\d+\s*\|")).select(F.split(F.trim("value"), r"\s*\|\s*").alias("g"))
