@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, checkpoint, column, documents, fresh, map_batches, texts
+from ..session import ship
+from .common import batch, checkpoint, documents, map_batches, texts
 
 ABSTAIN, GOOD, JUNK, HARMFUL = 0, 1, 2, 3
 CLASSES = (GOOD, JUNK, HARMFUL)
@@ -322,12 +323,22 @@ def score(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str =
     return map_batches(texts(df, id_col, text_col).withColumn("text_hash", F.xxhash64("text")), make, SCORED)
 
 
-def keep_good(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of df whose text is kept, all columns as they were."""
-    ids, text = column(id_col).cast("long"), F.coalesce(column(text_col).cast("string"), F.lit(""))
-    own_id, own_hash = fresh(df, "g_id"), fresh(df, "g_hash")
-    good = score(df, scorer, id_col, text_col).filter("keep").select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).distinct()
-    return df.join(good, ids.eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_hash)), "left_semi")
+def keep_good(df: DataFrame, scorer: Scorer, text_col: str = "text", reject: float = REJECT) -> DataFrame:
+    """The rows of df whose text is kept, all columns as they were: rows are scored and dropped where they are read."""
+    ship(df.sparkSession)
+    sent, at = df.sparkSession.sparkContext.broadcast(scorer), df.columns.index(text_col)
+
+    def run(batches):
+        own = sent.value
+        for b in batches:
+            good = []
+            for t in b.column(at).to_pylist():
+                v, indices, shapes, same = view(t or "")
+                good.append(v.words > 0 and own.logit(*features(indices, shapes, same, v.words)) <= limit)
+            yield b.filter(pa.array(good, pa.bool_()))
+
+    limit = float(np.log(reject / (1 - reject)))
+    return df.mapInArrow(run, df.schema)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
