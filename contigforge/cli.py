@@ -77,16 +77,16 @@ def _bin_input(spark, a) -> tuple[DataFrame, DataFrame]:
     return rows.withColumn("row_pos", F.xxhash64("contig")), marks
 
 
-def binning(spark, a, most: int | None = None) -> None:
+def binning(spark, a, most: int | None = None, embed=None) -> None:
     rows, marks = _bin_input(spark, a)
     limits = clustering.Limits(a.completeness, a.purity, a.cov_stddev_limit, a.gc_stddev_limit)
-    bins = clustering.guided_binning(rows, marks.select("sacc").distinct().count(), limits, a.clustering_method, a.reverse_ranks, a.starting_rank, most)
+    bins = clustering.guided_binning(rows, marks.select("sacc").distinct().count(), limits, a.clustering_method, a.reverse_ranks, a.starting_rank, most, embed)
     writers.tsv(bins, a.output_binning)
     writers.tsv(rows.drop("markers", "features", "row_pos").join(bins, "contig", "left"), a.output_main)
 
 
 def binning_ldm(spark, a) -> None:
-    binning(spark, a, a.max_partition_size)
+    binning(spark, a, a.max_partition_size, lambda rows: embedding.reembed(rows, a.embedding_dimensions, a.pca_dimensions, seed=a.seed))
 
 
 def loginfo(spark, a) -> None:
@@ -155,7 +155,7 @@ def parser() -> argparse.ArgumentParser:
     add("taxonomy-majority-vote", majority_vote, "lca", "dbdir", "output")
     add("taxonomy", ranks, "votes", "dbdir", "output", assembly=None, split_rank=None)
     _binning_flags(add("binning", binning))
-    p = add("binning-ldm", binning_ldm, max_partition_size=10_000)
+    p = add("binning-ldm", binning_ldm, max_partition_size=10_000, pca_dimensions=50, embedding_dimensions=2, seed=42)
     _binning_flags(p)
     add("binning-ldm-loginfo", loginfo, "log", "output")
     add("binning-summary", binning_summary, "binning-main", "markers", "output-stats", metagenome=None, output_metabins=None)

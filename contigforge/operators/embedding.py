@@ -70,3 +70,12 @@ def embed(rows: DataFrame, dims: int = 2, method: str = "bhsne", perplexity: flo
 
     grouped = rows.select((F.col(by) if by else F.lit("all")).cast("string").alias("taxon"), "contig", "features")
     return grouped.groupBy("taxon").applyInPandas(run, "taxon string, contig string, features array<double>")
+
+
+def reembed(rows: DataFrame, dims: int = 2, pca_dims: int = 50, by: str = "taxon", method: str = "bhsne", seed: int = 42, rounds: int = 500) -> DataFrame:
+    """rows with new features for the contigs of each group; groups of fewer than max(pca_dims, dims) + 1 contigs keep the features they came with."""
+    from pyspark.sql import functions as F
+
+    large = rows.groupBy(by).count().filter(F.col("count") > max(pca_dims, dims)).select(by)
+    new = embed(rows.join(large, by, "left_semi"), dims, method, seed=seed, by=by, rounds=rounds).select("contig", F.col("features").alias("_new"))
+    return rows.join(new, "contig", "left").withColumn("features", F.coalesce("_new", "features")).drop("_new")

@@ -487,12 +487,8 @@ def binning_hdbscan(d: Domain) -> DataFrame:
 @query()
 def binning_large_data(d: Domain) -> DataFrame:
     """Each taxon's contigs are embedded anew; taxa over the limit are left to a finer rank."""
-
-    def again(rows: DataFrame) -> DataFrame:
-        new = emb.embed(rows, 2, by="taxon", rounds=120).select("contig", F.transform("features", lambda x: x / 10).alias("_f"))
-        return rows.join(new, "contig").withColumn("features", F.col("_f")).drop("_f")
-
-    return clustering.guided_binning(_embedded(d, 16), d.markers.select("sacc").distinct().count(), clustering.Limits(5, 40, 25, 5), max_partition=1000, embed=again)
+    limits = clustering.Limits(5, 40, 25, 5)
+    return clustering.guided_binning(_embedded(d, 16), d.markers.select("sacc").distinct().count(), limits, max_partition=1000, embed=lambda rows: emb.reembed(rows, 2, 10, rounds=120))
 
 
 def _recruitment(d: Domain) -> tuple[DataFrame, DataFrame, DataFrame]:
