@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .chunks import BYTE_LEVEL, Chunks
-from .common import batch, documents, map_batches, texts, tokenizer_path
+from .common import batch, documents, map_batches, texts, tokenizer_path, worker_state
 
 _NONE = np.int64(1) << 60
 _BITS = 28  # of a position; a rank takes the bits above
@@ -161,6 +161,10 @@ class ByteBpe:
         ids = self.bpe.pieces(p.encode() for s in split for p in s)
         return [b"".join(ids[p.encode()] for p in s) for s in split]
 
+    def clear(self) -> None:
+        self.chunks.clear()
+        self.next = {}
+
     def encode(self, strings: list[str]) -> list[bytes]:
         return self.chunks.encode(strings)
 
@@ -168,14 +172,9 @@ class ByteBpe:
         return b"".join(map(self.bpe.token.__getitem__, ids))
 
 
-_made: dict[tuple, ByteBpe] = {}
-
-
 def coder(path: str, pattern: str) -> ByteBpe:
     """One for each worker."""
-    if (path, pattern) not in _made:
-        _made[path, pattern] = ByteBpe(path, pattern)
-    return _made[path, pattern]
+    return worker_state(("bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def public_coder(folder: str | None = None) -> tuple[str, str]:

@@ -10,6 +10,8 @@ import re
 from array import array
 from collections.abc import Callable
 
+from .common import worker_state
+
 #: Characters whose class, case and normal form every Unicode version and library agrees on; white space is only " \t\n\r".
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-įı-ňŊ-ž]*")
 _SPACED = re.compile(r" [\t\n\r ]|[\t\n\r] ")
@@ -60,6 +62,10 @@ class Chunks:
         self.pieces = Known(piece)
         self.first, self.later = Known(self._joined), Known(lambda chunk: self._joined(" " + chunk))
 
+    def clear(self) -> None:
+        for known in (self.pieces, self.first, self.later):
+            known.clear()
+
     def _joined(self, string: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(string)))
 
@@ -72,9 +78,6 @@ class Chunks:
         return [next(rest) if p is None else first[p[0]] + b"".join(map(later, p[2].split(" "))) if p[1] else first[p[0]] for p in parts]
 
 
-_made: dict[tuple, Chunks] = {}
-
-
 def byte_letters() -> dict[int, str]:
     """The byte-level letter of each byte: printable bytes stand for themselves, the others follow from U+0100 on."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -83,7 +86,8 @@ def byte_letters() -> dict[int, str]:
 
 def library(path: str, words: bool) -> Chunks:
     """The tokenizers library over a vocabulary file, without special tokens; one for each worker. words: lower case, white space dropped, as in word_bpe."""
-    if ("tokenizers", path) not in _made:
+
+    def make() -> Chunks:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -92,9 +96,10 @@ def library(path: str, words: bool) -> Chunks:
         tok, letters = Tokenizer.from_file(path), byte_letters()
         tok.encode_special_tokens = True
         model = tok.model.tokenize
-        _made["tokenizers", path] = Chunks(
+        return Chunks(
             lambda texts: [] if not texts else [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)],
             (lambda s: _WORD_LEVEL(s.lower())) if words else BYTE_LEVEL,
             lambda piece: array("I", [t.id for t in model(piece.encode().decode("latin-1").translate(letters))]).tobytes(),
         )
-    return _made["tokenizers", path]
+
+    return worker_state(("tokenizers", path), make)

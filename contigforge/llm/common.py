@@ -83,6 +83,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_held: dict = {}
+
+
+def worker_state(key, make: Callable[[], object]):
+    """What a worker keeps between tasks under this key. A worker keeps one thing at a time: asking for another drops what the operator before has left, as all share the executor's memory."""
+    if key not in _held:
+        for old in _held.values():
+            if hasattr(old, "clear"):
+                old.clear()
+        emptied = bool(_held)
+        _held.clear()
+        if emptied:
+            import gc
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+        _held[key] = make()
+    return _held[key]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """name, with as many underscores before it as no column of df has."""
     taken = {c.lower() for c in df.columns}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .common import batch, checkpoint, documents, map_batches, texts
+from .common import batch, checkpoint, documents, map_batches, texts, worker_state
 
 ABSTAIN, GOOD, JUNK, HARMFUL = 0, 1, 2, 3
 CLASSES = (GOOD, JUNK, HARMFUL)
@@ -66,15 +66,27 @@ class View:
     insults: int
 
 
-_shape_of: dict[str, str] = {}
+class Memo:
+    """The shapes and features of words that a worker has met."""
+
+    def __init__(self):
+        self.shape: dict[str, str] = {}
+        self.core: dict[str, int] = {}
+
+    def clear(self) -> None:
+        self.shape.clear()
+        self.core.clear()
+
+
+_memo = Memo()
 
 
 def shape(word: str) -> str:
     """Letters as A or a, digits as 0, runs folded."""
-    if (out := _shape_of.get(word)) is None:
+    if (out := _memo.shape.get(word)) is None:
         out = _RUN.sub(r"\1", word.encode().translate(_SHAPE).decode("latin-1"))[:12]
-        if len(_shape_of) < 800_000:
-            _shape_of[word] = out
+        if len(_memo.shape) < 800_000:
+            _memo.shape[word] = out
     return out
 
 
@@ -107,12 +119,9 @@ def view(text: str) -> tuple[View, set[int], Counter, int]:
     )
 
 
-_core_of: dict[str, int] = {}
-
-
 def core(word: str) -> int:
     """The number of a word's feature, from its first run of letters and digits in lower case; -1 without one, and -2 - number for an insult."""
-    if (out := _core_of.get(word)) is None:
+    if (out := _memo.core.get(word)) is None:
         if found := _CORE.search(word):
             low = found.group().lower()
             out = zlib.crc32(low.encode()) % WORDS
@@ -120,8 +129,8 @@ def core(word: str) -> int:
                 out = -2 - out
         else:
             out = -1
-        if len(_core_of) < 800_000:
-            _core_of[word] = out
+        if len(_memo.core) < 800_000:
+            _memo.core[word] = out
     return out
 
 
@@ -173,6 +182,8 @@ def vote(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     """(doc_id, pattern, pick): the votes on every text, and a hash that orders documents for sampling."""
 
     def make():
+        worker_state("quality", lambda: _memo)
+
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             return batch(doc_id=(b.column("doc_id"), None), pattern=([pattern(view(t)[0]) for t in b.column("text").to_pylist()], pa.int64()), pick=(b.column("pick"), None))
 
@@ -304,6 +315,7 @@ def score(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str =
     sent = spark.sparkContext.broadcast(scorer)  # at most the sample's features that MIN_DOCUMENTS have, whatever the corpus
 
     def make():
+        worker_state("quality", lambda: _memo)
         own = sent.value
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -329,6 +341,7 @@ def keep_good(df: DataFrame, scorer: Scorer, text_col: str = "text", reject: flo
     sent, at = df.sparkSession.sparkContext.broadcast(scorer), df.columns.index(text_col)
 
     def run(batches):
+        worker_state("quality", lambda: _memo)
         own = sent.value
         for b in batches:
             good = []

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, checkpoint, documents, map_batches, shuffle_partitions, stage, texts
+from .common import batch, checkpoint, documents, map_batches, shuffle_partitions, stage, texts, worker_state
 from .components import components
 
 SHINGLE = 3
@@ -55,6 +55,8 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, fp): the fingerprint as a signed 64-bit number."""
 
     def make():
+        worker_state("simhash", object)
+
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
             return batch(doc_id=(b.column("doc_id"), None), fp=(pa.array(fp.view(np.int64)), None))
@@ -199,6 +201,8 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """
 
     def make():
+        worker_state("simhash", object)
+
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             own = b.column("text").to_pylist()
             columns = {f"f{k}": (pa.array(np.array([fingerprint(t, n, seed) for t in own], np.uint64).view(np.int64)), None) for k, (n, seed) in enumerate(kinds)}

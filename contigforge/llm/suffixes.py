@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .common import column, documents, shuffle_partitions
+from .common import column, documents, shuffle_partitions, worker_state
 
 LENGTH = 50
 GRAM = 20
@@ -270,6 +270,7 @@ class Chunk:
     """A chunk's texts with ids, the runs in them and what buckets said of them."""
 
     def __init__(self, table: pa.Table, buckets: int):
+        worker_state("repeats", object)
         self.raws = [x if isinstance(x, bytes) else (x or "").encode() for x in table.column("_raw").to_pylist()]
         self.ids = np.array([_LAST if x is None else x for x in table.column("_id").to_pylist()], np.int64)
         self.buckets = buckets
