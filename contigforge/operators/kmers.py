@@ -50,13 +50,6 @@ def wide(counts: DataFrame, size: int = 5, contigs: DataFrame | None = None) ->
     return contigs.select("contig").distinct().join(out, "contig", "left") if contigs is not None else out
 
 
-def _dense(counts: DataFrame) -> DataFrame:
-    """(contig, kmer, n) with the zeros of k-mers that occur anywhere: at most 4 ** size k-mers beside each contig."""
-    kmers = counts.select("kmer").distinct()
-    grid = counts.select("contig").distinct().crossJoin(F.broadcast(kmers))
-    return grid.join(counts, ["contig", "kmer"], "left").select("contig", "kmer", F.coalesce("n", F.lit(0)).alias("n"))
-
-
 def am_clr(counts: DataFrame) -> DataFrame:
     """ln(n + 1) less its mean over the k-mers that occur anywhere; contigs without any are dropped."""
     logs = counts.select("contig", "kmer", F.log1p("n").alias("l"))
