@@ -124,22 +124,23 @@ def bucket_edges(fps: np.ndarray, start: int, bits: int = BITS, small: int = SMA
 
 
 def edges(distinct: DataFrame, bits: int = BITS) -> DataFrame:
-    """(u, v) fingerprints at most bits apart that connect all such pairs; distinct has each fp once. Right for bits up to 3."""
+    """(u, v, kind) fingerprints at most bits apart that connect all such pairs; distinct has each fp once for each kind, if it has kinds. Right for bits up to 3."""
     if not 0 <= bits <= 3:
         raise ValueError("the ring of eight segments serves distances up to 3")
 
     def run(batches):
         held_key, held = None, []
-        out_u: list[np.ndarray] = []
-        out_v: list[np.ndarray] = []
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
 
-        def close():
+        def close() -> None:
             if held_key is not None:
                 own = np.concatenate(held)
                 if len(own) > 1:
-                    u, v = bucket_edges(own, held_key >> 16, bits)
-                    out_u.append(u)
-                    out_v.append(v)
+                    found.append((held_key >> 24, *bucket_edges(own, held_key >> 16 & 255, bits)))
+
+        def out() -> pa.RecordBatch:
+            kind = np.repeat([k for k, _, _ in found], [len(u) for _, u, _ in found]).astype(np.int32)
+            return batch(u=(pa.array(np.concatenate([u for _, u, _ in found])), None), v=(pa.array(np.concatenate([v for _, _, v in found])), None), kind=(pa.array(kind), None))
 
         for b in batches:
             key, fp = b.column("key").to_numpy(), b.column("fp").to_numpy()
@@ -149,18 +150,19 @@ def edges(distinct: DataFrame, bits: int = BITS) -> DataFrame:
                     close()
                     held_key, held = int(key[s]), []
                 held.append(fp[s:e])
-            if out_u:
-                yield batch(u=(pa.array(np.concatenate(out_u)), None), v=(pa.array(np.concatenate(out_v)), None))
-                out_u, out_v = [], []
+            if found:
+                yield out()
+                found.clear()
         close()
-        if out_u:
-            yield batch(u=(pa.array(np.concatenate(out_u)), None), v=(pa.array(np.concatenate(out_v)), None))
+        if found:
+            yield out()
 
     spark = distinct.sparkSession
     at = [F.shiftrightunsigned("fp", 8 * s).bitwiseAND(255) for s in range(SEGMENTS)]
-    keys = F.array(*[(F.lit(s << 16) + at[s] * 256 + at[(s + 1) % SEGMENTS]).cast("int") for s in range(SEGMENTS)])
+    kind = F.col("kind") if "kind" in distinct.columns else F.lit(0)
+    keys = F.array(*[(kind * (1 << 24) + (s << 16) + at[s] * 256 + at[(s + 1) % SEGMENTS]).cast("int") for s in range(SEGMENTS)])
     dealt = distinct.select("fp", F.explode(keys).alias("key")).repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", "fp")
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(run, "u long, v long, kind int")
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
@@ -196,7 +198,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """(doc_id, text_hash, component_id): documents are linked by SHINGLE-word fingerprints at most BITS apart, or by similarity or more of their COPY_SHINGLE-word shingles.
 
     The second kind is proposed by the PROPOSERS' fingerprints, at most BITS apart, and then held against the whole shingle sets. Proposed are, for each different text,
-    the text of least id with its fingerprint and that of its component, and the pairs of texts that connect fingerprints; so their number grows with the texts alone.
+    the text of least id with its fingerprint, and the pairs of texts that connect fingerprints in each bucket; so their number grows with the texts alone.
     Copies that no proposal joins, which differ in more than BITS bits for every proposer, are not found.
     """
 
@@ -216,18 +218,13 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     rows = stage(map_batches(source, make, "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names)), "near-copies")
     different = checkpoint(rows.groupBy("text_hash").agg(F.min("doc_id").alias("first"), *[F.first(n).alias(n) for n in names]))
     order = F.struct(F.col("first").isNull(), "first", "text_hash")
-    pairs = []
-    for n in names:
-        heads = checkpoint(different.groupBy(F.col(n).alias("fp")).agg(F.min_by("text_hash", order).alias("head")))
-        same = different.join(heads, different[n] == heads.fp).select(F.col("text_hash").alias("u"), F.col("head").alias("v"))
-        joined = edges(heads.select("fp")).join(heads.select(F.col("fp").alias("u"), F.col("head").alias("hu")), "u").join(heads.select(F.col("fp").alias("v"), F.col("head").alias("hv")), "v").select(F.col("hu").alias("u"), F.col("hv").alias("v"))
-        pairs.append(checkpoint(same.union(joined).filter("u <> v").distinct()))
-    proposed = pairs[1]
-    for more in pairs[2:]:
-        proposed = proposed.union(more)
-    near = components(proposed).join(different.select(F.col("text_hash").alias("node"), "first"), "node")
-    leads = near.groupBy("component").agg(F.min_by("node", F.struct(F.col("first").isNull(), "first", "node")).alias("v"))
-    proposed = proposed.union(near.join(leads, "component").select(F.col("node").alias("u"), "v")).filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    kinded = different.select("text_hash", "first", F.posexplode(F.array(*names)).alias("kind", "fp"))
+    heads = checkpoint(kinded.groupBy("kind", "fp").agg(F.min_by("text_hash", order).alias("head")))
+    end = lambda k: heads.select("kind", F.col("fp").alias(k), F.col("head").alias(f"h{k}"))
+    same = kinded.join(heads, ["kind", "fp"]).select("kind", F.col("text_hash").alias("u"), F.col("head").alias("v"))
+    joined = edges(heads.select("fp", "kind")).join(end("u"), ["kind", "u"]).join(end("v"), ["kind", "v"]).select("kind", F.col("hu").alias("u"), F.col("hv").alias("v"))
+    pairs = checkpoint(same.union(joined).filter("u <> v").select("kind", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    proposed = pairs.filter("kind > 0").select("u", "v").distinct()
     side = lambda k: different.select(F.col("text_hash").alias(k), F.col("f0").alias(f"f_{k}"))
     proposed = checkpoint(proposed.join(side("u"), "u").join(side("v"), "v").select("u", "v", (F.bit_count(F.col("f_u").bitwiseXOR(F.col("f_v"))) <= BITS).alias("near")))
     asked = proposed.filter("not near").select(F.explode(F.array("u", "v")).alias("text_hash")).distinct().join(different.select("text_hash", F.coalesce("first", F.lit(0)).alias("k"), F.col("first").isNull().alias("none")), "text_hash")
@@ -249,7 +246,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     sized = beside(proposed.filter("not near").select("u", "v"), "n").filter(F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v"))
     likely = checkpoint(beside(sized, "part").filter((F.least("n_u", "n_v") <= SKETCH_FROM) | alike("part", similarity - 0.3)).select("u", "v"))
     copies = beside(likely, "s").filter(alike("s", similarity)).select("u", "v").union(proposed.filter("near").select("u", "v"))
-    linked = components(pairs[0].union(copies))
+    linked = components(pairs.filter("kind = 0").select("u", "v").union(copies))
     named = different.join(linked.withColumnRenamed("node", "text_hash"), "text_hash", "left").select("text_hash", "first", F.coalesce("component", "text_hash").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.select("doc_id", "text_hash").join(named.join(least, "root").select("text_hash", "component_id"), "text_hash").select("doc_id", "text_hash", "component_id")
