@@ -23,20 +23,20 @@ _SHORT = "'(?:s|t|re|ve|m|ll|d)"
 BYTE_LEVEL = re.compile(rf" ?[{_L}]+|{_SHORT}| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+").findall
 _WORD_LEVEL = re.compile(rf"[{_L}]+|{_SHORT}|[{_N}]|[^\s{_L}{_N}]+").findall
 
-#: Chunks, and pieces of them, that one worker remembers; one beyond is encoded each time it comes.
-REMEMBERED = 900_000
+#: Chunks, and pieces of them, that one worker remembers, some 180 bytes each; one beyond is encoded each time it comes.
+REMEMBERED, REMEMBERED_PIECES = 600_000, 250_000
 
 
 class Known(dict):
     """A bounded memory of what an encoder gave for a string; a string that is not in it is encoded when it is asked for."""
 
-    def __init__(self, one: Callable[[str], bytes]):
+    def __init__(self, one: Callable[[str], bytes], most: int):
         super().__init__()
-        self.one = one
+        self.one, self.most = one, most
 
     def __missing__(self, string: str) -> bytes:
         out = self.one(string)
-        if len(self) < REMEMBERED:
+        if len(self) < self.most:
             self[string] = out
         return out
 
@@ -59,8 +59,8 @@ class Chunks:
 
     def __init__(self, whole: Callable[[list[str]], list[bytes]], split: Callable[[str], list[str]], piece: Callable[[str], bytes], ahead: Callable[[list[str]], None] | None = None):
         self.whole, self.split, self.ahead = whole, split, ahead
-        self.pieces = Known(piece)
-        self.first, self.later = Known(self._joined), Known(lambda chunk: self._joined(" " + chunk))
+        self.pieces = Known(piece, REMEMBERED_PIECES)
+        self.first, self.later = Known(self._joined, REMEMBERED_PIECES), Known(lambda chunk: self._joined(" " + chunk), REMEMBERED)
 
     def clear(self) -> None:
         for known in (self.pieces, self.first, self.later):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .chunks import library
-from .common import checkpoint, column, documents, stage, tokenizer_path
+from .common import checkpoint, column, documents, stage, tokenizer_path, worker_state
 
 WINDOW = 1024
 BLOCK = 512
@@ -166,6 +166,7 @@ def pack(df: DataFrame, vocabulary: str, window: int = WINDOW, block: int = BLOC
     names, totals = [m[0] for m in mixture], [int(m[1]) for m in mixture]
 
     def run(batches):
+        worker_state("packing", object)  # the ids are there: what tokenising remembered can go
         plan, place = Schedule(totals, window, block), {s: i for i, s in enumerate(names)}
         for b in batches:
             parts, crc, count = [], [], []

@@ -85,7 +85,7 @@ def shape(word: str) -> str:
     """Letters as A or a, digits as 0, runs folded."""
     if (out := _memo.shape.get(word)) is None:
         out = _RUN.sub(r"\1", word.encode().translate(_SHAPE).decode("latin-1"))[:12]
-        if len(_memo.shape) < 800_000:
+        if len(_memo.shape) < 500_000:
             _memo.shape[word] = out
     return out
 
@@ -129,7 +129,7 @@ def core(word: str) -> int:
                 out = -2 - out
         else:
             out = -1
-        if len(_memo.core) < 800_000:
+        if len(_memo.core) < 500_000:
             _memo.core[word] = out
     return out
 

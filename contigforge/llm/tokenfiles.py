@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .chunks import library
-from .common import documents, map_batches, shared_dir, texts, tokenizer_path
+from .common import documents, map_batches, shared_dir, texts, tokenizer_path, worker_state
 
 BLOCK = 128
 #: Share of a block's differences that its packed width holds.
@@ -162,6 +162,7 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the ids in the files."""
 
     def run(batches):
+        worker_state("token files", object)  # the ids are there: what tokenising remembered can go
         for b in batches:
             for d, n, raw, at in zip(*(b.column(k).to_pylist() for k in ("doc_ids", "n_tokens", "payload", "start")), strict=True):
                 ids, ends = memoryview(Blocks(raw).all().astype("<u4").tobytes()), np.cumsum(n)

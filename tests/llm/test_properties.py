@@ -35,6 +35,7 @@ def test_chunks_are_the_library(texts, words):
 
 def test_a_full_memory_still_encodes(monkeypatch):
     monkeypatch.setattr(chunks, "REMEMBERED", 3)
+    monkeypatch.setattr(chunks, "REMEMBERED_PIECES", 3)
     coder = bpe.ByteBpe(*bpe.public_coder())
     texts = ["many different words in a text, more than three of them"] * 3
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [OWN.encode_ordinary(t) for t in texts]
