@@ -24,7 +24,9 @@ BYTE_LEVEL = re.compile(rf" ?[{_L}]+|{_SHORT}| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\
 _WORD_LEVEL = re.compile(rf"[{_L}]+|{_SHORT}|[{_N}]|[^\s{_L}{_N}]+").findall
 
 #: Chunks, and pieces of them, that one worker remembers, some 180 bytes each; one beyond is encoded each time it comes.
-REMEMBERED, REMEMBERED_PIECES = 600_000, 250_000
+REMEMBERED, REMEMBERED_PIECES = 900_000, 900_000
+#: The same where an executor also holds what other stages left behind.
+SHARED_MEMORY = (600_000, 250_000)
 
 
 class Known(dict):
@@ -57,10 +59,11 @@ class Chunks:
     asked for, the strings of a batch that are not remembered, for encoders that do many at once.
     """
 
-    def __init__(self, whole: Callable[[list[str]], list[bytes]], split: Callable[[str], list[str]], piece: Callable[[str], bytes], ahead: Callable[[list[str]], None] | None = None):
+    def __init__(self, whole: Callable[[list[str]], list[bytes]], split: Callable[[str], list[str]], piece: Callable[[str], bytes], ahead: Callable[[list[str]], None] | None = None, memory: tuple[int, int] | None = None):
+        most, most_pieces = memory or (REMEMBERED, REMEMBERED_PIECES)
         self.whole, self.split, self.ahead = whole, split, ahead
-        self.pieces = Known(piece, REMEMBERED_PIECES)
-        self.first, self.later = Known(self._joined, REMEMBERED_PIECES), Known(lambda chunk: self._joined(" " + chunk), REMEMBERED)
+        self.pieces = Known(piece, most_pieces)
+        self.first, self.later = Known(self._joined, most_pieces), Known(lambda chunk: self._joined(" " + chunk), most)
 
     def clear(self) -> None:
         for known in (self.pieces, self.first, self.later):
@@ -84,7 +87,7 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in own)}
 
 
-def library(path: str, words: bool) -> Chunks:
+def library(path: str, words: bool, memory: tuple[int, int] | None = None) -> Chunks:
     """The tokenizers library over a vocabulary file, without special tokens; one for each worker. words: lower case, white space dropped, as in word_bpe."""
 
     def make() -> Chunks:
@@ -100,6 +103,7 @@ def library(path: str, words: bool) -> Chunks:
             lambda texts: [] if not texts else [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)],
             (lambda s: _WORD_LEVEL(s.lower())) if words else BYTE_LEVEL,
             lambda piece: array("I", [t.id for t in model(piece.encode().decode("latin-1").translate(letters))]).tobytes(),
+            memory=memory,
         )
 
-    return worker_state(("tokenizers", path), make)
+    return worker_state(("tokenizers", path, memory), make)

@@ -137,11 +137,11 @@ class Schedule:
         return got[0], got[1], got[2], got[3]
 
 
-def tokenise(df: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def tokenise(df: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", memory: tuple[int, int] | None = None) -> DataFrame:
     """(task, source, task_start, doc_id, ids): ids as little-endian unsigned 16-bit bytes; task_start counts the tokens of the source before it in the task."""
 
     def run(batches):
-        task, before, encoder = TaskContext.get().partitionId(), {}, library(vocabulary, False)
+        task, before, encoder = TaskContext.get().partitionId(), {}, library(vocabulary, False, memory)
         end = int(end_id).to_bytes(4, "little")
         for b in batches:
             sources, starts, ids = b.column("source").to_pylist(), [], []
@@ -156,10 +156,10 @@ def tokenise(df: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str =
     return rows.mapInArrow(run, "task int, source string, task_start long, doc_id long, n_tokens long, ids binary")
 
 
-def pack(df: DataFrame, vocabulary: str, window: int = WINDOW, block: int = BLOCK, end_id: int = END_ID, **columns: str) -> DataFrame:
+def pack(df: DataFrame, vocabulary: str, window: int = WINDOW, block: int = BLOCK, end_id: int = END_ID, memory: tuple[int, int] | None = None, **columns: str) -> DataFrame:
     """The pieces of PIECES. The ids are written once into the shared folder; sums of a row for each task and source set the queues' places. The list of sources is the mixture and is held by the driver."""
     spark = df.sparkSession
-    tokens = stage(tokenise(df, vocabulary, end_id, **columns), "packing")
+    tokens = stage(tokenise(df, vocabulary, end_id, memory=memory, **columns), "packing")
     sums = checkpoint(tokens.groupBy("source", "task").agg(F.sum("n_tokens").alias("n")))
     bases = sums.select(F.col("source").alias("b_source"), F.col("task").alias("b_task"), F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     mixture = sorted(((r.source, r.n) for r in sums.groupBy("source").agg(F.sum("n").alias("n")).collect()), key=lambda x: (x[0] is not None, x[0] or ""))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contigforge.llm import linededup, packing, quality, simhash, suffixes
+from contigforge.llm import chunks, linededup, packing, quality, simhash, suffixes
 from contigforge.llm.common import BATCH_ROWS, shared_dir, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -55,7 +55,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences that hold the sources in proportion."""
     _ready(spark)
-    return packing.pack(docs.select(*COLUMNS), tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack(docs.select(*COLUMNS), tokenizer_path("byte_bpe_50k.json"), memory=chunks.SHARED_MEMORY)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
