@@ -17,6 +17,8 @@ Contract of groups():
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -177,10 +179,37 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
 
 #: Of near_copies: words of a shingle and the least share of common shingles.
 COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
-#: The fingerprints that propose copies: shingle and seed. Single words move fewer bits when a few words change than long shingles do.
-PROPOSERS = ((1, 42), (1, 43))
-#: Sets of more shingles are first compared by one hash in so many, and dropped if those are 0.3 less alike than asked for: so far off, it takes some twenty hashes to err once in a thousand.
-SKETCH_FROM, SKETCH_ONE_IN = 160, 8
+#: Of copies() by MinHash: a pair at similarity s has no band in common with probability (1 - s ** ROWS) ** BANDS, which at 0.8 is three in a million.
+BANDS, ROWS = 24, 4
+_MULTIPLY = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = np.random.default_rng(SEED + 1).integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits that spreads each of them."""
+    x = (x ^ x >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ x >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ x >> np.uint64(33)
+
+
+def bands(text: str, size: int = COPY_SHINGLE) -> np.ndarray:
+    """A number for each band of MinHashes of the set of a text's shingles; words are those of _shingles()."""
+    import xxhash
+
+    words, digest = text.lower().encode().split(), xxhash.xxh64_intdigest
+    if len(words) < size:
+        x = np.array([digest(b" ".join(words), SEED)], np.uint64)
+    else:
+        own, x = np.array([digest(w, SEED) for w in words], np.uint64), np.zeros(len(words) - size + 1, np.uint64)
+        for k in range(size):
+            x = _mix(x + own[k : len(words) - size + 1 + k] + np.uint64(k))
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for k in range(0, len(x), 4096):
+        least = np.minimum(least, (_MULTIPLY[:, None] * x[k : k + 4096] + _ADD[:, None]).min(1))
+    out = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, ROWS).T:
+        out = _mix(out + column)
+    return out.view(np.int64)
 
 
 def _shingles(text, size: int):
@@ -194,12 +223,49 @@ def _shingles(text, size: int):
     return F.array_distinct(F.transform(F.array(words), of)[0])
 
 
+def copies(members: DataFrame, links: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float = COPY_SIMILARITY) -> DataFrame:
+    """(u, v): links and pairs at similarity or more; together they connect every such pair of texts with a bucket in common. members: (key, t), texts by bucket.
+
+    In each round some members of a bucket, its pivots, are held against all its members of other components by their whole sets, and then leave it. So a pair of a bucket
+    is compared, or one component has both. A bucket is closed when one component has all that is left of it. Pivots are outside its largest component, one for
+    a slot of a hash; slots grow fourfold a round, and buckets up to SMALL take all. Before that, each text is held against one pivot of its buckets alone,
+    which joins most copies at the least cost.
+    """
+    held, turn = None, 0
+    while True:
+        named = components(links).withColumnsRenamed({"node": "t", "component": "c"})
+        coloured = members.join(named, "t", "left").select("key", "t", F.coalesce("c", "t").alias("c"))
+        sizes = coloured.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.max_by("c", F.struct("n", "c")).alias("main"))
+        rest = checkpoint(coloured.join(sizes.filter("k > 1").drop("k"), "key"))
+        if rest.isEmpty():
+            return links
+        if held is None:
+            held = sets(rest.select(F.col("t").alias("text_hash")).distinct())
+        slot = F.pmod(F.xxhash64("t", F.lit(turn)), F.lit(4 ** min(max(turn - 1, 0), 20)))
+        slot = F.when((F.col("n") <= SMALL) & F.lit(turn > 0), F.col("t")).otherwise(slot)
+        pivots = checkpoint(rest.filter("c <> main").groupBy("key", slot.alias("slot")).agg(F.min(F.struct("t", "c")).alias("p")).select("key", "p.t", "p.c"))
+        pairs = rest.select("key", "t", "c").join(pivots.select("key", F.col("t").alias("p"), F.col("c").alias("d")), "key").filter("c <> d")
+        pairs = pairs.groupBy("t").agg(F.min("p").alias("p")) if turn == 0 else pairs
+        pairs = checkpoint(pairs.select(F.greatest("t", "p").alias("u"), F.least("t", "p").alias("v")).distinct())
+
+        def beside(rows: DataFrame, column: str, held: DataFrame = held) -> DataFrame:
+            for k in "uv":
+                rows = rows.join(held.select(F.col("text_hash").alias(k), F.col(column).alias(f"{column}_{k}")), k)
+            return rows
+
+        sized = beside(pairs, "n").filter(F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v")).select("u", "v")
+        common = F.size(F.array_intersect("s_u", "s_v"))
+        alike = beside(sized, "s").filter(common >= similarity * (F.size("s_u") + F.size("s_v") - common)).select("u", "v")
+        links = checkpoint(links.union(alike))
+        members = rest.select("key", "t") if turn == 0 else rest.join(pivots, ["key", "t"], "left_anti").select("key", "t")
+        turn += 1
+
+
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = COPY_SIMILARITY) -> DataFrame:
     """(doc_id, text_hash, component_id): documents are linked by SHINGLE-word fingerprints at most BITS apart, or by similarity or more of their COPY_SHINGLE-word shingles.
 
-    The second kind is proposed by the PROPOSERS' fingerprints, at most BITS apart, and then held against the whole shingle sets. Proposed are, for each different text,
-    the text of least id with its fingerprint, and the pairs of texts that connect fingerprints in each bucket; so their number grows with the texts alone.
-    Copies that no proposal joins, which differ in more than BITS bits for every proposer, are not found.
+    The second kind is found by copies() in the buckets of MinHash bands; every link of it is by whole shingle sets. Groups that are alike, but less than asked for,
+    share buckets without links, and these are compared by pairs.
     """
 
     def make():
@@ -207,46 +273,31 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             own = b.column("text").to_pylist()
-            columns = {f"f{k}": (pa.array(np.array([fingerprint(t, n, seed) for t in own], np.uint64).view(np.int64)), None) for k, (n, seed) in enumerate(kinds)}
-            return batch(doc_id=(b.column("doc_id"), None), text_hash=(b.column("text_hash"), None), **columns)
+            fp = np.array([fingerprint(t) for t in own], np.uint64).view(np.int64)
+            found = pa.array([bands(t) for t in own], pa.list_(pa.int64()))
+            return batch(doc_id=(b.column("doc_id"), None), text_hash=(b.column("text_hash"), None), fp=(pa.array(fp), None), bands=(found, None))
 
         return one
 
-    kinds = ((SHINGLE, SEED), *PROPOSERS)
-    names = [f"f{k}" for k in range(len(kinds))]
     source = texts(df, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    rows = stage(map_batches(source, make, "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names)), "near-copies")
-    different = checkpoint(rows.groupBy("text_hash").agg(F.min("doc_id").alias("first"), *[F.first(n).alias(n) for n in names]))
-    order = F.struct(F.col("first").isNull(), "first", "text_hash")
-    kinded = different.select("text_hash", "first", F.posexplode(F.array(*names)).alias("kind", "fp"))
-    heads = checkpoint(kinded.groupBy("kind", "fp").agg(F.min_by("text_hash", order).alias("head")))
-    end = lambda k: heads.select("kind", F.col("fp").alias(k), F.col("head").alias(f"h{k}"))
-    same = kinded.join(heads, ["kind", "fp"]).select("kind", F.col("text_hash").alias("u"), F.col("head").alias("v"))
-    joined = edges(heads.select("fp", "kind")).join(end("u"), ["kind", "u"]).join(end("v"), ["kind", "v"]).select("kind", F.col("hu").alias("u"), F.col("hv").alias("v"))
-    pairs = checkpoint(same.union(joined).filter("u <> v").select("kind", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    proposed = pairs.filter("kind > 0").select("u", "v").distinct()
-    side = lambda k: different.select(F.col("text_hash").alias(k), F.col("f0").alias(f"f_{k}"))
-    proposed = checkpoint(proposed.join(side("u"), "u").join(side("v"), "v").select("u", "v", (F.bit_count(F.col("f_u").bitwiseXOR(F.col("f_v"))) <= BITS).alias("near")))
-    asked = proposed.filter("not near").select(F.explode(F.array("u", "v")).alias("text_hash")).distinct().join(different.select("text_hash", F.coalesce("first", F.lit(0)).alias("k"), F.col("first").isNull().alias("none")), "text_hash")
-    keyed = source.select("text_hash", F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("none"), "text")
-    sets = keyed.join(asked, ["text_hash", "k", "none"], "left_semi").dropDuplicates(["text_hash", "k", "none"])  # one exchange serves both
-    sets = sets.select("text_hash", _shingles(F.col("text"), COPY_SHINGLE).alias("s"))
-    part = F.when(F.size("s") > SKETCH_FROM, F.filter("s", lambda h: F.pmod(h, F.lit(SKETCH_ONE_IN)) == 0)).otherwise(F.col("s"))
-    sets = stage(sets.select("text_hash", F.size("s").alias("n"), part.alias("part"), "s"), "near-copies-sets")
-
-    def beside(rows: DataFrame, column: str) -> DataFrame:
-        for k in "uv":
-            rows = rows.join(sets.select(F.col("text_hash").alias(k), F.col(column).alias(f"{column}_{k}")), k)
-        return rows
-
-    def alike(column: str, least: float):
-        common = F.size(F.array_intersect(f"{column}_u", f"{column}_v"))
-        return common >= least * (F.size(f"{column}_u") + F.size(f"{column}_v") - common)
-
-    sized = beside(proposed.filter("not near").select("u", "v"), "n").filter(F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v"))
-    likely = checkpoint(beside(sized, "part").filter((F.least("n_u", "n_v") <= SKETCH_FROM) | alike("part", similarity - 0.3)).select("u", "v"))
-    copies = beside(likely, "s").filter(alike("s", similarity)).select("u", "v").union(proposed.filter("near").select("u", "v"))
-    linked = components(pairs.filter("kind = 0").select("u", "v").union(copies))
+    rows = stage(map_batches(source, make, "doc_id long, text_hash long, fp long, bands array<long>"), "near-copies")
+    different = stage(rows.groupBy("text_hash").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "near-copies-texts")
+    heads = checkpoint(different.groupBy("fp").agg(F.min("text_hash").alias("head")))
+    end = lambda k: heads.select(F.col("fp").alias(k), F.col("head").alias(f"h{k}"))
+    same = different.join(heads, "fp").select(F.col("text_hash").alias("u"), F.col("head").alias("v"))
+    joined = edges(heads.select("fp")).join(end("u"), "u").join(end("v"), "v").select(F.col("hu").alias("u"), F.col("hv").alias("v"))
+    links = checkpoint(same.union(joined).filter("u <> v"))
+    dealt = different.select(F.col("text_hash").alias("t"), F.explode("bands").alias("key"))
+    members = checkpoint(dealt.join(dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key").select("key", "t"))
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        asked = different.join(wanted, "text_hash").select("text_hash", F.coalesce("first", F.lit(0)).alias("k"), F.col("first").isNull().alias("none"))
+        keyed = source.select("text_hash", F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("none"), "text")
+        one = keyed.join(asked, ["text_hash", "k", "none"], "left_semi").dropDuplicates(["text_hash", "k", "none"])  # one exchange serves both
+        one = one.select("text_hash", _shingles(F.col("text"), COPY_SHINGLE).alias("s"))
+        return stage(one.select("text_hash", F.size("s").alias("n"), "s"), "near-copies-sets")
+
+    linked = components(copies(members, links, sets, similarity))
     named = different.join(linked.withColumnRenamed("node", "text_hash"), "text_hash", "left").select("text_hash", "first", F.coalesce("component", "text_hash").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.select("doc_id", "text_hash").join(named.join(least, "root").select("text_hash", "component_id"), "text_hash").select("doc_id", "text_hash", "component_id")

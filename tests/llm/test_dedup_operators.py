@@ -177,6 +177,38 @@ def test_near_copies(spark, docs):
     assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 5), (None, 1)}
 
 
+def test_near_copies_brute_force(spark, docs):
+    """Templates whose head is unlike its members, the same words in other order, and isolated edited pairs of short texts."""
+    make, _ = docs
+    r = random.Random(16)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    rows = []
+    for _ in range(60):
+        own = [word() for _ in range(70)]
+        copy = list(own)
+        copy[35] = word()
+        rows += [" ".join(own), " ".join(copy)]
+    base = [word() for _ in range(200)]
+    for _ in range(50):  # one bag of words; pairs are alike, other members are not
+        order = [base[i : i + 10] for i in range(0, 200, 10)]
+        r.shuffle(order)
+        own = [w for part in order for w in part]
+        turned = list(own)
+        turned[20], turned[21] = turned[21], turned[20]
+        rows += [" ".join(own), " ".join(turned)]
+    long = [word() for _ in range(300)]
+    for _ in range(40):  # a template with a third of its own: some 0.5 alike, and two copies of each
+        own = long[:200] + [word() for _ in range(100)]
+        copy = list(own)
+        copy[250] = word()
+        rows += [" ".join(own), " ".join(copy)]
+    r.shuffle(rows)
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in rows]
+    got = {x.doc_id: x.component_id for x in simhash.near_copies(make(rows)).collect()}
+    alike = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert len(alike) >= 140 and all(got[i] == got[j] for i, j in alike)
+
+
 def test_components(spark):
     r = random.Random(7)
     pairs = [(r.randrange(200), r.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)] + [(5, 5)]
