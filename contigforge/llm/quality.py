@@ -2,7 +2,8 @@
 
 Each labeller votes for a class (GOOD, JUNK, HARMFUL) or abstains. EM over the counts of all vote patterns in the corpus estimates how
 each labeller votes given the class; a pattern's posterior then labels the documents that have it. The scorer is a logistic model of
-hashed words and word shapes, fitted to those soft labels on a sample of at most SAMPLE documents, those of least hash of the id and text.
+hashed words, word shapes and the votes for HARMFUL, fitted to those soft labels on a sample of at most SAMPLE documents, those of least hash
+of the id and text; of each class by the posterior it holds STRATUM documents, or all if there are fewer, and it is weighted back to the corpus.
 
 Contract of vote(), fit() and score():
 - a null text counts as empty; an empty text has no word, is JUNK by its votes, and is scored by the bias alone, then rejected;
@@ -33,9 +34,13 @@ INSULTS = frozenset("idiot idiots moron morons stupid loser losers pathetic wort
 
 #: Documents that the scorer is fitted on, at most.
 SAMPLE = 6000
+#: Of these, documents of each class at least, as far as the corpus has them.
+STRATUM = 1000
 #: Hashed word features; shapes have a range of their own behind them, then come repeats and the bias. So wide that words which weigh share a number with few others.
 WORDS, SHAPES = 1 << 26, 1 << 16
 REPEATS, BIAS = WORDS + SHAPES, WORDS + SHAPES + 1
+#: Features of the labellers that vote HARMFUL, one each; they weigh however few documents have them.
+VOTES = BIAS + 1
 #: A feature weighs nothing unless it is in so many documents of the sample, a word also unless their mean label is so many standard errors off the sample's.
 MIN_DOCUMENTS = 25
 MIN_ERRORS = 6
@@ -156,10 +161,12 @@ LABELLERS = {
     "abusive": lambda v: HARMFUL if v.insults >= 2 or v.words and v.insults / v.words > 0.002 else ABSTAIN,
     "civil": lambda v: ABSTAIN if v.insults else GOOD,
 }
+_HARM = [LABELLERS["insulting"], LABELLERS["abusive"]]
 
 
-def features(indices: set[int], shapes: Counter, same: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of a text: 1 for each of its words, and shares of shapes, drawn towards 0 in short texts."""
+def features(v: View, indices: set[int], shapes: Counter, same: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of a text: 1 for each of its words and votes for HARMFUL, and shares of shapes, drawn towards 0 in short texts."""
+    n = max(v.words, 1)
     index = sorted(indices)
     value = [1.0] * len(index)
     for s, k in shapes.items():
@@ -167,6 +174,10 @@ def features(indices: set[int], shapes: Counter, same: int, n: int) -> tuple[np.
         value.append(8.0 * k / (n + 5))
     index.append(REPEATS)
     value.append(8.0 * same / (n + 5))
+    for i, f in enumerate(_HARM):
+        if f(v) == HARMFUL:
+            index.append(VOTES + i)
+            value.append(1.0)
     return np.array(index, np.int32), np.array(value, np.float32)
 
 
@@ -237,8 +248,8 @@ def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int
     return model
 
 
-def _train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 300, decay: float = 1e-3, least: int = MIN_DOCUMENTS) -> dict[int, float]:
-    """Logistic weights by Adagrad over all rows at once, decayed towards 0; both classes weigh alike."""
+def _train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 300, decay: float = 1e-3, least: int = MIN_DOCUMENTS, share: np.ndarray | None = None) -> dict[int, float]:
+    """Logistic weights by Adagrad over all rows at once, decayed towards 0; both classes weigh alike. share: documents that each row stands for."""
     if not rows:
         return {}
     sizes = np.array([len(i) for i, _ in rows])
@@ -246,14 +257,15 @@ def _train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds
     names, index, seen = np.unique(index, return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(rows)), sizes)
     errors = (np.bincount(index, target[row]) / seen - target.mean()) / np.sqrt(max(target.var(), 1e-9) / seen)
-    chosen = (seen >= least) & ((names >= WORDS) | (np.abs(errors) >= MIN_ERRORS))
+    chosen = (seen >= least) & ((names >= WORDS) | (np.abs(errors) >= MIN_ERRORS)) | (names >= VOTES)
     used = chosen[index]
     row = row[used]
     index, value = index[used], value[used]
     w, bias = np.zeros(len(names)), 0.0
     power, bias_power = np.full(len(names), 1e-6), 1e-6
-    bad = target.sum()
-    weight = np.where(target > 0.5, 0.5 / max(bad, 1), 0.5 / max(len(rows) - bad, 1))
+    share = np.ones(len(rows)) if share is None else share * (len(rows) / share.sum())
+    bad = (target * share).sum()
+    weight = share * np.where(target > 0.5, 0.5 / max(bad, 1), 0.5 / max(len(rows) - bad, 1))
     for _ in range(rounds):
         z = np.bincount(row, w[index] * value, len(rows)) + bias
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) * weight
@@ -283,16 +295,26 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: i
     seen = voted.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
     patterns, counts = np.array([r.pattern for r in seen], np.int64), np.array([r.n for r in seen], float)
     model = expectation_maximisation(votes_of(patterns), counts)
-    last = voted.select("pick").orderBy("pick").limit(sample).agg(F.max("pick").alias("m")).first().m
-    if last is None:
+    if not len(patterns):
         return Scorer(model, {})
+    kind = model.posterior(votes_of(patterns)).argmax(1)
+    there = np.bincount(kind, counts, len(CLASSES)).astype(int)
+    floor = np.minimum(there, min(STRATUM, sample // len(CLASSES)))
+    left = there - floor
+    quota = floor + np.minimum(left, left * max(sample - floor.sum(), 0) // max(left.sum(), 1))
+    picked = []
+    for k, n in enumerate(quota.tolist()):
+        if n:
+            own = voted.filter(F.col("pattern").isin(patterns[kind == k].tolist()))
+            picked += [r.pick for r in own.select("pick").orderBy("pick").limit(n).collect()]
+    picked = df.sparkSession.createDataFrame([(p,) for p in sorted(set(picked))], "pick long")
 
     def make():
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             index, value, codes = [], [], []
             for t in b.column("text").to_pylist():
                 v, counts, shapes, same = view(t)
-                i, x = features(counts, shapes, same, max(v.words, 1))
+                i, x = features(v, counts, shapes, same)
                 index.append(i.tobytes())
                 value.append(x.tobytes())
                 codes.append(pattern(v))
@@ -300,10 +322,12 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: i
 
         return one
 
-    chosen = texts(df, id_col, text_col).filter(F.xxhash64("doc_id", "text") <= last)
-    rows = map_batches(chosen, make, "pattern long, places binary, weights binary").limit(sample).collect()
+    chosen = texts(df, id_col, text_col).withColumn("pick", F.xxhash64("doc_id", "text")).join(F.broadcast(picked), "pick", "left_semi")
+    rows = map_batches(chosen.select("doc_id", "text"), make, "pattern long, places binary, weights binary").limit(sample).collect()
     post = model.posterior(votes_of(np.array([r.pattern for r in rows], np.int64)))
-    return Scorer(model, _train([(np.frombuffer(r.places, np.int32), np.frombuffer(r.weights, np.float32)) for r in rows], 1 - post[:, 0]))
+    got = post.argmax(1)
+    share = there[got] / np.bincount(got, minlength=len(CLASSES))[got]
+    return Scorer(model, _train([(np.frombuffer(r.places, np.int32), np.frombuffer(r.weights, np.float32)) for r in rows], 1 - post[:, 0], share=share))
 
 
 SCORED = "doc_id long, text_hash long, n_words long, votes string, posterior double, score double, keep boolean"
@@ -322,7 +346,7 @@ def score(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str =
             n, z, codes = [], [], []
             for t in b.column("text").to_pylist():
                 v, counts, shapes, same = view(t)
-                i, x = features(counts, shapes, same, max(v.words, 1))
+                i, x = features(v, counts, shapes, same)
                 n.append(v.words)
                 z.append(own.logit(i, x))
                 codes.append(pattern(v))
@@ -347,7 +371,7 @@ def keep_good(df: DataFrame, scorer: Scorer, text_col: str = "text", reject: flo
             good = []
             for t in b.column(at).to_pylist():
                 v, indices, shapes, same = view(t or "")
-                good.append(v.words > 0 and own.logit(*features(indices, shapes, same, v.words)) <= limit)
+                good.append(v.words > 0 and own.logit(*features(v, indices, shapes, same)) <= limit)
             yield b.filter(pa.array(good, pa.bool_()))
 
     limit = float(np.log(reject / (1 - reject)))

@@ -273,6 +273,22 @@ def test_quality(spark, docs):
     assert quality.score(make(["some words"]), empty).first().keep and quality.score(make([]), empty).count() == 0
 
 
+def test_quality_rare_abuse(spark, docs):
+    """Toxic documents are 0.2 % of the corpus, and each has an insult of its own."""
+    make, _ = docs
+    r = random.Random(18)
+    say = lambda n: " ".join(r.choice("the of and a in river stone house green walk light under about nation".split()) for _ in range(n)).capitalize() + ". "
+    good = ["".join(say(r.randint(5, 12)) for _ in range(8)) for _ in range(5000)]
+    insults = sorted(quality.INSULTS)[:10]
+    rude = [good[i].replace("river", w).replace("stone", w) for i, w in enumerate(insults)]
+    shout = [t.upper().replace(" ", "!! ") for t in good[100:400]]
+    frame = make(good[400:] + shout + rude)
+    kept = {x.doc_id: x.keep for x in quality.score(frame, quality.fit(frame)).collect()}
+    n = len(good) - 400
+    assert not any(kept[n + 300 + i] for i in range(10))
+    assert sum(kept[i] for i in range(n)) >= 0.97 * n and sum(kept[n + i] for i in range(300)) <= 15
+
+
 def test_pipeline(spark, docs, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     make, odd = docs
