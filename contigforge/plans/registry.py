@@ -488,7 +488,10 @@ def binning_hdbscan(d: Domain) -> DataFrame:
 def binning_large_data(d: Domain) -> DataFrame:
     """Each taxon's contigs are embedded anew; taxa over the limit are left to a finer rank."""
     limits = clustering.Limits(5, 40, 25, 5)
-    return clustering.guided_binning(_embedded(d, 16), d.markers.select("sacc").distinct().count(), limits, max_partition=1000, embed=lambda rows: emb.reembed(rows, 2, 10, rounds=120))
+    n = F.substring("contig", 2, 20).cast("long")
+    finer = {r: F.concat(F.lit(r), F.substring("phylum", 7, 20), F.lit("_"), n % 4 ** (k + 1)) for k, r in enumerate(("class", "order", "family", "genus", "species"))}
+    rows = _embedded(d, 16).withColumns(finer)
+    return clustering.guided_binning(rows, d.markers.select("sacc").distinct().count(), limits, max_partition=10000, embed=lambda rows: emb.reembed(rows, 2, 10, rounds=120))
 
 
 def _recruitment(d: Domain) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -312,3 +312,20 @@ def test_streamed_counts(spark, tmp_path):
     compose.count_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), 3).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("contig", "kmer", "n")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, kmers.count(frame, 3).collect()))
+
+
+def test_large_binning_finer_ranks(spark, monkeypatch):
+    """A taxon over the limit at every coarse rank is clustered lower down, and the limit is the reference's."""
+    from contigforge.plans import registry
+
+    whole, seen = clustering.guided_binning, {}
+
+    def guided(rows, expected, limits, **other):
+        coarse = min(r["count"] for k in ("superkingdom", "phylum") for r in rows.groupBy(k).count().collect())
+        seen.update(rows=rows, limit=other["max_partition"])
+        return whole(rows, expected, limits, max_partition=coarse - 1)
+
+    monkeypatch.setattr(clustering, "guided_binning", guided)
+    got = registry.queries()["binning_large_data"](spark, "/root/testdata/sf0.01")
+    assert seen["limit"] == 10000
+    assert got.count() == seen["rows"].count() and got.filter("cluster is not null").count() > 0
