@@ -17,11 +17,9 @@ Contract of groups():
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import batch, checkpoint, documents, map_batches, shuffle_partitions, stage, texts, worker_state
@@ -179,8 +177,10 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
 
 #: Of near_copies: words of a shingle and the least share of common shingles.
 COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
-#: Of copies() by MinHash: a pair at similarity s has no band in common with probability (1 - s ** ROWS) ** BANDS, which at 0.8 is three in a million.
-BANDS, ROWS = 24, 4
+#: Bands of MinHashes and values in each: a pair at similarity s has no band in common with probability (1 - s ** ROWS) ** BANDS, 0.2 % at 0.8 and 0.003 % at 0.85.
+BANDS, ROWS = 20, 6
+#: Texts and shingles in a slice of a group, on average at most; a cell that is compared at once holds two slices.
+SLICE, SLICE_SHINGLES = 2048, 1 << 21
 _MULTIPLY = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(SEED + 1).integers(0, 1 << 63, BANDS * ROWS, np.uint64)
 
@@ -192,17 +192,22 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(33)
 
 
-def bands(text: str, size: int = COPY_SHINGLE) -> np.ndarray:
-    """A number for each band of MinHashes of the set of a text's shingles; words are those of _shingles()."""
+def shingles(text: str, size: int = COPY_SHINGLE) -> np.ndarray:
+    """64-bit hashes of a text's shingles in their order; a text of fewer words has one, of its words."""
     import xxhash
 
     words, digest = text.lower().encode().split(), xxhash.xxh64_intdigest
     if len(words) < size:
-        x = np.array([digest(b" ".join(words), SEED)], np.uint64)
-    else:
-        own, x = np.array([digest(w, SEED) for w in words], np.uint64), np.zeros(len(words) - size + 1, np.uint64)
-        for k in range(size):
-            x = _mix(x + own[k : len(words) - size + 1 + k] + np.uint64(k))
+        return np.array([digest(b" ".join(words), SEED)], np.uint64)
+    own, x = np.array([digest(w, SEED) for w in words], np.uint64), np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        x = _mix(x + own[k : len(words) - size + 1 + k] + np.uint64(k))
+    return x
+
+
+def bands(text: str, size: int = COPY_SHINGLE) -> np.ndarray:
+    """A number for each band of MinHashes of the set of a text's shingles."""
+    x = shingles(text, size)
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
     for k in range(0, len(x), 4096):
         least = np.minimum(least, (_MULTIPLY[:, None] * x[k : k + 4096] + _ADD[:, None]).min(1))
@@ -212,60 +217,104 @@ def bands(text: str, size: int = COPY_SHINGLE) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _shingles(text, size: int):
-    """The set of 32-bit hashes of a text's shingles: array<int>."""
-    words = F.filter(F.split(F.lower(text), "[ \\t\\n\\r\\x0B\\f]+"), lambda w: w != "")
+def alike(sets: list[np.ndarray], query: np.ndarray, target: np.ndarray, known: np.ndarray, similarity: float = COPY_SIMILARITY) -> list[tuple[int, int]]:
+    """Pairs (query, target) at similarity or more, fewer than there are sets, that with the known components connect all such pairs.
 
-    def of(w):
-        some = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.hash(*[F.get(w, i + k) for k in range(size)]))
-        return F.when(F.size(w) >= size, some).otherwise(F.array(F.hash(F.array_join(w, " "))))
+    Each query is counted against all targets at once, by lists of the targets that have a shingle; only the counters stay in memory.
+    """
+    own, sizes = np.flatnonzero(target), np.fromiter(map(len, sets), np.int64, len(sets))
+    names, inverse = np.unique(np.concatenate([sets[i] for i in own]), return_inverse=True)
+    holder = np.repeat(np.arange(len(own)), sizes[own])[np.argsort(inverse, kind="stable")]
+    starts = np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(names)))])
+    label, out = np.unique(known, return_inverse=True)[1], []
+    for q in np.flatnonzero(query).tolist():
+        if (label[own] == label[q]).all():
+            continue
+        at = np.minimum(np.searchsorted(names, sets[q]), len(names) - 1)
+        at = at[names[at] == sets[q]]
+        n = starts[at + 1] - starts[at]
+        place = np.repeat(starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(holder[place], minlength=len(own))
+        for t in own[common >= similarity * (sizes[q] + sizes[own] - common)].tolist():
+            if label[t] != label[q]:
+                label[label == label[t]] = label[q]
+                out.append((q, t))
+    return out
+
+
+def _compared(cells: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): links found in each cell (g, i, j) of rows t, c (known component), query, target and s (set, as bytes)."""
 
-    return F.array_distinct(F.transform(F.array(words), of)[0])
+    def run(batches):
+        held_key, held = None, []
 
+        def close() -> pa.RecordBatch | None:
+            found = alike([np.frombuffer(h[4], "<u4") for h in held], np.array([h[2] for h in held]), np.array([h[3] for h in held]), np.array([h[1] for h in held]), similarity) if any(h[3] for h in held) else []
+            return batch(u=([held[q][0] for q, _ in found], pa.int64()), v=([held[t][0] for _, t in found], pa.int64())) if found else None
+
+        for b in batches:
+            keys = zip(*(b.column(k).to_pylist() for k in "gij"), strict=True)
+            for key, row in zip(keys, zip(*(b.column(k).to_pylist() for k in ("t", "c", "query", "target", "s")), strict=True), strict=True):
+                if key != held_key:
+                    if held and (out := close()) is not None:
+                        yield out
+                    held_key, held = key, []
+                held.append(row)
+        if held and (out := close()) is not None:
+            yield out
 
-def copies(members: DataFrame, links: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float = COPY_SIMILARITY) -> DataFrame:
-    """(u, v): links and pairs at similarity or more; together they connect every such pair of texts with a bucket in common. members: (key, t), texts by bucket.
+    by = ["g", "i", "j"]
+    return cells.select(*by, "t", "c", "query", "target", "s").repartition(shuffle_partitions(cells.sparkSession), *by).sortWithinPartitions(*by).mapInArrow(run, "u long, v long")
 
-    In each round some members of a bucket, its pivots, are held against all its members of other components by their whole sets, and then leave it. So a pair of a bucket
-    is compared, or one component has both. A bucket is closed when one component has all that is left of it. Pivots are outside its largest component, one for
-    a slot of a hash; slots grow fourfold a round, and buckets up to SMALL take all. Before that, each text is held against one pivot of its buckets alone,
-    which joins most copies at the least cost.
+
+def _each(n) -> Column:
+    return F.explode(F.sequence(F.lit(0), n - 1))
+
+
+def compare(rows: DataFrame, links: DataFrame, similarity: float = COPY_SIMILARITY, size: int = SLICE, shingles: int = SLICE_SHINGLES) -> DataFrame:
+    """(u, v): links, and pairs at similarity or more inside the groups; together they connect all such pairs. rows: (t, g, s), a text, its group and its set as bytes.
+
+    A group of up to a slice is one cell. In a larger one the texts of the first slice are held against all its texts first, which joins most copies in linear time;
+    then those outside the largest component that has come of it are held against all, slice by slice. So a pair is compared, or one component has both.
     """
-    held, turn = None, 0
-    while True:
-        named = components(links).withColumnsRenamed({"node": "t", "component": "c"})
-        coloured = members.join(named, "t", "left").select("key", "t", F.coalesce("c", "t").alias("c"))
-        sizes = coloured.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.max_by("c", F.struct("n", "c")).alias("main"))
-        rest = checkpoint(coloured.join(sizes.filter("k > 1").drop("k"), "key"))
-        if rest.isEmpty():
-            return links
-        if held is None:
-            held = sets(rest.select(F.col("t").alias("text_hash")).distinct())
-        slot = F.pmod(F.xxhash64("t", F.lit(turn)), F.lit(4 ** min(max(turn - 1, 0), 20)))
-        slot = F.when((F.col("n") <= SMALL) & F.lit(turn > 0), F.col("t")).otherwise(slot)
-        pivots = checkpoint(rest.filter("c <> main").groupBy("key", slot.alias("slot")).agg(F.min(F.struct("t", "c")).alias("p")).select("key", "p.t", "p.c"))
-        pairs = rest.select("key", "t", "c").join(pivots.select("key", F.col("t").alias("p"), F.col("c").alias("d")), "key").filter("c <> d")
-        pairs = pairs.groupBy("t").agg(F.min("p").alias("p")) if turn == 0 else pairs
-        pairs = checkpoint(pairs.select(F.greatest("t", "p").alias("u"), F.least("t", "p").alias("v")).distinct())
-
-        def beside(rows: DataFrame, column: str, held: DataFrame = held) -> DataFrame:
-            for k in "uv":
-                rows = rows.join(held.select(F.col("text_hash").alias(k), F.col(column).alias(f"{column}_{k}")), k)
-            return rows
-
-        sized = beside(pairs, "n").filter(F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v")).select("u", "v")
-        common = F.size(F.array_intersect("s_u", "s_v"))
-        alike = beside(sized, "s").filter(common >= similarity * (F.size("s_u") + F.size("s_v") - common)).select("u", "v")
-        links = checkpoint(links.union(alike))
-        members = rest.select("key", "t") if turn == 0 else rest.join(pivots, ["key", "t"], "left_anti").select("key", "t")
-        turn += 1
-
-
-def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = COPY_SIMILARITY) -> DataFrame:
+
+    def named(table: DataFrame, links: DataFrame) -> DataFrame:
+        return table.join(components(links).withColumnsRenamed({"node": "t", "component": "c"}), "t", "left").withColumn("c", F.coalesce("c", "t"))
+
+    def slices(n, s):
+        return F.greatest(F.ceil(n / size), F.ceil(s / (4 * shingles)), F.lit(1)).cast("int")
+
+    counts = F.count("*"), F.sum(F.octet_length("s"))
+    now = named(rows, links)
+    groups = checkpoint(now.groupBy("g").agg(slices(*counts).alias("k"), F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("g", "k"))
+    now = now.join(groups, "g")
+    yes, no, none = F.lit(True), F.lit(False), F.lit(0)
+    one = now.filter("k = 1").select("g", none.alias("i"), none.alias("j"), "t", "c", yes.alias("query"), yes.alias("target"), "s")
+    large = now.filter("k > 1").withColumn("own", F.pmod(F.xxhash64("t"), "k").cast("int"))
+    some = not groups.filter("k > 1").isEmpty()
+    if some:
+        heads = large.filter("own = 0").select("g", none.alias("i"), _each(F.col("k")).alias("j"), "t", "c", yes.alias("query"), no.alias("target"), "s")
+        one = one.union(heads).union(large.select("g", none.alias("i"), F.col("own").alias("j"), "t", "c", no.alias("query"), yes.alias("target"), "s"))
+    links = checkpoint(links.union(_compared(one, similarity)))
+    if not some:
+        return links
+    large = named(large.drop("c"), links)
+    main = large.groupBy("g", "c").count().groupBy("g").agg(F.max_by("c", F.struct("count", "c")).alias("main"))
+    large = large.join(main, "g")
+    left = large.filter("c <> main and own <> 0")
+    rest = checkpoint(left.groupBy("g").agg(slices(*counts).alias("r")))
+    queries = left.join(rest, "g").select("g", F.pmod(F.xxhash64("t", F.lit(1)), "r").cast("int").alias("i"), _each(F.col("k")).alias("j"), "t", "c", yes.alias("query"), no.alias("target"), "s")
+    targets = large.join(rest, "g").select("g", _each(F.col("r")).alias("i"), F.col("own").alias("j"), "t", "c", no.alias("query"), yes.alias("target"), "s")
+    return checkpoint(links.union(_compared(queries.union(targets), similarity)))
+
+
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = COPY_SIMILARITY, size: int = SLICE) -> DataFrame:
     """(doc_id, text_hash, component_id): documents are linked by SHINGLE-word fingerprints at most BITS apart, or by similarity or more of their COPY_SHINGLE-word shingles.
 
-    The second kind is found by copies() in the buckets of MinHash bands; every link of it is by whole shingle sets. Groups that are alike, but less than asked for,
-    share buckets without links, and these are compared by pairs.
+    For the second kind, texts with a band of MinHashes in common are in one group, and compare() holds the members of a group against each other by whole sets of shingles.
+
+    Nulls, empty texts, words and repeated rows are as in groups(); empty texts have one shingle in common. A text of any length is one set of 4 bytes for a word.
+    Ties do not arise: a component is a set. An empty table gives an empty one; other columns are ignored.
     """
 
     def make():
@@ -287,17 +336,22 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     same = different.join(heads, "fp").select(F.col("text_hash").alias("u"), F.col("head").alias("v"))
     joined = edges(heads.select("fp")).join(end("u"), "u").join(end("v"), "v").select(F.col("hu").alias("u"), F.col("hv").alias("v"))
     links = checkpoint(same.union(joined).filter("u <> v"))
-    dealt = different.select(F.col("text_hash").alias("t"), F.explode("bands").alias("key"))
-    members = checkpoint(dealt.join(dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key").select("key", "t"))
+    dealt = different.select(F.col("text_hash").alias("u"), F.explode("bands").alias("key"))
+    firsts = dealt.groupBy("key").agg(F.min("u").alias("v"), F.count("*").alias("n")).filter("n > 1")
+    group = checkpoint(components(dealt.join(firsts, "key").select("u", "v")).withColumnsRenamed({"node": "text_hash", "component": "g"}))
+
+    def sets():
+        def one(b: pa.RecordBatch) -> pa.RecordBatch:
+            own = [np.unique((shingles(t) >> np.uint64(32)).astype("<u4")).tobytes() for t in b.column("text").to_pylist()]
+            return batch(t=(b.column("text_hash"), None), g=(b.column("g"), None), s=(own, pa.binary()))
 
-    def sets(wanted: DataFrame) -> DataFrame:
-        asked = different.join(wanted, "text_hash").select("text_hash", F.coalesce("first", F.lit(0)).alias("k"), F.col("first").isNull().alias("none"))
-        keyed = source.select("text_hash", F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("none"), "text")
-        one = keyed.join(asked, ["text_hash", "k", "none"], "left_semi").dropDuplicates(["text_hash", "k", "none"])  # one exchange serves both
-        one = one.select("text_hash", _shingles(F.col("text"), COPY_SHINGLE).alias("s"))
-        return stage(one.select("text_hash", F.size("s").alias("n"), "s"), "near-copies-sets")
+        return one
 
-    linked = components(copies(members, links, sets, similarity))
+    asked = different.join(group, "text_hash").select("text_hash", "g", F.coalesce("first", F.lit(0)).alias("k"), F.col("first").isNull().alias("none"))
+    keyed = source.select("text_hash", F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("none"), "text")
+    wanted = keyed.join(asked, ["text_hash", "k", "none"]).dropDuplicates(["text_hash", "k", "none"])  # one exchange serves both
+    held = stage(map_batches(wanted.select("text_hash", "g", "text"), sets, "t long, g long, s binary"), "near-copies-sets")
+    linked = components(compare(held, links, similarity, size))
     named = different.join(linked.withColumnRenamed("node", "text_hash"), "text_hash", "left").select("text_hash", "first", F.coalesce("component", "text_hash").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.select("doc_id", "text_hash").join(named.join(least, "root").select("text_hash", "component_id"), "text_hash").select("doc_id", "text_hash", "component_id")

@@ -177,7 +177,8 @@ def test_near_copies(spark, docs):
     assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 5), (None, 1)}
 
 
-def test_near_copies_brute_force(spark, docs):
+@pytest.mark.parametrize("size", [simhash.SLICE, 16])
+def test_near_copies_brute_force(spark, docs, size):
     """Templates whose head is unlike its members, the same words in other order, and isolated edited pairs of short texts."""
     make, _ = docs
     r = random.Random(16)
@@ -204,9 +205,40 @@ def test_near_copies_brute_force(spark, docs):
         rows += [" ".join(own), " ".join(copy)]
     r.shuffle(rows)
     sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in rows]
-    got = {x.doc_id: x.component_id for x in simhash.near_copies(make(rows)).collect()}
+    got = {x.doc_id: x.component_id for x in simhash.near_copies(make(rows), size=size).collect()}
     alike = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
     assert len(alike) >= 140 and all(got[i] == got[j] for i, j in alike)
+    linked = simhash.groups(make(rows)).select("doc_id", "component_id").collect()
+    root = {x.doc_id: x.component_id for x in linked}
+    for i, j in sorted(alike):  # components of both kinds of links, and nothing beyond them
+        a, b = root[i], root[j]
+        root = {k: min(a, b) if v in (a, b) else v for k, v in root.items()}
+    assert got == root
+
+
+def test_near_copies_hard_rows(spark, docs):
+    make, odd = docs
+    got = simhash.near_copies(make(odd))
+    assert got.count() == len(odd) and simhash.near_copies(make([])).count() == 0
+
+
+def test_near_copies_recall(spark, docs):
+    """Isolated pairs at 0.8 to 0.9, by whole texts of 20 to 400 words."""
+    make, _ = docs
+    r = random.Random(26)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    rows, pairs = [], []
+    while len(pairs) < 400:
+        own = [word() for _ in range(r.randint(20, 400))]
+        copy = list(own)
+        for _ in range(max(1, len(own) // 45)):
+            copy[r.randrange(len(own))] = word()
+        a, b = ({tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in (own, copy))
+        if 0.8 <= len(a & b) / len(a | b) < 0.9:
+            pairs.append((len(rows), len(rows) + 1))
+            rows += [" ".join(own), " ".join(copy)]
+    got = {x.doc_id: x.component_id for x in simhash.near_copies(make(rows)).collect()}
+    assert sum(got[i] == got[j] for i, j in pairs) >= 0.99 * len(pairs)
 
 
 def test_components(spark):
