@@ -1,7 +1,7 @@
 """Whole texts to token ids by way of a cache of space-separated chunks.
 
 Splitting at single spaces never changes the ids here: both pre-tokenizers of the public vocabularies split before a space that stands
-between two characters that aren't white space. Texts where that, or the normalizer, could matter take the whole text to the encoder.
+between two characters that aren't white space. Texts where that, the normalizer or an added token could matter take the whole text to the encoder.
 """
 
 from __future__ import annotations
@@ -56,12 +56,12 @@ class Chunks:
     """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes.
 
     whole: the encoder of any strings; split and piece: for plain strings, their pieces and the encoder of one; ahead: told, before any is
-    asked for, the strings of a batch that are not remembered, for encoders that do many at once.
+    asked for, the strings of a batch that are not remembered, for encoders that do many at once; marks: texts that hold one of these go whole.
     """
 
-    def __init__(self, whole: Callable[[list[str]], list[bytes]], split: Callable[[str], list[str]], piece: Callable[[str], bytes], ahead: Callable[[list[str]], None] | None = None, memory: tuple[int, int] | None = None):
+    def __init__(self, whole: Callable[[list[str]], list[bytes]], split: Callable[[str], list[str]], piece: Callable[[str], bytes], ahead: Callable[[list[str]], None] | None = None, memory: tuple[int, int] | None = None, marks: tuple[str, ...] = ()):
         most, most_pieces = memory or (REMEMBERED, REMEMBERED_PIECES)
-        self.whole, self.split, self.ahead = whole, split, ahead
+        self.whole, self.split, self.ahead, self.marks = whole, split, ahead, marks
         self.pieces = Known(piece, most_pieces)
         self.first, self.later = Known(self._joined, most_pieces), Known(lambda chunk: self._joined(" " + chunk), most)
 
@@ -73,7 +73,7 @@ class Chunks:
         return b"".join(map(self.pieces.__getitem__, self.split(string)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.partition(" ") if is_plain(t) else None for t in texts]
+        parts = [t.partition(" ") if is_plain(t) and not any(m in t for m in self.marks) else None for t in texts]
         if self.ahead:
             self.ahead([p[0] for p in parts if p and p[0] not in self.first] + [" " + c for p in parts if p and p[1] for c in p[2].split(" ") if c not in self.later])
         rest = iter(self.whole([t for t, p in zip(texts, parts, strict=True) if p is None]))
@@ -87,8 +87,16 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in own)}
 
 
+def opening(tokens: list[str]) -> tuple[str, ...]:
+    """What any text that spells out one of these tokens holds, whatever its case: the first two characters if they have no case, else the empty string."""
+    return tuple({t[:2] if t[:2].lower() == t[:2].upper() else "" for t in tokens})
+
+
 def library(path: str, words: bool, memory: tuple[int, int] | None = None) -> Chunks:
-    """The tokenizers library over a vocabulary file, without special tokens; one for each worker. words: lower case, white space dropped, as in word_bpe."""
+    """The tokenizers library over a vocabulary file, with add_special_tokens=False; one for each worker. words: lower case, white space dropped, as in word_bpe.
+
+    An added token that a text spells out is that token, as the library has it.
+    """
 
     def make() -> Chunks:
         import os
@@ -97,13 +105,13 @@ def library(path: str, words: bool, memory: tuple[int, int] | None = None) -> Ch
         from tokenizers import Tokenizer
 
         tok, letters = Tokenizer.from_file(path), byte_letters()
-        tok.encode_special_tokens = True
         model = tok.model.tokenize
         return Chunks(
             lambda texts: [] if not texts else [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)],
             (lambda s: _WORD_LEVEL(s.lower())) if words else BYTE_LEVEL,
             lambda piece: array("I", [t.id for t in model(piece.encode().decode("latin-1").translate(letters))]).tobytes(),
             memory=memory,
+            marks=opening([t.content for t in tok.get_added_tokens_decoder().values()]),
         )
 
     return worker_state(("tokenizers", path, memory), make)

@@ -1,6 +1,6 @@
 """Mixture-controlled packing: deficit round-robin over source queues fills every window to the target token proportions.
 
-A queue is a source; its tokens lie in it in the order of (task that tokenised them, row). Windows of WINDOW tokens are grouped into
+A queue is a source, its target proportion by default its share of all tokens; its tokens lie in it in the order of (task that tokenised them, row). Windows of WINDOW tokens are grouped into
 blocks of BLOCK windows. Where a block begins, each queue has given its share of all tokens so far, rounded by Webster's method; what
 a share and the whole tokens given differ by is the deficit that is carried into the block. Inside a block, each window adds every
 queue's quantum to its deficit, serves the whole tokens of it, and gives the places left to the queues of largest deficit. So any task
@@ -16,8 +16,10 @@ Contract of pack():
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from fractions import Fraction
 from functools import lru_cache
+from heapq import heapify, heappop, heapreplace
 
 import numpy as np
 import pyarrow as pa
@@ -34,47 +36,91 @@ BLOCK = 512
 END_ID = 0
 #: Rows of a task and source that may be sent to all executors, some 40 bytes each.
 BROADCAST_ROWS = 200_000
+#: Bytes of each of a schedule's memories.
+MEMORY = 64 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
 
 class Schedule:
-    """Who fills which place of which window, for queues of these many tokens."""
+    """Who fills which place of which window, for queues of these many tokens and weights; without weights each queue weighs its tokens.
 
-    def __init__(self, totals: list[int], window: int = WINDOW, block: int = BLOCK):
+    While all queues last, their shares are as their weights; a queue that has given all leaves its share to the others.
+    """
+
+    def __init__(self, totals: list[int], window: int = WINDOW, block: int = BLOCK, weights: list[int] | None = None):
         self.totals, self.window, self.block = totals, window, block
+        self.weights = [w if t else 0 for w, t in zip(weights or totals, totals, strict=True)]
+        if any(w < 1 for w, t in zip(self.weights, totals, strict=True) if t):
+            raise ValueError("a queue with tokens needs a weight")
         self.total = sum(totals)
         self.blocks = -(-self.total // (window * block))
-        self.counts, self.offsets = lru_cache(64)(self._counts), lru_cache(64)(self._offsets)
+        order = sorted((i for i, t in enumerate(totals) if t), key=lambda i: Fraction(totals[i], self.weights[i]))
+        self.dry, gone, rest = [], 0, sum(self.weights)  # for each queue as it runs dry: tokens given by then, level, and what holds after it
+        self.after = [(gone, rest)]
+        for i in order:
+            level = Fraction(totals[i], self.weights[i])
+            self.dry.append((gone + level * rest, level))
+            gone, rest = gone + totals[i], rest - self.weights[i]
+            self.after.append((gone, rest))
+        row = 8 * max(len(totals), 1)
+        self.given = lru_cache(max(4, min(4096, MEMORY // row)))(self._given)
+        held = max(2, min(64, MEMORY // (row * (block + 1))))
+        self.counts, self.offsets = lru_cache(held)(self._counts), lru_cache(held)(self._offsets)
         self.columns = lru_cache(4096)(lambda block, queue: np.ascontiguousarray(self.counts(block)[:, queue]))
 
-    def given(self, tokens: int) -> np.ndarray:
+    def _level(self, tokens: int) -> Fraction:
+        """The level up to which queues are drained when so many tokens are given: queue i has given weight * level, or all it has."""
+        gone, rest = self.after[bisect_left(self.dry, tokens, key=lambda x: x[0])]
+        return Fraction(tokens - gone, rest) if rest else Fraction(0)
+
+    def ideal(self, tokens: int) -> np.ndarray:
+        """What each queue should have given, not rounded."""
+        if tokens >= self.total:
+            return np.array(self.totals, float)
+        level = float(self._level(tokens))
+        return np.minimum(np.array(self.totals, float), np.array(self.weights, float) * level)
+
+    def _given(self, tokens: int) -> np.ndarray:
         """Tokens of each queue among the first so many: Webster's rounding of the shares, which never takes a token back as tokens grows."""
         if self.total == 0 or tokens >= self.total:
             return np.array(self.totals, np.int64)
-        out = [min(t, (2 * t * tokens + self.total) // (2 * self.total)) for t in self.totals]
-        while (over := sum(out) - tokens) > 0:
-            i = max((i for i, x in enumerate(out) if x), key=lambda i: (Fraction(2 * out[i] - 1, self.totals[i]), i))
-            out[i] -= 1
-        while over < 0:
-            i = min((i for i, x in enumerate(out) if x < self.totals[i]), key=lambda i: (Fraction(2 * out[i] + 1, self.totals[i]), i))
-            out[i] += 1
-            over += 1
+        level = self._level(tokens)
+        up, down = level.numerator, level.denominator
+        out = [min(t, (2 * w * up + down) // (2 * down)) for t, w in zip(self.totals, self.weights, strict=True)]
+        over = sum(out) - tokens
+        if over > 0:
+            heap = [(-Fraction(2 * x - 1, self.weights[i]), -i) for i, x in enumerate(out) if x]
+            heapify(heap)
+            for _ in range(over):
+                i = -heap[0][1]
+                out[i] -= 1
+                heapreplace(heap, (-Fraction(2 * out[i] - 1, self.weights[i]), -i)) if out[i] else heappop(heap)
+        elif over < 0:
+            heap = [(Fraction(2 * x + 1, self.weights[i]), i) for i, x in enumerate(out) if x < self.totals[i]]
+            heapify(heap)
+            for _ in range(-over):
+                i = heap[0][1]
+                out[i] += 1
+                heapreplace(heap, (Fraction(2 * out[i] + 1, self.weights[i]), i)) if out[i] < self.totals[i] else heappop(heap)
         return np.array(out, np.int64)
 
     def _counts(self, block: int) -> np.ndarray:
         """Tokens given before each of the block's windows: a row for a window and one for the end, a column for a queue."""
         size = self.window * self.block
-        first, last = self.given(block * size), self.given(min((block + 1) * size, self.total))
+        begin, end = block * size, min((block + 1) * size, self.total)
+        first, last = self.given(begin), self.given(end)
         left = last - first
-        n = int(left.sum())
+        n = end - begin
         windows = -(-n // self.window)
-        quantum = np.array(self.totals, float) * (self.window / max(self.total, 1))
-        deficit = np.array([t * block * size / max(self.total, 1) for t in self.totals]) - first  # carried into the block
+        due = self.ideal(begin)
+        deficit = due - first  # carried into the block
         out = np.empty((windows + 1, len(left)), np.int64)
         out[0] = first
         for w in range(windows):
-            deficit += quantum
             room = min(self.window, n - w * self.window)
+            next_due = self.ideal(begin + w * self.window + room)
+            deficit += next_due - due  # the window's quanta
+            due = next_due
             serve = np.minimum(np.maximum(np.floor(deficit), 0).astype(np.int64), left)
             if (more := room - int(serve.sum())) < 0:
                 for i in np.argsort(deficit - serve, kind="stable"):
@@ -96,10 +142,12 @@ class Schedule:
     def block_of(self, queue: int, position: int) -> int:
         """The block that holds this token of the queue."""
         size = self.window * self.block
-        low = max(0, min(self.blocks - 1, position * self.total // max(self.totals[queue], 1) // size))
+        level = position / self.weights[queue]
+        gone, rest = self.after[bisect_left(self.dry, level, key=lambda x: x[1])]
+        low = max(0, min(self.blocks - 1, int(gone + level * rest) // size))
         while low and self.given(low * size)[queue] > position:
             low -= 1
-        while self.given((low + 1) * size)[queue] <= position:
+        while self.given(min((low + 1) * size, self.total))[queue] <= position:
             low += 1
         return low
 
@@ -138,40 +186,44 @@ class Schedule:
 
 
 def tokenise(df: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", memory: tuple[int, int] | None = None) -> DataFrame:
-    """(task, source, task_start, doc_id, ids): ids as little-endian unsigned 16-bit bytes; task_start counts the tokens of the source before it in the task."""
+    """(task, source, task_start, doc_id, n_tokens, ids): ids as little-endian unsigned numbers of 16 bits, or 32 where one needs them; task_start counts the tokens of the source before it in the task."""
 
     def run(batches):
         task, before, encoder = TaskContext.get().partitionId(), {}, library(vocabulary, False, memory)
         end = int(end_id).to_bytes(4, "little")
         for b in batches:
-            sources, starts, ids = b.column("source").to_pylist(), [], []
+            sources, starts, ids, count = b.column("source").to_pylist(), [], [], []
             for s, x in zip(sources, encoder.encode(b.column("text").to_pylist()), strict=True):
                 starts.append(before.get(s, 0))
-                before[s] = starts[-1] + len(x) // 4 + 1
-                ids.append(np.frombuffer(x + end, "<u4").astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([task] * len(ids), pa.int32()), b.column("source"), pa.array(starts, pa.int64()), b.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["task", "source", "task_start", "doc_id", "n_tokens", "ids"])
+                count.append(len(x) // 4 + 1)
+                before[s] = starts[-1] + count[-1]
+                own = np.frombuffer(x + end, "<u4")
+                ids.append(own.astype("<u2").tobytes() if own.max() < 1 << 16 else x + end)
+            yield pa.RecordBatch.from_arrays([pa.array([task] * len(ids), pa.int32()), b.column("source"), pa.array(starts, pa.int64()), b.column("doc_id"), pa.array(count, pa.int64()), pa.array(ids, pa.binary())], names=["task", "source", "task_start", "doc_id", "n_tokens", "ids"])
 
     ship(df.sparkSession)
     rows = df.select(column(id_col).cast("long").alias("doc_id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"), column(source_col).cast("string").alias("source"))
     return rows.mapInArrow(run, "task int, source string, task_start long, doc_id long, n_tokens long, ids binary")
 
 
-def pack(df: DataFrame, vocabulary: str, window: int = WINDOW, block: int = BLOCK, end_id: int = END_ID, memory: tuple[int, int] | None = None, **columns: str) -> DataFrame:
-    """The pieces of PIECES. The ids are written once into the shared folder; sums of a row for each task and source set the queues' places. The list of sources is the mixture and is held by the driver."""
+def pack(df: DataFrame, vocabulary: str, window: int = WINDOW, block: int = BLOCK, end_id: int = END_ID, memory: tuple[int, int] | None = None, mixture: dict[str | None, float] | None = None, **columns: str) -> DataFrame:
+    """The pieces of PIECES. mixture: target proportions of sources, as long as they last; a source that it doesn't name has its share of all tokens. The ids are written once into the shared folder; sums of a row for each task and source set the queues' places. The sources with their sums are held by the driver and by each task."""
     spark = df.sparkSession
     tokens = stage(tokenise(df, vocabulary, end_id, memory=memory, **columns), "packing")
     sums = checkpoint(tokens.groupBy("source", "task").agg(F.sum("n_tokens").alias("n")))
     bases = sums.select(F.col("source").alias("b_source"), F.col("task").alias("b_task"), F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    mixture = sorted(((r.source, r.n) for r in sums.groupBy("source").agg(F.sum("n").alias("n")).collect()), key=lambda x: (x[0] is not None, x[0] or ""))
-    names, totals = [m[0] for m in mixture], [int(m[1]) for m in mixture]
+    found = sorted(((r.source, r.n) for r in sums.groupBy("source").agg(F.sum("n").alias("n")).collect()), key=lambda x: (x[0] is not None, x[0] or ""))
+    names, totals = [m[0] for m in found], [int(m[1]) for m in found]
+    total = max(sum(totals), 1)
+    weights = [max(1, round(mixture.get(s, n / total) * (1 << 40))) for s, n in zip(names, totals, strict=True)] if mixture else None
 
     def run(batches):
         worker_state("packing", object)  # the ids are there: what tokenising remembered can go
-        plan, place = Schedule(totals, window, block), {s: i for i, s in enumerate(names)}
+        plan, place = Schedule(totals, window, block, weights), {s: i for i, s in enumerate(names)}
         for b in batches:
             parts, crc, count = [], [], []
             for source, base, n, ids in zip(*(b.column(k).to_pylist() for k in ("source", "begin", "n_tokens", "ids")), strict=True):
-                wide = memoryview(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
+                wide = memoryview(ids if len(ids) == 4 * n else np.frombuffer(ids, "<u2").astype("<u4").tobytes())
                 parts.append(got := plan.pieces(place[source], base, n))
                 first = (got[0] * 4).tolist()
                 crc += [zlib.crc32(wide[x:y]) for x, y in zip(first, (*first[1:], 4 * n), strict=True)]

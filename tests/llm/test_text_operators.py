@@ -94,16 +94,19 @@ def test_frame_of_reference(n, high):
     assert (b.all() == x).all() and all((b.block(i) == x[128 * i : 128 * i + 128]).all() for i in range(b.blocks))
 
 
+#: Texts that spell out added tokens.
+SPELT = [(90, "a <|endoftext|> b", "s"), (91, "<|startoftext|><|ENDOFTEXT|> x<|endoftext|>", None)]
+
+
 def test_token_files(spark, docs, monkeypatch):
     make, odd = docs
     monkeypatch.setattr(tokenfiles, "SEGMENT_IDS", 500)
     vocabulary = tokenizer_path("word_bpe_49k.json")
     path = f"{shared_dir(spark)}/test-tokens"
-    tokenfiles.write(make(odd), path, vocabulary, 2)
+    tokenfiles.write(make(odd + SPELT), path, vocabulary, 2)
     got = sorted(tokenfiles.read(spark, path).collect(), key=lambda r: r.start)
     t = Tokenizer.from_file(vocabulary)
-    t.encode_special_tokens = True
-    want = sorted(((-1 if i is None else i, x or "") for i, x, _ in odd))
+    want = sorted(((-1 if i is None else i, x or "") for i, x, _ in odd + SPELT))
     at = 0
     assert [r.doc_id for r in got] == [None if i < 0 else i for i, _ in want]
     for r, (_, text) in zip(got, want, strict=True):
@@ -141,13 +144,52 @@ def test_schedule(totals):
             assert all(abs(served.get((w, q), 0) - 64 * t / sum(totals)) <= 2 for q, t in enumerate(totals))
 
 
+def test_schedule_of_targets():
+    """Weights set the shares until a queue is dry; then the others go on in their proportions."""
+    totals, weights = [4000, 9000, 100, 0], [1, 2, 1, 5]
+    s = packing.Schedule(totals, 64, 4, weights)
+    before = np.zeros(4, np.int64)
+    for n in range(1, sum(totals) + 1):
+        now = s._given(n)
+        assert now.sum() == n and (now >= before).all() and (now <= totals).all()
+        before = now
+    served = np.diff(np.concatenate([s.counts(b)[: 1 if b + 1 < s.blocks else None] if b + 1 == s.blocks else s.counts(b)[:-1] for b in range(s.blocks)]), axis=0)
+    assert (np.abs(served[:5] - 64 * np.array([1, 2, 1, 0]) / 4) <= 2).all() and (np.abs(served[10:150] - 64 * np.array([1, 2, 0, 0]) / 3) <= 3).all()
+    for q, total in enumerate(totals[:3]):
+        assert sum(int(s.pieces(q, at, min(777, total - at))[1].sum()) for at in range(0, total, 777)) == total
+
+
+def test_schedule_of_many_sources():
+    import time
+
+    r = np.random.default_rng(3)
+    s = packing.Schedule((r.pareto(1.0, 20_000) * 1000 + 1).astype(int).tolist())
+    began = time.perf_counter()
+    assert (np.diff(s.counts(1), axis=0).sum(1) == 1024).all()
+    assert time.perf_counter() - began < 5
+
+
+def test_packing_targets_and_wide_ids(spark, docs, tmp_path):
+    import json
+
+    make, _ = docs
+    path = str(tmp_path / "wide.json")
+    vocabulary = {"[UNK]": 0, "one": 70_000, "two": 2}
+    with open(path, "w") as f:
+        json.dump({"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "Whitespace"}, "post_processor": None, "decoder": None, "model": {"type": "WordLevel", "vocab": vocabulary, "unk_token": "[UNK]"}}, f)
+    rows = [(i, "one two " * 50, "ab"[i % 2]) for i in range(40)]
+    tokens = packing.tokenise(make(rows), path).collect()
+    assert all(np.frombuffer(x.ids, "<u4")[:2].tolist() == [70_000, 2] for x in tokens)
+    got = packing.pack(make(rows), path, 64, 4, mixture={"a": 0.75, "b": 0.25}).filter("sequence_id < 10").groupBy("source").sum("length").collect()
+    assert {x.source: round(x[1] / 64) for x in got} in ({"a": 7, "b": 3}, {"a": 8, "b": 2})
+
+
 def test_packing(spark, docs):
     make, odd = docs
     vocabulary = tokenizer_path("byte_bpe_50k.json")
-    got = packing.pack(make(odd), vocabulary, 256, 4).collect()
+    got = packing.pack(make(odd + SPELT), vocabulary, 256, 4).collect()
     t = Tokenizer.from_file(vocabulary)
-    t.encode_special_tokens = True
-    want = sorted(len(t.encode(x or "", add_special_tokens=False).ids) + 1 for _, x, _ in odd)
+    want = sorted(len(t.encode(x or "", add_special_tokens=False).ids) + 1 for _, x, _ in odd + SPELT)
     assert sorted(r.doc_tokens for r in got if r.start == 0) == want and sum(r.length for r in got) == sum(want)
     windows = {}
     for r in got:
