@@ -1,17 +1,17 @@
 """Repeated passages by merged Burrows-Wheeler transforms of shards.
 
 Each shard's suffixes are sorted once. Transforms are then merged by refining their interleaving: in round h, every row steps to the suffix
-one byte longer to the left, stably ordered by that byte, so that the interleaving is right for the first h bytes; where neighbours are told
-apart for the first time in round h, their common prefix is h - 1 bytes long. After LENGTH rounds, the runs that were never
-told apart are the repeated intervals: equal strings of LENGTH bytes. No suffix is sorted again.
+one byte longer to the left, stably ordered by that byte, so that the interleaving is right for the first h bytes. Rows that are apart stay
+apart at the same place, so the number of rounds in which neighbours are not apart is their common prefix. Where that is LENGTH are the
+repeated intervals: equal strings of LENGTH bytes. No suffix is sorted again.
 
-What comes to the merge is chosen without loss. A window (string of LENGTH bytes) has an anchor, the gram of GRAM bytes with the least hash in
-it, leftmost on ties; equal windows have equal anchors. Consecutive windows with one anchor form a run. If all runs in the corpus
-that have an anchor are equal, nothing need be compared; only runs whose anchor also occurs in another run are sent on to be merged.
+What comes to the merge is chosen before. A window (string of LENGTH bytes) has an anchor, the gram of GRAM bytes with the least hash in
+it, leftmost on ties; equal windows have equal anchors. Consecutive windows with one anchor form a run. Runs of equal hashes (112 bits) count as
+equal and are decided by the least id of them; only runs whose anchor also occurs in another run are sent on to be merged.
 
-Documents are dealt to chunks by a hash of their id; a chunk sends each different run of its own once. So a passage that many documents share
+Documents are dealt to chunks by a hash of id and text; a chunk sends each different run of its own once. So a passage that many documents share
 costs one row for each chunk, and no group grows with the number of documents. Anchors with over HOT different runs, as at the edges of such a
-passage, are sent as single windows dealt by their own hash, each once for each chunk.
+passage, are sent as single windows dealt by their own hash, each once for each chunk. Chunks, buckets and partitions grow in number with the bytes.
 
 Contract of remove_repeats():
 - null and empty texts, and texts under LENGTH bytes, lose nothing; a null id counts as larger than all ids and stays null;
@@ -38,6 +38,8 @@ GRAM = 20
 HOT = 20_000
 #: Documents in a chunk, and bytes of text, on average at most.
 CHUNK_DOCUMENTS, CHUNK_BYTES = 2048, 8 << 20
+#: Bytes of text in one shuffle partition, on average at most.
+PART_BYTES = 8 << 20
 #: Windows of a text hashed at once, and bytes of a batch of them.
 PIECE, BATCH = 1 << 17, 1 << 18
 #: Strings of a shard whose suffixes are sorted at once.
@@ -69,7 +71,7 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
 
 
 class Runs:
-    """The runs of a chunk's texts: doc (its place in the chunk), first (window), windows, anchor (48 bits) and context (40 bits) of each."""
+    """The runs of a chunk's texts: doc (its place in the chunk), first (window), windows, anchor (48 bits) and context (64 bits) of each."""
 
     def __init__(self, raws: list[bytes]):
         self.raws = raws
@@ -117,7 +119,7 @@ class Runs:
         start, stop, piece = start[real], stop[real], piece[real]
         anchor = _mix(gram[at[start]], 2) >> np.uint64(16)
         whole = (sums[stop + LENGTH - 1] - sums[start]) * _DOWN[start]
-        context = _mix(whole + (at[start] - start).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019) + (stop - start).astype(np.uint64) * np.uint64(0x8CB92BA72F3D8DD7), 3) >> np.uint64(24)
+        context = _mix(whole + (at[start] - start).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019) + (stop - start).astype(np.uint64) * np.uint64(0x8CB92BA72F3D8DD7), 3)
         doc, base = np.array([p[0] for p in pieces])[piece], np.array([p[1] for p in pieces])[piece]
         return doc, base + start - begins[piece], stop - start, anchor, context
 
@@ -194,7 +196,10 @@ class ShardTransform:
 
 
 def merge(shards: list[ShardTransform], length: int = LENGTH):
-    """(shard, string, place, common): all suffixes in the order of their first length bytes, and the common prefix of each with the one before, up to length."""
+    """(shard, string, place, common): all suffixes in the order of their first length bytes, and the common prefix of each with the one before, up to length, at most 255.
+
+    End marks are told apart from each other, so a suffix shorter than length has no more in common than its bytes.
+    """
     bases = np.cumsum([0, *(len(s.left) for s in shards)])
     symbol = np.concatenate([s.symbol for s in shards])
     left = np.concatenate([np.where(s.left >= 0, s.left + b, -1) for s, b in zip(shards, bases, strict=False)])
@@ -205,8 +210,8 @@ def merge(shards: list[ShardTransform], length: int = LENGTH):
         symbol = symbol if used[0] == 0 or len(used) < 256 else np.searchsorted(used, symbol).astype(np.uint16) + 1
     now = np.arange(len(left))  # rows, shard after shard: the first interleaving
     block = np.zeros(len(left), np.int64)
-    common = np.full(len(left), -1, np.int64)
-    for h in range(1, length + 1):
+    common = np.zeros(len(left), np.uint8)
+    for _ in range(length):
         s = symbol[now]
         some = np.flatnonzero(s)
         some = some[np.argsort(s[some], kind="stable")]
@@ -216,8 +221,7 @@ def merge(shards: list[ShardTransform], length: int = LENGTH):
         if len(some):
             apart[len(ends) + 1 :] = (letters[1:] != letters[:-1]) | (old[1:] != old[:-1])
         block = np.cumsum(apart)
-        if h == length:
-            common = np.where(apart, -1, length)
+        common += ~apart
     shard = np.searchsorted(bases, now, "right") - 1
     row = now - bases[shard]
     string, place = np.empty(len(now), np.int64), np.empty(len(now), np.int64)
@@ -297,7 +301,7 @@ def _first(buckets: int):
         for b in np.flatnonzero(np.diff(r.bounds)).tolist():
             s = slice(r.bounds[b], r.bounds[b + 1])
             a, x, i = anchor[s], context[s], r.least[s]
-            out.append((key[0].as_py(), b, RUNS, _pack(a.astype("<u4"), (a >> np.uint64(32)).astype("<u2"), x.astype("<u4"), (x >> np.uint64(32)).astype("u1"), i.astype("<u4"), (i >> 32).astype("<i4"))))
+            out.append((key[0].as_py(), b, RUNS, _pack(a.astype("<u4"), (a >> np.uint64(32)).astype("<u2"), x.astype("<u4"), (x >> np.uint64(32)).astype("<u4"), i.astype("<u4"), (i >> 32).astype("<i4"))))
         return _table(out)
 
     return send
@@ -307,7 +311,7 @@ def _compare(hot: int):
     def answer(_key: tuple, table: pa.Table) -> pa.Table:
         """Of one bucket: which anchors have several different runs, and the least id of each run."""
         bucket = table.column("bucket")[0].as_py()
-        chunks, columns = table.column("chunk").to_pylist(), [_unpack(x, "<u4", "<u2", "<u4", "u1", "<u4", "<i4") for x in table.column("content").to_pylist()]
+        chunks, columns = table.column("chunk").to_pylist(), [_unpack(x, "<u4", "<u2", "<u4", "<u4", "<u4", "<i4") for x in table.column("content").to_pylist()]
         counts = [len(c[0]) for c in columns]
         a0, a1, x0, x1, i0, i1 = (np.concatenate([c[k] for c in columns]).astype(np.int64) for k in range(6))
         anchor, context, ids = a1 << 32 | a0, x1 << 32 | x0, i1 << 32 | i0
@@ -512,15 +516,16 @@ def _plan(rows: DataFrame, finish, schema: str, hot: int) -> DataFrame:
     """The whole plan in one query: rows (_id, _raw and others) are dealt to chunks by one exchange that all three steps over them reuse."""
     spark = rows.sparkSession
     ship(spark)
-    buckets = 2 * shuffle_partitions(spark)
     size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("_raw")), F.lit(0)).alias("bytes")).first()
     chunks = max(1, size.n // CHUNK_DOCUMENTS, size.bytes // CHUNK_BYTES)
-    by_chunk = rows.withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.lit(chunks))).groupBy("_chunk")
+    parts = max(shuffle_partitions(spark), size.bytes // PART_BYTES)
+    buckets = 2 * parts
+    by_chunk = rows.withColumn("_chunk", F.pmod(F.xxhash64("_id", "_raw"), F.lit(chunks))).repartition(parts, "_chunk").groupBy("_chunk")
     first = by_chunk.applyInArrow(_first(buckets), SENT)
-    found = first.groupBy("bucket").applyInArrow(_compare(hot), SENT)
-    second = by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(_second(buckets), SENT)
-    merged = second.groupBy("bucket").applyInArrow(_merge_bucket, SENT)
-    return by_chunk.cogroup(found.unionByName(merged).groupBy("chunk")).applyInArrow(finish(buckets), schema)
+    found = first.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_compare(hot), SENT)
+    second = by_chunk.cogroup(found.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(_second(buckets), SENT)
+    merged = second.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_merge_bucket, SENT)
+    return by_chunk.cogroup(found.unionByName(merged).repartition(parts, "chunk").groupBy("chunk")).applyInArrow(finish(buckets), schema)
 
 
 def _own(df: DataFrame, id_col: str, text_col: str) -> list:

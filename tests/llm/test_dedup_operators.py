@@ -47,6 +47,29 @@ def test_fingerprints(spark, docs, monkeypatch):
     assert fingerprints.compare_edited(make(["a single text of some words"])).first().near_next == 1
 
 
+def test_merge_derives_common_prefixes():
+    r = random.Random(11)
+    strings = ["".join(r.choice("ab") for _ in range(r.randint(12, 40))).encode() for _ in range(30)]
+    shards = [suffixes.ShardTransform(strings[i : i + 7]) for i in range(0, 30, 7)]
+    for length in (3, 12):
+        shard, string, place, common = suffixes.merge(shards, length)
+        rows = [strings[7 * a + b][c:] for a, b, c in zip(shard.tolist(), string.tolist(), place.tolist(), strict=True)]
+        assert [x[:length] for x in rows] == sorted(x[:length] for x in rows) and len(rows) == sum(map(len, strings)) + 30
+        for x, y, k in zip(rows, rows[1:], common[1:].tolist(), strict=False):
+            assert k == next((i for i in range(length) if i >= min(len(x), len(y)) or x[i] != y[i]), length)
+
+
+def test_repeats_without_ids(spark, docs):
+    """Rows without an id, or all of one id, lie in many chunks and take nothing from each other, but from smaller ids."""
+    make, _ = docs
+    r = random.Random(12)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(80))
+    rows = [(None, f"{i} {passage} {i}", "a") for i in range(20)] + [(7, f"{i} {passage}", "a") for i in range(20, 30)]
+    got = suffixes.digest(make(rows)).collect()
+    assert all(x.n_removed >= 80 for x in got if x.doc_id is None) and all(x.n_removed == 0 for x in got if x.doc_id == 7)
+    assert suffixes.digest(make([(None, f"{i} {passage}", "a") for i in range(20)])).filter("n_removed > 0").count() == 0
+
+
 def repeats(rows):
     seen, out = {}, {}
     for i, t in sorted(rows):
