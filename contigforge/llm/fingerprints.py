@@ -11,10 +11,12 @@ DataFrame functions only. Contract:
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, texts
+from .common import checkpoint, documents, texts
 
 #: Words in a shingle.
 SHINGLE = 5
@@ -22,9 +24,9 @@ SHINGLE = 5
 KEEP_BITS = 2
 #: Bits stored of a kept hash.
 STORED_BITS = 40
-#: Ids that are dealt together when neighbours are looked up, and groups of them whose order is found together.
+#: Documents that are dealt together when neighbours are looked up, on average, and groups of them at most; beyond, groups grow.
 NEIGHBOURS = 256
-SUPER = 4096
+GROUPS = 1 << 16
 
 
 def _let(value: Column, body) -> Column:
@@ -68,31 +70,58 @@ def as_string(text_hash: Column, kept: Column) -> Column:
     return F.lower(F.concat(F.lpad(F.hex(text_hash), 16, "0"), F.array_join(F.transform(kept, lambda h: F.lpad(F.hex(h), digits, "0")), "")))
 
 
+def _literal(values: list, kind: str) -> Column:
+    """An array of many numbers as one expression."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """rows with grp, which ascends with (k, text_hash): cuts at quantiles of k, and inside an id that takes several of them at even distances of the hash."""
+    groups = min(GROUPS, rows.count() // NEIGHBOURS)
+    if groups < 2:
+        return rows.withColumn("grp", F.lit(0).cast("long"))
+    shares = _literal([i / groups for i in range(1, groups)], "double")
+    cuts = rows.agg(F.percentile_approx("k", shares, max(10_000, 10 * groups))).first()[0]
+    times = Counter(cuts)
+    low = sorted(times)
+    names, many = _literal(low, "bigint"), _literal([times[c] for c in low], "int")
+
+    def step(at: Column, _: Column) -> Column:
+        """Halves the range in which the number of cuts up to k lies."""
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        up = F.get(names, middle) <= F.col("k")
+        return F.when(at["lo"] >= at["hi"], at).otherwise(F.struct(F.when(up, middle + 1).otherwise(at["lo"]).alias("lo"), F.when(up, at["hi"]).otherwise(middle).alias("hi")))
+
+    found = F.aggregate(F.sequence(F.lit(0), F.lit(len(low).bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(len(low)).alias("hi")), step, lambda x: x["lo"])
+
+    def place(at: Column) -> Column:
+        mine = (at > 0) & (F.get(names, at - 1) == F.col("k"))
+        part = F.floor((F.shiftright("text_hash", 32) + (1 << 31)) * F.get(many, at - 1) / (1 << 32))
+        return at.cast("long") * (groups + 1) + F.when(mine, part).otherwise(groups)
+
+    return rows.withColumn("grp", _let(found, place))
+
+
 def _followers(groups: DataFrame) -> DataFrame:
-    """(grp, follower): the next group in ascending order, and the first after the last. Ordered within SUPER groups, then the few rows of those."""
-    up = groups.withColumn("above", F.floor(F.col("grp") / SUPER))
-    inside = up.withColumn("follower", F.lead("grp").over(Window.partitionBy("above").orderBy("grp")))
-    tops = up.groupBy("above").agg(F.min("grp").alias("low"))
-    order = Window.orderBy("above")
-    tops = tops.select("above", F.coalesce(F.lead("low").over(order), F.first("low").over(order)).alias("next_low"))
-    return inside.join(tops, "above").select("grp", F.coalesce("follower", "next_low").alias("follower"))
+    """(grp, follower): the next group in ascending order, and the first after the last; of at most 2 * GROUPS rows."""
+    order = Window.orderBy("grp")
+    return groups.select("grp", F.coalesce(F.lead("grp").over(order), F.first("grp").over(order)).alias("follower"))
 
 
 def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, text_hash, grp, guest, k): all documents by groups of near ids, each group opened by a guest, the document that follows its least id in descending order.
 
-    So the next document in descending order is the row before it within the group. Texts move once; of guests there is one for NEIGHBOURS ids.
+    So the next document in descending order is the row before it within the group. Texts move once, whatever the ids; of guests there is one for a group.
     """
-    rows = texts(df, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.coalesce("doc_id", F.lit(-(2**63))).alias("k"))
-    rows = rows.withColumn("grp", F.shiftright("k", NEIGHBOURS.bit_length() - 1))
-    lasts = rows.groupBy("grp").agg(F.max(F.struct("k", "text_hash", "doc_id", "text")).alias("last"))
-    follow = _followers(rows.groupBy("grp").agg(F.lit(1).alias("_")).select("grp"))
-    guests = lasts.join(follow, "grp").select("last.doc_id", "last.text", "last.text_hash", "last.k", F.col("follower").alias("grp"), F.lit(1).alias("guest"))
+    rows = _grouped(texts(df, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.coalesce("doc_id", F.lit(-(2**63))).alias("k")))
+    lasts = checkpoint(rows.groupBy("grp").agg(F.max(F.struct("k", "text_hash")).alias("last")).select("grp", "last.*"))
+    ends = rows.join(F.broadcast(lasts), ["grp", "k", "text_hash"], "left_semi").dropDuplicates(["grp"])  # at most 2 * GROUPS rows of 24 bytes
+    guests = ends.join(F.broadcast(_followers(lasts.select("grp"))), "grp").select("doc_id", "text", "text_hash", "k", F.col("follower").alias("grp"), F.lit(1).alias("guest"))
     return rows.withColumn("guest", F.lit(0)).unionByName(guests)
 
 
 def compare_edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of each text and of its edited text, whose last half is the start of the next document, and their likenesses."""
+    """Fingerprints of each text and of its edited text, whose last half is the start of the next document, their likenesses, and how much of the text's fingerprint the other has."""
     w = Window.partitionBy("grp").orderBy(F.col("guest").desc(), "k", "text_hash")
     rows = with_next(df, id_col, text_col).withColumn("next_text", F.coalesce(F.lag("text").over(w), F.lit("")))
     n = F.char_length("text")
@@ -104,6 +133,7 @@ def compare_edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", "n_chars", "edited_sha256",
         as_string(F.col("text_hash"), F.col("own")).alias("fingerprint"), as_string(F.col("edited_hash"), F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other"), F.col("text_hash"), F.col("edited_hash")).alias("near_edited"), likeness(F.col("own"), F.col("next_own"), F.col("text_hash"), F.col("next_hash")).alias("near_next"),
+        containment(F.col("own"), F.col("other")).alias("in_edited"), containment(F.col("own"), F.col("next_own")).alias("in_next"),
     )
 
 

@@ -47,6 +47,42 @@ def test_fingerprints(spark, docs, monkeypatch):
     assert fingerprints.compare_edited(make(["a single text of some words"])).first().near_next == 1
 
 
+@pytest.mark.parametrize("ids", ["sparse", "none", "hot", "mixed"])
+def test_fingerprints_neighbours(spark, docs, monkeypatch, ids):
+    """Ids far apart, rows without an id, one id on a third of the rows: neighbours are those of the whole order, and no group is large."""
+    make, _ = docs
+    monkeypatch.setattr(fingerprints, "NEIGHBOURS", 8)
+    r = random.Random(13)
+    text = lambda: " ".join(r.choice("abcdefgh") for _ in range(r.randint(5, 20)))
+    key = {"sparse": lambda i: r.randrange(-(2**62), 2**62), "none": lambda i: None, "hot": lambda i: 5 if i % 3 else i, "mixed": lambda i: i if i % 50 else 2**60 + i}[ids]
+    rows = [(key(i), text(), "a") for i in range(400)]
+    found = fingerprints.with_next(make(rows))
+    sizes = [x["count"] for x in found.groupBy("grp").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 60
+    got = sorted((x.k, x.text_hash, x.n_chars, x.edited_sha256) for x in _keyed(make(rows)).collect())
+    order = sorted((x.k, x.text_hash, x.text) for x in found.filter("guest = 0").collect())
+    for (k, h, n, sha), (k2, h2, t), after in zip(got, order, [order[-1], *order], strict=False):
+        half = len(t) // 2
+        assert (k, h, n) == (k2, h2, len(t)) and sha == hashlib.sha256((t[: len(t) - half] + after[2][:half]).encode()).hexdigest()
+
+
+def _keyed(frame):
+    from pyspark.sql import functions as F
+
+    whole = fingerprints.compare_edited(frame)
+    hashes = frame.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), F.xxhash64("text").alias("text_hash"), F.lower(F.lpad(F.hex(F.xxhash64("text")), 16, "0")).alias("head")).distinct()
+    return whole.withColumn("k", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("head", F.substring("fingerprint", 1, 16)).join(hashes, ["k", "head"])
+
+
+def test_sketches_merge(spark):
+    from pyspark.sql import functions as F
+
+    a, b = " ".join(f"a{i}" for i in range(400)), " ".join(f"b{i}" for i in range(40))
+    row = spark.createDataFrame([(a, b)], "a string, b string").select(*[fingerprints.sketch(F.col(c)).alias(c) for c in "ab"])
+    x = row.select("a", "b", fingerprints.merge(F.col("a"), F.col("b")).alias("m")).select("*", fingerprints.containment(F.col("b"), F.col("m")).alias("bm"), fingerprints.containment(F.col("a"), F.col("b")).alias("ab")).first()
+    assert x.m == sorted({*x.a, *x.b}) and x.bm == 1 and x.ab == 0 and 60 <= len(x.a) <= 140
+
+
 def test_merge_derives_common_prefixes():
     r = random.Random(11)
     strings = ["".join(r.choice("ab") for _ in range(r.randint(12, 40))).encode() for _ in range(30)]
