@@ -40,21 +40,48 @@ NOTICES = {
     "creative commons attribution": "cc-by",
     "creative commons zero": "cc0-1.0",
     "proprietary and confidential": "proprietary",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "isc license": "isc",
+    "boost software license": "bsl-1.0",
+    "this software is provided as is without any express or implied warranty": "zlib",
+    "zlib license": "zlib",
+    "free and unencumbered software released into the public domain": "unlicense",
+    "artistic license": "artistic",
+    "do what the fuck you want to public license": "wtfpl",
+    "european union public licence": "eupl",
+    "open font license": "ofl",
 }
 
+# Identifiers that an expression may name, as patterns over lower case; a + after one means later versions too.
+IDENTIFIERS = (
+    r"0bsd", r"afl-[123]\.[0-2]", r"a?gpl-[123]\.0(?:-only|-or-later)?", r"lgpl-(?:2\.0|2\.1|3\.0)(?:-only|-or-later)?", r"apache-(?:1\.0|1\.1|2\.0)", r"apsl-[12]\.[0-2]",
+    r"artistic-(?:1\.0|2\.0)(?:-perl|-cl8)?", r"beerware", r"blueoak-1\.0\.0", r"bsd-[1-4]-clause(?:-[a-z]+)*", r"bsl-1\.0", r"busl-1\.1", r"bzip2-1\.0\.[56]",
+    r"cc-by(?:-nc)?(?:-sa|-nd)?-(?:1\.0|2\.0|2\.5|3\.0|4\.0)(?:-[a-z]+)?", r"cc0-1\.0", r"cddl-1\.[01]", r"cecill-(?:1\.[01]|2\.[01]|b|c)", r"cpl-1\.0", r"curl", r"ecl-[12]\.0",
+    r"efl-[12]\.0", r"epl-[12]\.0", r"eupl-1\.[0-2]", r"fsfap", r"ftl", r"gfdl-1\.[1-3](?:-(?:no-)?invariants)?(?:-only|-or-later)?", r"hpnd", r"icu", r"ijg", r"ipl-1\.0", r"isc", r"json",
+    r"libpng(?:-2\.0)?", r"lppl-1\.(?:[0-2]|3[ac])", r"mit(?:-0|-cmu|-modern-variant)?", r"mpl-(?:1\.0|1\.1|2\.0)(?:-no-copyleft-exception)?", r"ms-[pr]l", r"mulanpsl-[12]\.0", r"ncsa",
+    r"odbl-1\.0", r"odc-by-1\.0", r"ofl-1\.[01]", r"openssl", r"osl-[123]\.[01]", r"pddl-1\.0", r"php-3\.0[01]?", r"postgresql", r"psf-2\.0", r"python-2\.0(?:\.1)?", r"qpl-1\.0", r"ruby",
+    r"sissl", r"sleepycat", r"spl-1\.0", r"sspl-1\.0", r"unicode-(?:3\.0|dfs-201[56]|tou)", r"unlicense", r"upl-1\.0", r"vim", r"w3c", r"wtfpl", r"x11", r"zlib", r"zlib-acknowledgement", r"zpl-[12]\.[01]",
+    r"licenseref-[0-9a-z.-]+",
+)
+# What may stand after "with".
+EXCEPTIONS = (r"[0-9a-z.+-]*exception(?:-[0-9a-z.]+)*", r"linux-syscall-note", r"bootloader-exception", r"font-exception-2\.0", r"llvm-exception")
+
 #: The words of an identifier tag; an expression follows it on the same line.
 TAG = "spdx license identifier"
 
 #: How freely a label lets a text be used, 0 to 1; a label that is not listed counts as UNKNOWN.
 FREEDOM = {
     "public-domain": 1.0, "cc0-1.0": 1.0, "mit": 0.95, "bsd": 0.95, "apache-2.0": 0.9, "cc-by": 0.85, "cc-by-sa": 0.6, "mpl-2.0": 0.6, "epl-2.0": 0.6,
+    "isc": 0.95, "bsl-1.0": 0.95, "zlib": 0.95, "unlicense": 1.0, "wtfpl": 1.0, "artistic": 0.7, "eupl": 0.5, "ofl": 0.7,
     "gfdl": 0.4, "lgpl": 0.5, "gpl": 0.4, "agpl": 0.3, "cc-by-nd": 0.25, "cc-by-nc": 0.2, "reserved": 0.0, "proprietary": 0.0,
 }
 UNKNOWN = 0.5
 
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+-]*")
-_AFTER_TAG = re.compile(rb"spdx[^0-9a-z\n]license[^0-9a-z\n]identifier[ \t:=]*([^\r\n]*)", re.I)
+_AFTER_TAG = re.compile(rb"(?<![0-9A-Za-z\x80-\xff])spdx[\x01-/:-@\[-`{-\x7f]{1,9}license[\x01-/:-@\[-`{-\x7f]{1,9}identifier(?![0-9A-Za-z\x80-\xff])[ \t:=]*([^\r\n]*)", re.I)
+_NAMED = re.compile(rf"(?:{'|'.join(IDENTIFIERS)})\+?")
+_EXCEPTED = re.compile("|".join(EXCEPTIONS))
 _POWER = {"or": 1, "and": 2, "with": 3}
 
 
@@ -67,22 +94,23 @@ def words_of(text: str) -> bytes:
 def family(name: str) -> str:
     """The label of an identifier: GPL-2.0-or-later and gpl-3.0 are gpl, BSD-3-Clause is bsd."""
     name = name.lower()
-    for head in ("lgpl", "agpl", "gpl", "gfdl", "bsd"):
+    for head in ("lgpl", "agpl", "gpl", "gfdl", "bsd-", "artistic", "eupl", "ofl"):
         if name.startswith(head):
-            return head
+            return head.rstrip("-")
+    name = name.removesuffix("+")
     return re.sub(r"^(cc-by(?:-nc)?(?:-sa|-nd)?)-\d.*$", r"\1", name)
 
 
 def to_postfix(expression: str) -> list[str] | None:
-    """Shunting-yard: the tokens in postfix order; None if the expression is not well formed. Reading stops at the first token that cannot follow."""
+    """Shunting-yard: the tokens in postfix order, of the longest beginning that is an expression of known identifiers; None if there is none."""
     out: list[str] = []
     held: list[str] = []
-    operand = True
+    operand, found = True, None
     for token in _TOKEN.findall(expression):
         low = token.lower()
         if low in _POWER:
             if operand:
-                return None
+                break
             while held and held[-1] != "(" and _POWER[held[-1]] >= _POWER[low]:
                 out.append(held.pop())
             held.append(low)
@@ -97,14 +125,14 @@ def to_postfix(expression: str) -> list[str] | None:
             while held[-1] != "(":
                 out.append(held.pop())
             held.pop()
-        elif operand:
+        elif operand and (_EXCEPTED if held and held[-1] == "with" else _NAMED).fullmatch(low):
             out.append(token)
             operand = False
         else:
             break
-    if operand or "(" in held:
-        return None
-    return out + held[::-1]
+        if not operand and "(" not in held:
+            found = out + held[::-1]
+    return found
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], float]:

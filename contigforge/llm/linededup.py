@@ -58,17 +58,17 @@ def _marked(df: DataFrame, ids: Column, text: Column, found: DataFrame, keep_fir
 
 
 def remove_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, keep_first: bool = True) -> DataFrame:
-    """df with boilerplate lines cut from its texts; all columns as they were, with line counts _n_lines and _n_removed added."""
+    """df with boilerplate lines cut from its texts; all columns as they were, with line counts _n_lines and _n_removed added, under names with more underscores before them where df has such columns."""
     ids, text = column(id_col).cast("long"), column(text_col).cast("string")
-    own_id, own_hash, places = (fresh(df, n) for n in ("m_id", "m_hash", "places"))
+    own_id, own_hash, places, n_lines, n_removed = (fresh(df, n) for n in ("m_id", "m_hash", "places", "_n_lines", "_n_removed"))
     found = stage(boilerplate(df, id_col, text_col, site_col, min_sites), "boilerplate")  # a table of known size: the join is by broadcast where that is small, else it can split hot lines
     marks = _marked(df, ids, text, found, keep_first, [own_id, own_hash, places])
     rows = df.join(marks, ids.eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_hash)), "left")
     kept = F.array_join(F.filter(_lines(text), lambda _, i: ~F.array_contains(F.col(places), i)), "\n")
     return rows.select(
         *[F.when(F.col(places).isNull(), column(c)).otherwise(kept).alias(c) if c == text_col else column(c) for c in df.columns],
-        F.coalesce(F.size(_lines(text)), F.lit(1)).cast("long").alias("_n_lines"),
-        F.coalesce(F.size(places), F.lit(0)).cast("long").alias("_n_removed"),
+        F.coalesce(F.size(_lines(text)), F.lit(1)).cast("long").alias(n_lines),
+        F.coalesce(F.size(places), F.lit(0)).cast("long").alias(n_removed),
     )
 
 

@@ -3,14 +3,18 @@
 Contract of inspect() and round_trip():
 - null content counts as empty: type application/octet-stream (round_trip: as an empty text), nothing is carved;
 - a null declared type is no claim and is replaced; a null id stays null;
-- repeated rows each give a row, an empty table gives none, other columns are ignored.
+- repeated rows each give a row, an empty table gives none, other columns are ignored;
+- a long content that repeats magic bytes is read about once for each kind of end mark, block or page, not once for each magic; of gzip, magic bytes
+  inside a member that has been confirmed are not tried.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable
 
 import ahocorasick
@@ -24,11 +28,45 @@ from .common import batch, documents, map_batches, texts
 UNKNOWN = "application/octet-stream"
 
 
-def _png(b: bytes, at: int) -> int | None:
+class Index:
+    """What validators look up in one content, each worked out once: places of end marks, and where chains of blocks lead."""
+
+    def __init__(self, content: bytes):
+        self.content, self.places, self.memo, self.gzip_end = content, {}, {}, 0
+
+    def all(self, pattern: bytes) -> list[int]:
+        if pattern not in self.places:
+            self.places[pattern] = [m.start() for m in re.finditer(pattern, self.content, re.S)]
+        return self.places[pattern]
+
+    def after(self, pattern: bytes, at: int) -> int:
+        """The first match from at on, or -1."""
+        found = self.all(pattern)
+        i = bisect_left(found, at)
+        return found[i] if i < len(found) else -1
+
+    def follow(self, state: tuple, step: Callable[[tuple], tuple | int | None]) -> int | None:
+        """The end that a chain of states comes to, None if it breaks off; states met before are not walked again."""
+        path = []
+        while isinstance(state, tuple) and state not in self.memo:
+            path.append(state)
+            state = step(state)
+        end = self.memo[state] if isinstance(state, tuple) else state
+        self.memo.update(dict.fromkeys(path, end))
+        return end
+
+    def owners(self, kind: str, find: Callable[[], dict[int, int]]) -> dict[int, int]:
+        """The end of each object of a kind that its end mark leads back to."""
+        if kind not in self.places:
+            self.places[kind] = find()
+        return self.places[kind]
+
+
+def _png(b: bytes, at: int, ix: Index) -> int | None:
     p = at + 8
     while p + 12 <= len(b):
         n, kind = struct.unpack_from(">I4s", b, p)
-        if p + 12 + n > len(b) or struct.unpack_from(">I", b, p + 8 + n)[0] != zlib.crc32(b[p + 4 : p + 8 + n]) or (p == at + 8) != (kind == b"IHDR"):
+        if p + 12 + n > len(b) or struct.unpack_from(">I", b, p + 8 + n)[0] != zlib.crc32(memoryview(b)[p + 4 : p + 8 + n]) or (p == at + 8) != (kind == b"IHDR"):
             return None
         p += 12 + n
         if kind == b"IEND":
@@ -36,46 +74,45 @@ def _png(b: bytes, at: int) -> int | None:
     return None
 
 
-def _gif(b: bytes, at: int) -> int | None:
-    if at + 13 > len(b):
-        return None
-    p = at + 13 + (3 << ((b[at + 10] & 7) + 1) if b[at + 10] & 128 else 0)
-    images = 0
-    while p < len(b):
+def _gif(b: bytes, at: int, ix: Index) -> int | None:
+    def step(state: tuple) -> tuple | int | None:
+        kind, p, images = state
+        if p >= len(b):
+            return None
+        if kind == "gif part":  # sub-blocks, up to an empty one
+            return ("gif part", p + b[p] + 1, images) if b[p] else ("gif", p + 1, images)
         if b[p] == 0x3B:
             return p + 1 if images else None
         if b[p] == 0x21:
-            p += 2
-        elif b[p] == 0x2C and p + 10 < len(b):
-            images += 1
-            p += 11 + (3 << ((b[p + 9] & 7) + 1) if b[p + 9] & 128 else 0)
-        else:
-            return None
-        while p < len(b) and b[p]:
-            p += b[p] + 1
-        p += 1
-    return None
+            return "gif part", p + 2, images
+        if b[p] == 0x2C and p + 10 < len(b):
+            return "gif part", p + 11 + (3 << ((b[p + 9] & 7) + 1) if b[p + 9] & 128 else 0), True
+        return None
 
+    return ix.follow(("gif", at + 13 + (3 << ((b[at + 10] & 7) + 1) if b[at + 10] & 128 else 0), False), step) if at + 13 <= len(b) else None
 
-def _jpeg(b: bytes, at: int) -> int | None:
-    p, scans = at + 2, 0
-    while p + 4 <= len(b) and b[p] == 0xFF:
+
+def _jpeg(b: bytes, at: int, ix: Index) -> int | None:
+    def step(state: tuple) -> tuple | int | None:
+        _, p = state
+        if p + 4 > len(b) or b[p] != 0xFF:
+            return None
         mark, n = b[p + 1], struct.unpack_from(">H", b, p + 2)[0]
         if mark < 0xC0 or 0xD0 <= mark <= 0xD9 or n < 2:
             return None
         p += 2 + n
-        if mark == 0xDA:
-            scans += 1
-            while (p := b.find(b"\xff", p)) >= 0 and p + 1 < len(b) and (b[p + 1] == 0 or 0xD0 <= b[p + 1] <= 0xD7):
-                p += 2
-            if p < 0 or p + 1 >= len(b):
+        if mark == 0xDA:  # after the scan's data stands the next mark that is neither stuffing nor a restart
+            p = ix.after(rb"\xff(?=[^\x00\xd0-\xd7])", p)
+            if p < 0:
                 return None
             if b[p + 1] == 0xD9:
                 return p + 2
-    return None
+        return "jpeg", p
+
+    return ix.follow(("jpeg", at + 2), step)
 
 
-def _riff(b: bytes, at: int) -> int | None:
+def _riff(b: bytes, at: int, ix: Index) -> int | None:
     if at + 12 > len(b):
         return None
     end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
@@ -90,51 +127,85 @@ def _riff(b: bytes, at: int) -> int | None:
     return end if kinds and wave and p in (end, end + 1) else None
 
 
-def _bmp(b: bytes, at: int) -> int | None:
+def _bmp(b: bytes, at: int, ix: Index) -> int | None:
     if at + 54 > len(b):
         return None
     n, zero, pixels, head = struct.unpack_from("<IIII", b, at + 2)
     return at + n if zero == 0 and head in (12, 40, 52, 56, 108, 124) and 14 + head <= pixels <= n and at + n <= len(b) else None
 
 
-def _gzip(b: bytes, at: int) -> int | None:
-    d, n = zlib.decompressobj(31), at
-    try:
-        while not d.eof and n < len(b):
-            d.decompress(b[n : n + 65536])
-            n += 65536
-    except zlib.error:
+def _gzip(b: bytes, at: int, ix: Index) -> int | None:
+    def inflate(state: tuple) -> int | None:
+        """The end of the member whose compressed data begin here, if their sum and size are right."""
+        p = state[1]
+        d, n, crc, size, view = zlib.decompressobj(-15), p, 0, 0, memoryview(b)
+        try:
+            while not d.eof and n < len(b):
+                part = d.decompress(view[n : n + 65536])
+                crc, size, n = zlib.crc32(part, crc), size + len(part), n + 65536
+        except zlib.error:
+            return None
+        end = min(n, len(b)) - len(d.unused_data) + 8
+        return end if d.eof and end <= len(b) and struct.unpack_from("<II", b, end - 8) == (crc, size & 0xFFFFFFFF) else None
+
+    if at < ix.gzip_end or at + 18 > len(b) or b[at + 3] & 0xE0:
         return None
-    return min(n, len(b)) - len(d.unused_data) if d.eof else None
+    flags, p = b[at + 3], at + 10
+    if flags & 4:
+        p += 2 + struct.unpack_from("<H", b, p)[0]
+    for bit in (8, 16):  # name and comment, each ended by a zero
+        if flags & bit and (p := ix.after(rb"\x00", p) + 1) == 0:
+            return None
+    end = ix.follow(("gzip", p + (flags & 2)), inflate) if p + (flags & 2) < len(b) else None
+    ix.gzip_end = end or ix.gzip_end
+    return end
+
 
+def _pdf(b: bytes, at: int, ix: Index) -> int | None:
+    """The last end mark whose offset leads to a cross-reference table of this file; without one, the next end mark, if no other file begins before it."""
 
-def _pdf(b: bytes, at: int) -> int | None:
-    end = b.find(b"%%EOF", at)
-    return end + 5 if end >= 0 and b.find(b"obj", at, end) >= 0 else None
+    def find() -> dict[int, int]:
+        tables, out = ix.all(rb"(?<!start)xref"), {}
+        for m in re.finditer(rb"startxref\s{1,9}(\d{1,12})\s{1,9}%%EOF", b):
+            if i := bisect_left(tables, m.start()):
+                out[tables[i - 1] - int(m.group(1))] = m.end()
+        return out
 
+    if (end := ix.owners("pdf", find).get(at)) is not None:
+        return end
+    end, other = ix.after(rb"%%EOF", at), ix.after(rb"%PDF-", at + 1)
+    return end + 5 if end >= 0 and not 0 <= other < end and 0 <= ix.after(rb"obj", at) < end else None
 
-def _zip(b: bytes, at: int) -> int | None:
-    end = b.find(b"PK\5\6", at)
-    if end < 0 or end + 22 > len(b):
-        return None
-    size, start, note = struct.unpack_from("<IIH", b, end + 12)
-    return end + 22 + note if at + start + size == end and end + 22 + note <= len(b) else None
 
+def _zip(b: bytes, at: int, ix: Index) -> int | None:
+    def find() -> dict[int, int]:
+        out = {}
+        for end in ix.all(rb"PK\x05\x06"):
+            if end + 22 <= len(b):
+                size, start, note = struct.unpack_from("<IIH", b, end + 12)
+                if end + 22 + note <= len(b):
+                    out[end - size - start] = end + 22 + note
+        return out
+
+    return ix.owners("zip", find).get(at)
 
-def _ogg(b: bytes, at: int) -> int | None:
-    p = at
-    while b[p : p + 5] == b"OggS\0" and p + 27 <= len(b):
+
+def _ogg(b: bytes, at: int, ix: Index) -> int | None:
+    """Pages from one that begins a stream to one that ends it."""
+
+    def step(state: tuple) -> tuple | int | None:
+        _, p = state
+        if b[p : p + 5] != b"OggS\0" or p + 27 > len(b):
+            return None
         table = b[p + 27 : p + 27 + b[p + 26]]
         last, p = b[p + 5] & 4, p + 27 + b[p + 26] + sum(table)
-        if p > len(b):
-            return None
-        if last:
-            return p
-    return None
+        return None if p > len(b) else p if last else ("ogg", p)
+
+    return ix.follow(("ogg", at), step) if at + 6 <= len(b) and b[at + 5] & 2 else None
 
 
 # Magic bytes, type, and where the validator starts before them.
-MAGIC: list[tuple[bytes, str, Callable[[bytes, int], int | None]]] = [
+MAGIC: list[tuple[bytes, str, Callable[[bytes, int, Index], int | None]]] = [
     (b"\x89PNG\r\n\x1a\n", "image/png", _png),
     (b"GIF87a", "image/gif", _gif),
     (b"GIF89a", "image/gif", _gif),
@@ -160,10 +231,10 @@ class Sniffer:
 
     def find(self, content: bytes) -> list[tuple[str, int, int]]:
         """(type, start, end) of each confirmed object, outermost first: an object inside another that has been confirmed is listed after it."""
-        out = []
+        out, ix = [], Index(content)
         for end, (n, kind, check) in self.automaton.iter(content.decode("latin-1")):
             start = end - n + 1
-            if (stop := check(content, start)) is not None:
+            if (stop := check(content, start, ix)) is not None:
                 out.append((RIFF_TYPES.get(content[start + 8 : start + 12], UNKNOWN) if kind == "riff" else kind, start, stop))
         return out
 
@@ -259,7 +330,6 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 
-
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as samples, read back and described."""
     return round_trip(documents(spark, sf_dir))

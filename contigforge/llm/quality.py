@@ -41,7 +41,7 @@ WORDS, SHAPES = 1 << 26, 1 << 16
 REPEATS, BIAS = WORDS + SHAPES, WORDS + SHAPES + 1
 #: Features of the labellers that vote HARMFUL, one each; they weigh however few documents have them.
 VOTES = BIAS + 1
-#: A feature weighs nothing unless it is in so many documents of the sample, a word also unless their mean label is so many standard errors off the sample's.
+#: A feature weighs nothing unless it is in so many documents of a full sample, in a smaller one in as great a share, but two at least; a word also unless their mean label is so many standard errors off the sample's.
 MIN_DOCUMENTS = 25
 MIN_ERRORS = 6
 EM_ROUNDS = 60
@@ -58,10 +58,10 @@ class View:
     """What the labellers look at; shares are of words or of characters."""
 
     words: int
-    upper: float  # of all but white space, in upper case
-    bang: float  # words that hold "!!"
-    marks: float  # words that hold a run of other marks
-    odd: float  # characters that are neither letters, digits, white space nor usual punctuation
+    upper: float  # upper-case letters for each byte that is no white space
+    bang: float  # words that hold an exclamation mark
+    marks: float  # words in which one of *#$%&@~^ follows a letter, digit, full stop or comma
+    odd: float  # ASCII characters that are neither letters, digits, white space nor usual punctuation
     bars: float  # words that are a bar
     same: float  # words equal to the word before
     distinct: float
@@ -89,7 +89,7 @@ _memo = Memo()
 def shape(word: str) -> str:
     """Letters as A or a, digits as 0, runs folded."""
     if (out := _memo.shape.get(word)) is None:
-        out = _RUN.sub(r"\1", word.encode().translate(_SHAPE).decode("latin-1"))[:12]
+        out = _RUN.sub(r"\1", word.encode().translate(_SHAPE).decode("latin-1"))
         if len(_memo.shape) < 500_000:
             _memo.shape[word] = out
     return out
@@ -248,10 +248,11 @@ def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int
     return model
 
 
-def _train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 300, decay: float = 1e-3, least: int = MIN_DOCUMENTS, share: np.ndarray | None = None) -> dict[int, float]:
+def _train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 300, decay: float = 1e-3, least: int | None = None, share: np.ndarray | None = None) -> dict[int, float]:
     """Logistic weights by Adagrad over all rows at once, decayed towards 0; both classes weigh alike. share: documents that each row stands for."""
     if not rows:
         return {}
+    least = max(2, round(MIN_DOCUMENTS * len(rows) / SAMPLE)) if least is None else least
     sizes = np.array([len(i) for i, _ in rows])
     index, value = np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows]).astype(float)
     names, index, seen = np.unique(index, return_inverse=True, return_counts=True)
@@ -322,8 +323,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: i
 
         return one
 
-    chosen = texts(df, id_col, text_col).withColumn("pick", F.xxhash64("doc_id", "text")).join(F.broadcast(picked), "pick", "left_semi")
-    rows = map_batches(chosen.select("doc_id", "text"), make, "pattern long, places binary, weights binary").limit(sample).collect()
+    chosen = texts(df, id_col, text_col).withColumn("pick", F.xxhash64("doc_id", "text")).join(F.broadcast(picked), "pick", "left_semi").dropDuplicates(["pick"])
+    rows = map_batches(chosen.select("doc_id", "text"), make, "pattern long, places binary, weights binary").collect()  # at most sample rows, as picks are different
     post = model.posterior(votes_of(np.array([r.pattern for r in rows], np.int64)))
     got = post.argmax(1)
     share = there[got] / np.bincount(got, minlength=len(CLASSES))[got]

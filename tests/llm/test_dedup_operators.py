@@ -341,6 +341,28 @@ def test_lines(spark, docs):
     assert got.count() == len(rows) and linededup.remove_lines(make([])).count() == 0
 
 
+def test_lines_beside_clashing_names(spark, docs, tmp_path):
+    from pyspark.sql import functions as F
+
+    make, _ = docs
+    rows = [(i, f"own {i}\nshared", f"s{i}") for i in range(8)]
+    frame = make(rows).withColumns({"_n_lines": F.lit(1), "_n_removed": F.lit("x"), "places": F.lit(2)})
+    linededup.remove_lines(frame).write.parquet(str(tmp_path / "lines"))
+    got = spark.read.parquet(str(tmp_path / "lines"))
+    assert got.columns == [*frame.columns, "__n_lines", "__n_removed"] and got.agg(F.sum("__n_removed")).first()[0] == 7
+
+
+def test_quality_small(spark, docs):
+    """A table of twenty texts is judged by the same rules as a large one."""
+    make, _ = docs
+    r = random.Random(19)
+    say = lambda n: " ".join(r.choice("the of and a in river stone house green walk light under about nation".split()) for _ in range(n)).capitalize() + ". "
+    good = ["".join(say(r.randint(5, 12)) for _ in range(8)) for _ in range(10)]
+    rows = good + ["".join(say(9) for _ in range(8)).upper().replace(" ", "!! ") for _ in range(10)]
+    kept = {x.doc_id: x.keep for x in quality.score(make(rows), quality.fit(make(rows))).collect()}
+    assert all(kept[i] for i in range(10)) and not any(kept[i] for i in range(10, 20))
+
+
 def test_quality(spark, docs):
     make, odd = docs
     r = random.Random(8)

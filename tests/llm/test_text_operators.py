@@ -19,6 +19,9 @@ def test_expressions():
     assert licenses.to_postfix("MIT OR Apache-2.0 AND BSD-3-Clause") == ["MIT", "Apache-2.0", "BSD-3-Clause", "and", "or"]
     assert licenses.to_postfix("(MIT OR Apache-2.0) AND GPL-2.0 WITH Classpath-exception-2.0") == ["MIT", "Apache-2.0", "or", "GPL-2.0", "Classpath-exception-2.0", "with", "and"]
     assert licenses.to_postfix("OR MIT") is None and licenses.to_postfix("(MIT") is None and licenses.to_postfix("") is None
+    assert licenses.to_postfix("MIT and see the file") == ["MIT"] and licenses.to_postfix("banana") is None and licenses.to_postfix("MIT or banana") == ["MIT"]
+    assert licenses.to_postfix("GPL-2.0+ WITH GCC-exception-3.1 or (ISC and Zlib) */") == ["GPL-2.0+", "GCC-exception-3.1", "with", "ISC", "Zlib", "and", "or"]
+    assert licenses.to_postfix("LicenseRef-own") == ["LicenseRef-own"] and licenses.to_postfix("(MIT or (ISC") is None
     labels, free = licenses.evaluate(licenses.to_postfix("MIT OR GPL-3.0-or-later"))
     assert labels == {"mit", "gpl"} and free == licenses.FREEDOM["mit"]
     assert licenses.evaluate(licenses.to_postfix("MIT AND GPL-3.0"))[1] == licenses.FREEDOM["gpl"]
@@ -26,7 +29,7 @@ def test_expressions():
 
 def test_licences_by_brute_force(spark, docs):
     make, odd = docs
-    more = [(20, "cc by CC-BY cc  by, the General\nPublic license all rights reserved", "a"), (21, "accc by general public licenses", "a"), (22, "cc by cc by", "a")]
+    more = [(20, "cc by CC-BY cc  by, the General\nPublic license all rights reserved", "a"), (21, "accc by general public licenses", "a"), (22, "cc by cc by", "a"), (23, "# SPDX-License-Identifier: banana\n# SPDX-License-Identifier: MIT and see the file", "a"), (24, " ".join(licenses.NOTICES), "a")]
     got = licenses.scan(make(odd + more)).collect()
     assert len(got) == len(odd) + len(more)
     by_id = {r.doc_id: r for r in got}
@@ -38,7 +41,11 @@ def test_licences_by_brute_force(spark, docs):
             assert (r.n_words, r.n_base) == (len(words), len(places)), i
             assert r.first_word == min((k for k, _ in places), default=None) and r.last_word == max((k for k, _ in places), default=None)
             assert r.base_labels == ",".join(sorted({x for _, x in places}))
-            assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) | {""}
+            known = {label for phrase, label in {**licenses.BASE, **licenses.NOTICES}.items() if f" {phrase} " in f" {' '.join(words)} "}
+            for tail in re.findall(r"(?i)SPDX-License-Identifier:([^\n]*)", text or ""):
+                if postfix := licenses.to_postfix(tail):
+                    known |= licenses.evaluate(postfix)[0]
+            assert r.labels == ",".join(sorted(known)), i
     assert {"mit", "gpl", "bsd", "with:classpath-exception-2.0"} <= set(by_id[8].labels.split(","))
     assert licenses.scan(make([])).count() == 0
 
@@ -69,7 +76,7 @@ def test_sniffing(spark):
     bmp = b"BM" + struct.pack("<IIII", 58, 0, 54, 40) + bytes(40)
     jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xda\x00\x04cd\x01\x02\xff\x00\xff\xd9"
     pdf = b"%PDF-1.4\n1 0 obj\n%%EOF"
-    ogg = b"OggS\0\x04" + bytes(20) + b"\x01\x03abc"
+    ogg = b"OggS\0\x06" + bytes(20) + b"\x01\x03abc"
     box = b"PK\3\4" + bytes(26)
     archive = box + b"PK\5\6" + struct.pack("<HHHHIIH", 0, 0, 0, 0, 0, len(box), 0)
     s = media.Sniffer()
@@ -85,6 +92,32 @@ def test_sniffing(spark):
     assert next(r for r in got if r.id == 3).media_type == "text/plain" and len(got) == 4
 
 
+def test_sniffing_ends():
+    """A saved-again PDF is whole, an archive in an archive ends where its own directory does, and pages inside a stream are no stream."""
+    s = media.Sniffer()
+    body = b"%PDF-1.4\n1 0 obj\nendobj\n"
+    first = body + b"xref\n0 1\ntrailer\nstartxref\n%d\n%%%%EOF\n" % len(body)
+    again = first + b"2 0 obj\nendobj\n"
+    again += b"xref\n0 1\ntrailer\nstartxref\n%d\n%%%%EOF" % len(again)
+    assert s.find(again) == [("application/pdf", 0, len(again))] and s.find(b"ab" + first + again)[:2] == [("application/pdf", 2, len(first) + 1), ("application/pdf", 2 + len(first), 2 + len(first) + len(again))]
+    pack = lambda inner: b"PK\3\4" + bytes(26) + inner + b"PK\5\6" + struct.pack("<HHHHIIH", 0, 0, 0, 0, 0, 30 + len(inner), 0)
+    inner = pack(b"")
+    assert s.find(pack(inner)) == [("application/zip", 0, 52 + len(inner)), ("application/zip", 30, 30 + len(inner))]
+    page = lambda flag: b"OggS\0" + bytes([flag]) + bytes(20) + b"\x01\x03abc"
+    stream = page(2) + page(0) * 3 + page(4)
+    assert s.find(stream) == [("audio/ogg", 0, len(stream))]
+
+
+@pytest.mark.parametrize("unit", [b"%PDF-", b"PK\3\4", b"OggS\0\2" + bytes(20) + b"\0", b"GIF89a\1\0\1\0\0\0\0\x2c" + bytes(8) + b"\0\2\4", b"\xff\xd8\xff\xda\0\2", b"\x1f\x8b\x08", b"RIFF\0\0\1\0WAVE"])
+def test_hostile_contents(unit):
+    import time
+
+    content = unit * (3_000_000 // len(unit))
+    began = time.perf_counter()
+    media.Sniffer().inspect(content + b"obj %%EOF", None)
+    assert time.perf_counter() - began < 30
+
+
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 1000])
 @pytest.mark.parametrize("high", [1, 2, 50_000, 2**32 - 1])
 def test_frame_of_reference(n, high):
