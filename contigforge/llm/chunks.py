@@ -26,7 +26,7 @@ _WORD_LEVEL = re.compile(rf"[{_L}]+|{_SHORT}|[{_N}]|[^\s{_L}{_N}]+").findall
 #: Chunks, and pieces of them, that one worker remembers, some 180 bytes each; one beyond is encoded each time it comes.
 REMEMBERED, REMEMBERED_PIECES = 900_000, 900_000
 #: The same where an executor also holds what other stages left behind.
-SHARED_MEMORY = (600_000, 250_000)
+SHARED_MEMORY = (300_000, 150_000)
 
 
 class Known(dict):

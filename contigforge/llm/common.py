@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import checkpoint, shared_dir, ship
 
 #: Rows in one Arrow batch handed to Python; texts may be long, so batches are small.
 BATCH_ROWS = 256
@@ -58,14 +57,6 @@ def batch(**columns: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir, or where that is unset (tests) one of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        spark.sparkContext.setCheckpointDir(folder := tempfile.mkdtemp(prefix="checkpoints-"))
-    return folder
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: lineage ends there, and later scans prune columns."""
     spark = df.sparkSession
@@ -74,15 +65,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _trim() -> None:
+    """Gives freed memory back to the system, where the C library can."""
+    import ctypes
+
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 _held: dict = {}
 
 
@@ -99,6 +95,7 @@ def worker_state(key, make: Callable[[], object]):
 
             gc.collect()
             pa.default_memory_pool().release_unused()
+            _trim()
         _held[key] = make()
     return _held[key]
 
