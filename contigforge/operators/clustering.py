@@ -6,6 +6,7 @@ distances up to eps, so one minimum spanning tree is cut at every eps of the swe
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,10 +20,18 @@ from ..session import checkpoint, ship
 from .markers import METRICS
 
 
+#: Of the HDBSCAN sweep: cluster size at which it begins again, and samples from which that size doubles.
+MOST_SIZE, MOST_SAMPLES = 10_000, 10
+
+
 class BinningError(RuntimeError):
     """No cluster could be recovered."""
 
 
+class NoMarkersError(ValueError):
+    """No contig has a marker, so clusters cannot be judged."""
+
+
 @dataclass(frozen=True)
 class Limits:
     completeness: float = 20.0
@@ -169,51 +178,45 @@ class Group:
     def passing(metrics: pd.DataFrame, limits: Limits) -> pd.DataFrame:
         return metrics[(metrics["completeness"] >= limits.completeness) & (metrics["purity"] >= limits.purity) & (metrics["coverage_stddev"] <= limits.coverage_stddev) & (metrics["gc_content_stddev"] <= limits.gc_content_stddev)]
 
-    def _median(self, metrics: pd.DataFrame, labels: np.ndarray, limits: Limits) -> float:
-        """Median completeness over the contigs of passing clusters."""
-        good = self.passing(metrics, limits)
-        per = good["completeness"].reindex(labels).dropna()
-        return float(per.median()) if len(per) else -np.inf
+    def _median(self, metrics: pd.DataFrame, limits: Limits) -> float:
+        """Median completeness of the passing clusters, each counted once, however many contigs it has."""
+        good = self.passing(metrics, limits)["completeness"]
+        return float(good.median()) if len(good) else -np.inf
 
     def sweep_dbscan(self, rows: np.ndarray, limits: Limits) -> np.ndarray:
         """Labels at the eps of the best median completeness; of equals the last. The step grows tenfold once a number of clusters has come over ten times."""
         tree = spanning_tree(self.x[rows])
-        eps, step, best, out, rounds, n = 0.3, 0.1, -np.inf, np.full(len(rows), -1), {0: 0}, np.inf
-        while n > 1:
+        eps, step, best, out, rounds, n = 0.3, 0.1, -np.inf, np.full(len(rows), -1), Counter(), np.inf
+        while n > 1 and rounds["none"] < 10:
             labels = cut(tree, len(rows), eps) if len(rows) > 1 else np.full(len(rows), -1)
-            median = self._median(self.metrics(rows, labels), labels, limits)
+            median = self._median(self.metrics(rows, labels), limits)
             if median >= best:
                 best, out = median, labels
             n = len(set(labels[labels >= 0].tolist()))
-            rounds[n] = rounds.get(n, 0) + 1
+            rounds[n] += 1
             if rounds[n] > 10:
                 step *= 10
-            if median == 0:
-                rounds[0] += 1
-            if rounds[0] >= 10:
-                break
+            rounds["none"] += median == 0
             eps += step
         return out
 
     def sweep_hdbscan(self, rows: np.ndarray, limits: Limits) -> np.ndarray:
-        """Labels at the best median completeness over cluster sizes from 2 in tens, a hundred more when none passes, and samples from 1."""
-        most, size, least, best, out = 10_000, 2, 1, -np.inf, np.full(len(rows), -1)
-        while True:
-            labels = hdbscan(self.x[rows], size, least) if len(rows) > 1 else np.full(len(rows), -1)
-            median = self._median(self.metrics(rows, labels), labels, limits)
+        """Labels at the best median completeness, of equals the last; the sweep ends with the first round that has at most one cluster.
+
+        Cluster sizes go from 2 in tens, and by a hundred more after a round in which nothing passes. At MOST_SIZE they begin again with one sample
+        more; from MOST_SAMPLES on, each round doubles that size.
+        """
+        most, size, samples, best, out, n = MOST_SIZE, 2, 1, -np.inf, np.full(len(rows), -1), np.inf
+        while n > 1:
+            labels = hdbscan(self.x[rows], size, samples) if len(rows) > 1 else np.full(len(rows), -1)
+            median = self._median(self.metrics(rows, labels), limits)
             if median >= best:
                 best, out = median, labels
             n = len(set(labels[labels >= 0].tolist()))
-            if n <= 1 or size > len(rows):
-                if least >= 2 or n == 0:
-                    return out
-                size, least = 2, least + 1
-                continue
-            size += 10 + 100 * (median == -np.inf)
-            if size >= min(most, len(rows) + 1):
-                if least >= 2:
-                    return out
-                size, least = 2, least + 1
+            size, samples = (2, samples + 1) if size >= most else (size + 10, samples)
+            size += 100 if median == -np.inf else 0
+            most *= 2 if samples >= MOST_SAMPLES else 1
+        return out
 
     def clusters(self, limits: Limits, method: str = "dbscan") -> pd.DataFrame:
         """(contig, cluster, metrics): rounds of the sweep over what is left, until nothing passes; clusters are numbered from 1 over all rounds."""
@@ -304,9 +307,14 @@ class Checkpoints:
 def guided_binning(contigs: DataFrame, expected: int, limits: Limits = Limits(), method: str = "dbscan", reverse_ranks: bool = False, start_rank: str = "superkingdom", max_partition: int | None = None, embed=None, store: Checkpoints | None = None) -> DataFrame:  # noqa: B008
     """(contig, cluster, metrics) by rounds over the ranks, coarse to fine or the other way: each taxon's contigs that have no bin yet are clustered.
 
-    max_partition: taxa with more contigs are left to finer ranks. embed: a function of a rank's contigs that gives them new features.
+    max_partition: taxa with more contigs that have no bin yet are left to finer ranks. embed: a function of a rank's contigs, all that are classified there and those
+    to be clustered, that gives the second new features.
     store: where each rank's clusters are kept, so that a run that is started again goes on after the last finished rank.
     """
+    if contigs.filter(F.size("markers") > 0).isEmpty():
+        raise NoMarkersError("no contig has a marker: clusters cannot be judged")
+    if contigs.limit(2).count() < 2:
+        raise BinningError("there are not enough contigs to bin")
     ranks = list(RANKS if reverse_ranks else reversed(RANKS))
     ranks = ranks[: ranks.index(start_rank) + 1] if reverse_ranks else ranks[ranks.index(start_rank) :]
     out, found = None, 0
@@ -314,10 +322,10 @@ def guided_binning(contigs: DataFrame, expected: int, limits: Limits = Limits(),
         left = contigs.join(out.select("contig"), "contig", "left_anti") if out is not None else contigs
         left = left.filter(F.col(rank) != UNCLASSIFIED).withColumn("taxon", F.col(rank))
         if max_partition:
-            fits = contigs.filter(F.col(rank) != UNCLASSIFIED).groupBy(F.col(rank).alias("taxon")).count().filter(F.col("count") <= max_partition).select("taxon")
+            fits = left.groupBy("taxon").count().filter(F.col("count") <= max_partition).select("taxon")
             left = left.join(fits, "taxon", "left_semi")
         if embed:
-            left = embed(left)
+            left = embed(contigs.filter(F.col(rank) != UNCLASSIFIED), left)
         if store and (kept := store.read(rank)) is not None and not kept.isEmpty():
             new = kept.drop("rank")
         else:

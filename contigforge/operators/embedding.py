@@ -72,10 +72,14 @@ def embed(rows: DataFrame, dims: int = 2, method: str = "bhsne", perplexity: flo
     return grouped.groupBy("taxon").applyInPandas(run, "taxon string, contig string, features array<double>")
 
 
-def reembed(rows: DataFrame, dims: int = 2, pca_dims: int = 50, by: str = "taxon", method: str = "bhsne", seed: int = 42, rounds: int = 500) -> DataFrame:
-    """rows with new features for the contigs of each group; groups of fewer than max(pca_dims, dims) + 1 contigs keep the features they came with."""
+def reembed(every: DataFrame, rows: DataFrame, dims: int = 2, pca_dims: int = 50, by: str = "taxon", method: str = "bhsne", seed: int = 42, rounds: int = 500) -> DataFrame:
+    """rows with new features: those of an embedding of their group, or for groups of fewer than max(pca_dims, dims) + 1 contigs of one embedding of every, the contigs classified at the rank."""
     from pyspark.sql import functions as F
 
-    large = rows.groupBy(by).count().filter(F.col("count") > max(pca_dims, dims)).select(by)
-    new = embed(rows.join(large, by, "left_semi"), dims, method, seed=seed, by=by, rounds=rounds).select("contig", F.col("features").alias("_new"))
-    return rows.join(new, "contig", "left").withColumn("features", F.coalesce("_new", "features")).drop("_new")
+    sizes = rows.groupBy(by).count()
+    large, small = (rows.join(sizes.filter(c).select(by), by, "left_semi") for c in (F.col("count") > max(pca_dims, dims), F.col("count") <= max(pca_dims, dims)))
+    parts = [embed(large, dims, method, seed=seed, by=by, rounds=rounds)]
+    if not small.isEmpty():
+        parts.append(embed(every, dims, method, seed=seed, rounds=rounds).join(small.select("contig"), "contig", "left_semi").select("taxon", "contig", "features"))
+    new = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows.drop("features").join(new.select("contig", "features"), "contig")

@@ -14,6 +14,10 @@ from ..session import checkpoint
 from .markers import cluster_markers
 
 
+#: The greatest depth of a tree that the library allows.
+DEPTH = 30
+
+
 def one_hot_ranks(rows: DataFrame, ranks: tuple[str, ...] = tuple(reversed(RANKS[1:]))) -> DataFrame:
     """(contig, taxa): an indicator for each name at each rank; of the names, which the driver lists, there must be few enough for a feature vector."""
     out = []
@@ -59,7 +63,7 @@ def tree_votes(train: DataFrame, test: DataFrame, n: int = 10, seed: int = 42) -
         half = train.filter(F.pmod(F.xxhash64("contig", F.lit(seed + i)), F.lit(2)) == 0)
         if half.isEmpty():
             continue
-        names, model = _fit(half, DecisionTreeClassifier(featuresCol="v", labelCol="label", seed=seed + i, maxDepth=8))
+        names, model = _fit(half, DecisionTreeClassifier(featuresCol="v", labelCol="label", seed=seed + i, maxDepth=DEPTH))
         one = _votes(model, names, test)
         out = one if out is None else out.unionByName(one)
     if out is None:
@@ -69,7 +73,7 @@ def tree_votes(train: DataFrame, test: DataFrame, n: int = 10, seed: int = 42) -
 
 def forest_votes(train: DataFrame, test: DataFrame, n: int = 10, seed: int = 42) -> DataFrame:
     """(contig, cluster, votes): one forest of n trees, each on half of the rows; votes is the class share times n, rounded."""
-    names, model = _fit(train, RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=n, subsamplingRate=0.5, seed=seed, maxDepth=8))
+    names, model = _fit(train, RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=n, subsamplingRate=0.5, seed=seed, maxDepth=DEPTH))
     labels = F.array(*map(F.lit, names.labels))
     p = model.transform(test.withColumn("v", array_to_vector("features"))).select("contig", F.posexplode(vector_to_array("probability")).alias("i", "p"))
     return p.select("contig", F.element_at(labels, F.col("i") + 1).alias("cluster"), F.round(F.col("p") * n).cast("long").alias("votes")).filter("votes > 0")

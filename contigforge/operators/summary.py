@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import RANKS
 from .contigs import nx
 from .markers import cluster_markers, reference_markers
 from . import taxonomy as tax
@@ -33,8 +34,11 @@ def metabin_stats(bins: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def metabin_taxonomy(bins: DataFrame, lineages: DataFrame, tree: DataFrame) -> DataFrame:
-    """The taxon of each cluster by votes of its contigs' most specific classified taxon, a contig's weight being its length. bins has a taxid; lineages and tree are those of taxonomy."""
-    votes = bins.filter("cluster is not null and taxid is not null").join(tree.select("taxid", F.col("rank").alias("_rank")), "taxid", "left")
-    votes = votes.select(F.col("cluster").alias("contig"), F.coalesce("_rank", F.lit("root")).alias("rank"), "taxid", "length", "contig_order")
+    """The taxon of each cluster by votes of its contigs, a contig's weight being its length. A taxid counts at the lowest canonical rank of its lineage, or at the highest
+    if it has none, so that strains and clades have no advance over species. bins has a taxid; lineages and tree are those of taxonomy."""
+    path = tax.paths(tree)
+    votes = bins.filter("cluster is not null and taxid is not null").join(tax.canonical_self(tree, path), "taxid", "left")
+    rank = F.when(F.coalesce("top_rank", F.lit("root")) == "root", RANKS[-1]).otherwise(F.col("top_rank"))
+    votes = votes.select(F.col("cluster").alias("contig"), rank.alias("rank"), "taxid", "length", "contig_order")
     counted = votes.groupBy("contig", "rank", "taxid").agg(F.sum("length").alias("n"), F.min("contig_order").alias("first_seen"))
-    return tax.majority_vote(counted, tree).withColumnRenamed("contig", "cluster").join(lineages, "taxid", "left")
+    return tax.majority_vote(counted, tree, path).withColumnRenamed("contig", "cluster").join(lineages, "taxid", "left")

@@ -137,7 +137,7 @@ def blast_to_lca(hits: DataFrame, live: DataFrame, tree: DataFrame, dead: DataFr
     return rows.join(tree.select(F.col("taxid").alias("lca"), "name", "rank"), "lca", "left").select("qseqid", F.coalesce("name", F.lit(UNCLASSIFIED)).alias("name"), F.coalesce("rank", F.lit(UNCLASSIFIED)).alias("rank"), "lca")
 
 
-def _canonical_self(tree: DataFrame, path: DataFrame) -> DataFrame:
+def canonical_self(tree: DataFrame, path: DataFrame) -> DataFrame:
     """(taxid, top, top_rank): the nearest ancestor or self of a canonical rank, else the root."""
     rows = lineage_rows(tree, path).groupBy("taxid").agg(F.max_by(F.struct(F.col("ancestor").alias("top"), F.col("rank").alias("top_rank")), "depth").alias("_t"))
     return path.select("taxid").join(rows, "taxid", "left").select("taxid", F.coalesce("_t.top", F.lit(ROOT)).alias("top"), F.coalesce("_t.top_rank", F.lit("root")).alias("top_rank"))
@@ -149,7 +149,7 @@ def vote_counts(lcas: DataFrame, tree: DataFrame, path: DataFrame | None = None)
     order = F.col("line_no").cast("string") if "line_no" in lcas.columns else F.col("qseqid")
     order = F.lpad(order, 20, "0") if "line_no" in lcas.columns else order
     rows = lcas.select(orf_contig(F.col("qseqid")).alias("contig"), F.col("lca").alias("taxid"), order.alias("_o"))
-    rows = rows.join(_canonical_self(tree, path), "taxid")
+    rows = rows.join(canonical_self(tree, path), "taxid")
     return rows.groupBy("contig", F.col("top_rank").alias("rank"), F.col("top").alias("taxid")).agg(F.count("*").alias("n"), F.min("_o").alias("first_seen"))
 
 

@@ -141,10 +141,10 @@ def assembly_alignments(d: Domain) -> DataFrame:
     return readers.assembly_alignments(d.spark, path).select("contig", "reference", "identity")
 
 
-@query("SELECT concat('u', user_id) AS rank, count(*)::BIGINT AS n, coalesce(sum(gap), 0)::BIGINT AS seconds FROM (SELECT user_id, date_diff('second', date_trunc('second', ts), lead(date_trunc('second', ts)) OVER (ORDER BY date_trunc('second', ts), what)) AS gap FROM (SELECT user_id, ts, 'Examining u' || user_id || ': ' || event_id AS what FROM events)) GROUP BY user_id")
+@query("SELECT concat('u', user_id) AS rank, count(*)::BIGINT AS n, coalesce(sum(gap), 0)::BIGINT AS seconds FROM (SELECT user_id, date_diff('second', date_trunc('second', ts), lead(date_trunc('second', ts)) OVER (ORDER BY ts, event_id)) AS gap FROM events) GROUP BY user_id")
 def binning_log(d: Domain) -> DataFrame:
     path = scratch(d.spark, "log")
-    d.events.select(F.concat(F.lit("["), F.date_format("ts", "MM/dd/yyyy hh:mm:ss a"), F.lit(" INFO] core: "), F.concat(F.lit("Examining u"), "user_id", F.lit(": "), "event_id"))).coalesce(1).write.text(path)
+    d.events.select(F.concat(F.lit("["), F.date_format("ts", "MM/dd/yyyy hh:mm:ss a"), F.lit(" INFO] core: "), F.concat(F.lit("Examining u"), "user_id", F.lit(": "), "event_id")).alias("value"), "ts", "event_id").repartition(1).sortWithinPartitions("ts", "event_id").select("value").write.text(path)
     return legacy.log_rollup(readers.binning_log(d.spark, path)).select("rank", "n", F.coalesce("seconds", F.lit(0)).alias("seconds"))
 
 
@@ -153,8 +153,7 @@ def bin_folder_scan(d: Domain) -> DataFrame:
     path = scratch(d.spark, "bins")
     sequences = d.bins.select("contig", F.lit("ACGT").alias("sequence"))
     writers.cluster_fasta(sequences, d.bins, path)
-    rows = d.spark.read.option("recursiveFileLookup", "true").text(path).select(F.input_file_name().alias("f"), "value").filter("value like '>%'")
-    return rows.select(F.regexp_extract("f", "cluster=([^/]+)/", 1).alias("bin"), F.expr("substr(value, 2)").alias("contig"))
+    return readers.fasta_folder(d.spark, path)
 
 
 @query("SELECT rank, n FROM (SELECT coalesce(s.name, 'unclassified') AS rank, count(*)::BIGINT AS n FROM bins b LEFT JOIN tree t ON b.taxid = t.taxid LEFT JOIN tree p ON t.parent = p.taxid LEFT JOIN tree s ON p.parent = s.taxid GROUP BY 1)")
@@ -491,7 +490,7 @@ def binning_large_data(d: Domain) -> DataFrame:
     n = F.substring("contig", 2, 20).cast("long")
     finer = {r: F.concat(F.lit(r), F.substring("phylum", 7, 20), F.lit("_"), n % 4 ** (k + 1)) for k, r in enumerate(("class", "order", "family", "genus", "species"))}
     rows = _embedded(d, 16).withColumns(finer)
-    return clustering.guided_binning(rows, d.markers.select("sacc").distinct().count(), limits, max_partition=10000, embed=lambda rows: emb.reembed(rows, 2, 10, rounds=120))
+    return clustering.guided_binning(rows, d.markers.select("sacc").distinct().count(), limits, max_partition=10000, embed=lambda every, rows: emb.reembed(every, rows, 2, 10, rounds=120))
 
 
 def _recruitment(d: Domain) -> tuple[DataFrame, DataFrame, DataFrame]:

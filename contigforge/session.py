@@ -39,9 +39,11 @@ def get_session(name: str = "contigforge") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir, or where that is unset (tests) one of our own."""
+    """The folder that driver and executors share: the session's spark.checkpoint.dir, or where that is unset and all run in one process (tests) one of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(folder := tempfile.mkdtemp(prefix="checkpoints-"))
     return folder
 

@@ -17,10 +17,11 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fasta_folder(spark: SparkSession, path: str) -> DataFrame:
-    """(bin, contig) of a folder with a FASTA file for each bin; the bin is the file's name without its last suffix."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("f"), "value").filter(F.col("value").startswith(">"))
+    """(bin, contig) of a folder with a FASTA file, or a folder cluster=name of files, for each bin; a file's bin is its name without the last suffix."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.input_file_name().alias("f"), "value").filter(F.col("value").startswith(">"))
+    folder = F.url_decode(F.regexp_extract("f", "/cluster=([^/]+)/[^/]*$", 1))
     name = F.regexp_replace(F.substring_index("f", "/", -1), r"\.[^.]*$", "")
-    return lines.select(name.alias("bin"), F.substring_index(F.regexp_replace("value", "^>", ""), " ", 1).alias("contig"))
+    return lines.select(F.when(folder != "", folder).otherwise(name).alias("bin"), F.substring_index(F.regexp_replace("value", "^>", ""), " ", 1).alias("contig"))
 
 
 def combined_fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -163,8 +164,8 @@ def binning_log(spark: SparkSession, path: str) -> DataFrame:
 
     A line that names a rank and a taxon holds for the lines after it.
     """
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.regexp_extract("value", r"\[(\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2} [AP]M)", 1).alias("t"), F.regexp_extract("value", r"\]\s*(?:[\w.]+:)?\s*(.*)$", 1).alias("what"), F.regexp_extract("value", r"(?i)examining (?:taxonomy:? )?(\w+)\s*[:=]", 1).alias("r"), F.regexp_extract("value", r"(?i)examining taxonomy:? \w+\s*[:=]\s*([^:]+?)\s*(?::|$)", 1).alias("x")).filter("t <> ''")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), F.regexp_extract("value", r"\[(\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2} [AP]M)", 1).alias("t"), F.regexp_extract("value", r"\]\s*(?:[\w.]+:)?\s*(.*)$", 1).alias("what"), F.regexp_extract("value", r"(?i)examining (?:taxonomy:? )?(\w+)\s*[:=]", 1).alias("r"), F.regexp_extract("value", r"(?i)examining taxonomy:? \w+\s*[:=]\s*([^:]+?)\s*(?::|$)", 1).alias("x")).filter("t <> ''")
     rows = lines.withColumn("at", F.to_timestamp("t", "MM/dd/yyyy hh:mm:ss a"))
-    w = Window.partitionBy("file").orderBy("at", "what")
+    w = Window.partitionBy("file").orderBy("block", "line")  # as they stand in the file
     rows = rows.withColumn("rank", F.last(F.when(F.col("r") != "", F.col("r")), True).over(w)).withColumn("taxon", F.last(F.when(F.col("x") != "", F.col("x")), True).over(w))
     return rows.select("file", "at", "rank", "taxon", "what", (F.unix_timestamp(F.lead("at").over(w)) - F.unix_timestamp("at")).alias("seconds"))

@@ -208,6 +208,77 @@ def test_hdbscan():
     assert set(one.tolist()) <= {0, -1} and clustering.hdbscan(x[:1], 2).tolist() == [-1]
 
 
+def test_sweep_objective():
+    """The median counts clusters, not contigs: nine contigs at 30 % and three at 90 % give 60."""
+    n = 12
+    frame = pd.DataFrame({"contig": [f"c{i}" for i in range(n)], "features": [[0.0 if i < 9 else 50.0, 0.0] for i in range(n)], "coverage": 1.0, "gc_content": 50.0, "markers": [[f"m{i}"] if i < 3 else [f"m{k}" for k in range((i - 9) * 3, (i - 8) * 3)] if i >= 9 else [] for i in range(n)]})
+    group = clustering.Group(frame, 10)
+    rows, labels = np.arange(n), np.array([0] * 9 + [1] * 3)
+    metrics = group.metrics(rows, labels)
+    assert metrics["completeness"].tolist() == [30.0, 90.0] and group._median(metrics, clustering.Limits()) == 60.0
+    assert group._median(metrics, clustering.Limits(completeness=95)) == -np.inf
+
+
+def sweep_by_rule(group, limits, method):
+    """The sweep as the rules state it, over whole clusterings of each round."""
+    rows, x = np.arange(len(group.frame)), group.x
+    best, out, size, samples, most, eps, step, seen, zeros, n = -np.inf, None, 2, 1, 10_000, 0.3, 0.1, {}, 0, 2
+    while n > 1:
+        labels = components_by_search(x, eps) if method == "dbscan" else clustering.hdbscan(x, size, samples)
+        good = [m for _, m in group.metrics(rows, labels).iterrows() if m.completeness >= limits.completeness and m.purity >= limits.purity and m.coverage_stddev <= limits.coverage_stddev and m.gc_content_stddev <= limits.gc_content_stddev]
+        value = sorted(m.completeness for m in good)
+        median = (value[(len(value) - 1) // 2] + value[len(value) // 2]) / 2 if value else -np.inf
+        if median >= best:
+            best, out = median, labels
+        n = len({k for k in labels.tolist() if k >= 0})
+        if method == "dbscan":
+            seen[n] = seen.get(n, 0) + 1
+            step = step * 10 if seen[n] > 10 else step
+            zeros += median == 0
+            if zeros >= 10:
+                break
+            eps += step
+        else:
+            if size >= most:
+                size, samples = 2, samples + 1
+            else:
+                size += 10
+            size += 0 if value else 100
+            most *= 2 if samples >= 10 else 1
+    return out
+
+
+@pytest.mark.parametrize("method", ["dbscan", "hdbscan"])
+def test_sweeps_follow_the_rules(method):
+    r = np.random.default_rng(8)
+    limits = clustering.Limits(20, 60, 25, 5)
+    for _ in range(60):
+        n = int(r.integers(2, 60))
+        centre = r.normal(0, 4, (4, 2))
+        frame = pd.DataFrame({"contig": [f"c{i}" for i in range(n)], "features": [(centre[r.integers(4)] + r.normal(0, 0.4, 2)).tolist() for _ in range(n)], "coverage": r.normal(1, 0.2, n), "gc_content": r.normal(50, 2, n), "markers": [[f"m{k}" for k in r.choice(10, r.integers(0, 3), replace=False)] for _ in range(n)]})
+        group = clustering.Group(frame, 10)
+        got = getattr(group, f"sweep_{method}")(np.arange(n), limits)
+        assert got.tolist() == sweep_by_rule(group, limits, method).tolist()
+
+
+def test_binning_needs_markers_and_contigs(spark):
+    schema = "contig string, features array<double>, coverage double, gc_content double, markers array<string>, superkingdom string, row_pos int"
+    none = spark.createDataFrame([("a", [0.0], 1.0, 50.0, [], "b", 0), ("b", [0.0], 1.0, 50.0, None, "b", 1)], schema)
+    with pytest.raises(clustering.NoMarkersError):
+        clustering.guided_binning(none, 3)
+    with pytest.raises(clustering.BinningError):
+        clustering.guided_binning(spark.createDataFrame([("a", [0.0], 1.0, 50.0, ["m"], "b", 0)], schema), 3)
+
+
+def test_cluster_taxonomy_of_strains(spark):
+    """A short contig of a strain doesn't outvote a long one of another species."""
+    from contigforge.operators import summary, taxonomy
+
+    tree = spark.createDataFrame([(1, 1, "no rank", "root"), (2, 1, "superkingdom", "Bacteria"), (3, 2, "genus", "A"), (4, 3, "species", "A a"), (5, 4, "strain", "A a x"), (6, 3, "species", "A b")], "taxid int, parent int, rank string, name string")
+    bins = spark.createDataFrame([("c1", "bin", 5, 100, 0), ("c2", "bin", 6, 100_000, 1)], "contig string, cluster string, taxid int, length long, contig_order long")
+    assert summary.metabin_taxonomy(bins, taxonomy.lineage_frame(tree), tree).first().taxid == 6
+
+
 def test_binning(spark):
     r = np.random.default_rng(5)
     rows, k = [], 0
