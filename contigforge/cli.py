@@ -86,7 +86,7 @@ def binning(spark, a, most: int | None = None, embed=None) -> None:
 
 
 def binning_ldm(spark, a) -> None:
-    binning(spark, a, a.max_partition_size, lambda rows: embedding.reembed(rows, a.embedding_dimensions, a.pca_dimensions, seed=a.seed))
+    binning(spark, a, a.max_partition_size, lambda every, rows: embedding.reembed(every, rows, a.embedding_dimensions, a.pca_dimensions, seed=a.seed))
 
 
 def loginfo(spark, a) -> None:
