@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from .common import checkpoint
 
 
-def _digest(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return r.n, r.h
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars around their least nodes: a node is the larger end of one edge, or the smaller end of some."""
+    end = lambda k, n: F.struct(F.col(k).alias("node"), F.lit(n).alias("up"))
+    ends = edges.select(F.inline(F.array(end("u", 1), end("v", 0))))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n")).filter("up > 1 or (up = 1 and n > 1)").isEmpty()
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -29,12 +31,16 @@ def _small(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, component) of every node with an edge; component is the least node reachable. Loops and repeats are allowed.
 
-    The graph is written to the checkpoint folder after each round; only a count and a hash of it come to the driver.
+    The graph is written to the checkpoint folder after each round, until it is a forest of stars; only that comes to the driver.
     """
     a, b = F.col(u), F.col(v)
     now = checkpoint(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
-    before = None
-    while (seen := _digest(now)) != before:
-        before = seen
+    while not _settled(now):
         now = checkpoint(_small(_large(now)))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def renamed(table: DataFrame, column: str, step: DataFrame) -> DataFrame:
+    """table with the component that step = components() gives the node in this column, or the node itself where it has no edge."""
+    step = step.withColumnsRenamed({"node": column, "component": "_to"})
+    return table.join(step, column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")

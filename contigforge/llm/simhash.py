@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import batch, checkpoint, documents, map_batches, shuffle_partitions, stage, texts, worker_state
-from .components import components
+from .components import components, renamed
 
 SHINGLE = 3
 BITS = 3
@@ -243,18 +243,18 @@ def alike(sets: list[np.ndarray], query: np.ndarray, target: np.ndarray, known:
 
 
 def _compared(cells: DataFrame, similarity: float) -> DataFrame:
-    """(u, v): links found in each cell (g, i, j) of rows t, c (known component), query, target and s (set, as bytes)."""
+    """(u, v): known components linked in each cell (g, i, j) of rows c (known component), query, target and s (set, as bytes)."""
 
     def run(batches):
         held_key, held = None, []
 
         def close() -> pa.RecordBatch | None:
-            found = alike([np.frombuffer(h[4], "<u4") for h in held], np.array([h[2] for h in held]), np.array([h[3] for h in held]), np.array([h[1] for h in held]), similarity) if any(h[3] for h in held) else []
+            found = alike([np.frombuffer(h[3], "<u4") for h in held], np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.array([h[0] for h in held]), similarity) if any(h[2] for h in held) else []
             return batch(u=([held[q][0] for q, _ in found], pa.int64()), v=([held[t][0] for _, t in found], pa.int64())) if found else None
 
         for b in batches:
             keys = zip(*(b.column(k).to_pylist() for k in "gij"), strict=True)
-            for key, row in zip(keys, zip(*(b.column(k).to_pylist() for k in ("t", "c", "query", "target", "s")), strict=True), strict=True):
+            for key, row in zip(keys, zip(*(b.column(k).to_pylist() for k in ("c", "query", "target", "s")), strict=True), strict=True):
                 if key != held_key:
                     if held and (out := close()) is not None:
                         yield out
@@ -264,48 +264,48 @@ def _compared(cells: DataFrame, similarity: float) -> DataFrame:
             yield out
 
     by = ["g", "i", "j"]
-    return cells.select(*by, "t", "c", "query", "target", "s").repartition(shuffle_partitions(cells.sparkSession), *by).sortWithinPartitions(*by).mapInArrow(run, "u long, v long")
+    return cells.select(*by, "c", "query", "target", "s").repartition(shuffle_partitions(cells.sparkSession), *by).sortWithinPartitions(*by).mapInArrow(run, "u long, v long")
 
 
 def _each(n) -> Column:
     return F.explode(F.sequence(F.lit(0), n - 1))
 
 
-def compare(rows: DataFrame, links: DataFrame, similarity: float = COPY_SIMILARITY, size: int = SLICE, shingles: int = SLICE_SHINGLES) -> DataFrame:
-    """(u, v): links, and pairs at similarity or more inside the groups; together they connect all such pairs. rows: (t, g, s), a text, its group and its set as bytes.
+def compare(rows: DataFrame, links: DataFrame, similarity: float = COPY_SIMILARITY, size: int = SLICE, shingles: int = SLICE_SHINGLES) -> list[DataFrame]:
+    """Components of links and of the pairs at similarity or more inside the groups, in steps: each table (node, component) renames the components of the one before, the first those of links.
 
-    A group of up to a slice is one cell. In a larger one the texts of the first slice are held against all its texts first, which joins most copies in linear time;
-    then those outside the largest component that has come of it are held against all, slice by slice. So a pair is compared, or one component has both.
+    rows: (t, g, s), a text, its group and its set as bytes. A group of up to a slice is one cell. In a larger one the texts of the first slice are held against all its
+    texts first, which joins most copies in linear time; then those outside the largest component that has come of it are held against all, slice by slice. So a pair is
+    compared, or one component has both. What a step finds are edges between the components before it, a far smaller graph than all links.
     """
 
-    def named(table: DataFrame, links: DataFrame) -> DataFrame:
-        return table.join(components(links).withColumnsRenamed({"node": "t", "component": "c"}), "t", "left").withColumn("c", F.coalesce("c", "t"))
-
     def slices(n, s):
         return F.greatest(F.ceil(n / size), F.ceil(s / (4 * shingles)), F.lit(1)).cast("int")
 
     counts = F.count("*"), F.sum(F.octet_length("s"))
-    now = named(rows, links)
+    steps = [components(links)]
+    now = renamed(rows.withColumn("c", F.col("t")), "c", steps[0])
     groups = checkpoint(now.groupBy("g").agg(slices(*counts).alias("k"), F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("g", "k"))
     now = now.join(groups, "g")
     yes, no, none = F.lit(True), F.lit(False), F.lit(0)
-    one = now.filter("k = 1").select("g", none.alias("i"), none.alias("j"), "t", "c", yes.alias("query"), yes.alias("target"), "s")
+    one = now.filter("k = 1").select("g", none.alias("i"), none.alias("j"), "c", yes.alias("query"), yes.alias("target"), "s")
     large = now.filter("k > 1").withColumn("own", F.pmod(F.xxhash64("t"), "k").cast("int"))
     some = not groups.filter("k > 1").isEmpty()
     if some:
-        heads = large.filter("own = 0").select("g", none.alias("i"), _each(F.col("k")).alias("j"), "t", "c", yes.alias("query"), no.alias("target"), "s")
-        one = one.union(heads).union(large.select("g", none.alias("i"), F.col("own").alias("j"), "t", "c", no.alias("query"), yes.alias("target"), "s"))
-    links = checkpoint(links.union(_compared(one, similarity)))
+        heads = large.filter("own = 0").select("g", none.alias("i"), _each(F.col("k")).alias("j"), "c", yes.alias("query"), no.alias("target"), "s")
+        one = one.union(heads).union(large.select("g", none.alias("i"), F.col("own").alias("j"), "c", no.alias("query"), yes.alias("target"), "s"))
+    steps.append(components(_compared(one, similarity)))
     if not some:
-        return links
-    large = named(large.drop("c"), links)
+        return steps
+    large = renamed(large, "c", steps[1])
     main = large.groupBy("g", "c").count().groupBy("g").agg(F.max_by("c", F.struct("count", "c")).alias("main"))
     large = large.join(main, "g")
     left = large.filter("c <> main and own <> 0")
     rest = checkpoint(left.groupBy("g").agg(slices(*counts).alias("r")))
-    queries = left.join(rest, "g").select("g", F.pmod(F.xxhash64("t", F.lit(1)), "r").cast("int").alias("i"), _each(F.col("k")).alias("j"), "t", "c", yes.alias("query"), no.alias("target"), "s")
-    targets = large.join(rest, "g").select("g", _each(F.col("r")).alias("i"), F.col("own").alias("j"), "t", "c", no.alias("query"), yes.alias("target"), "s")
-    return checkpoint(links.union(_compared(queries.union(targets), similarity)))
+    queries = left.join(rest, "g").select("g", F.pmod(F.xxhash64("t", F.lit(1)), "r").cast("int").alias("i"), _each(F.col("k")).alias("j"), "c", yes.alias("query"), no.alias("target"), "s")
+    targets = large.join(rest, "g").select("g", _each(F.col("r")).alias("i"), F.col("own").alias("j"), "c", no.alias("query"), yes.alias("target"), "s")
+    steps.append(components(_compared(queries.union(targets), similarity)))
+    return steps
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = COPY_SIMILARITY, size: int = SLICE) -> DataFrame:
@@ -351,8 +351,9 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     keyed = source.select("text_hash", F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("none"), "text")
     wanted = keyed.join(asked, ["text_hash", "k", "none"]).dropDuplicates(["text_hash", "k", "none"])  # one exchange serves both
     held = stage(map_batches(wanted.select("text_hash", "g", "text"), sets, "t long, g long, s binary"), "near-copies-sets")
-    linked = components(compare(held, links, similarity, size))
-    named = different.join(linked.withColumnRenamed("node", "text_hash"), "text_hash", "left").select("text_hash", "first", F.coalesce("component", "text_hash").alias("root"))
+    named = different.select("text_hash", "first", F.col("text_hash").alias("root"))
+    for step in compare(held, links, similarity, size):
+        named = renamed(named, "root", step)
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.select("doc_id", "text_hash").join(named.join(least, "root").select("text_hash", "component_id"), "text_hash").select("doc_id", "text_hash", "component_id")
 
