@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -65,6 +66,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Frees the shuffle files and checkpoints of frames that are gone. Spark does so when the driver's garbage is collected, for which loops of many rounds can't wait."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -91,8 +98,6 @@ def worker_state(key, make: Callable[[], object]):
         emptied = bool(_held)
         _held.clear()
         if emptied:
-            import gc
-
             gc.collect()
             pa.default_memory_pool().release_unused()
             _trim()

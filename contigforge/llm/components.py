@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, release
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -37,6 +37,7 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     now = checkpoint(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
     while not _settled(now):
         now = checkpoint(_small(_large(now)))
+        release(edges.sparkSession)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
