@@ -17,6 +17,9 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -72,15 +75,30 @@ class View:
 
 
 class Memo:
-    """The shapes and features of words that a worker has met."""
+    """What a worker has met: the shape and feature of words, and the traits of shapes."""
 
     def __init__(self):
-        self.shape: dict[str, str] = {}
-        self.core: dict[str, int] = {}
+        self.word: dict[str, tuple[str, int]] = {}
+        self.shape: dict[str, tuple[bool, bool, int]] = {}
 
     def clear(self) -> None:
+        self.word.clear()
         self.shape.clear()
-        self.core.clear()
+
+    def meet(self, word: str) -> tuple[str, int]:
+        """shape and core of a word."""
+        out = intern(shape(word)), core(word)  # words share few shapes
+        if len(self.word) < 500_000:
+            self.word[word] = out
+        return out
+
+    def traits(self, name: str) -> tuple[bool, bool, int]:
+        """Of a shape: whether it has an exclamation mark, a mark as in View.marks, and the number of its feature."""
+        if (out := self.shape.get(name)) is None:
+            out = "!" in name, bool(_MARKED.search(name)), WORDS + zlib.crc32(name.encode()) % SHAPES
+            if len(self.shape) < 200_000:
+                self.shape[name] = out
+        return out
 
 
 _memo = Memo()
@@ -88,57 +106,51 @@ _memo = Memo()
 
 def shape(word: str) -> str:
     """Letters as A or a, digits as 0, runs folded."""
-    if (out := _memo.shape.get(word)) is None:
-        out = _RUN.sub(r"\1", word.encode().translate(_SHAPE).decode("latin-1"))
-        if len(_memo.shape) < 500_000:
-            _memo.shape[word] = out
-    return out
+    return _RUN.sub(r"\1", word.encode().translate(_SHAPE).decode("latin-1"))
+
 
+def core(word: str) -> int:
+    """The number of a word's feature, from its first run of letters and digits in lower case; -1 without one, and -2 - number for an insult."""
+    if not (found := _CORE.search(word)):
+        return -1
+    low = found.group().lower()
+    out = zlib.crc32(low.encode()) % WORDS
+    return -2 - out if low in INSULTS else out
 
-def view(text: str) -> tuple[View, set[int], Counter, int]:
+
+def view(text: str) -> tuple[View, set[int], dict[str, int], int]:
+    """The view of a text, the features of its words, how many words have each shape, and how many equal the word before."""
     words = text.split()
-    n = len(words)
-    counts = Counter(words)
-    shapes = Counter()
-    for w, k in counts.items():
-        shapes[shape(w)] += k
-    same = sum(map(str.__eq__, words, words[1:])) if n else 0
+    n, counts, shapes, insults = len(words), Counter(words), {}, 0
+    found = list(map(_memo.word.get, counts))
+    if None in found:
+        found = [f or _memo.meet(w) for f, w in zip(found, counts, strict=True)]
+    names, cores = zip(*found, strict=True) if found else ((), ())
+    for s, k in zip(names, counts.values(), strict=True):
+        shapes[s] = shapes.get(s, 0) + k
+    indices = set(cores)
+    indices.discard(-1)
+    if indices and min(indices) < 0:
+        insults = sum(k for i, k in zip(cores, counts.values(), strict=True) if i < -1)
+        indices = {i if i >= 0 else -i - 2 for i in indices}
+    same = sum(map(eq, words, islice(words, 1, None)))
     raw = text.encode()
     inked = len(raw.translate(None, _SPACE))
     upper = len(raw) - len(raw.translate(None, _UPPER)) + (0 if text.isascii() else len(_UPPER_BEYOND.findall(text)))
+    bang, marks = 0, 0
+    for s, k in shapes.items():
+        a, b, _ = _memo.traits(s)
+        bang += k * a
+        marks += k * b
     per = 1 / max(n, 1)
-    indices, insults = set(), 0
-    for w, k in counts.items():
-        i = core(w)
-        if i >= 0:
-            indices.add(i)
-        elif i < -1:
-            indices.add(-i - 2)
-            insults += k
     return (
         View(
-            n, upper / max(inked, 1), sum(k for s, k in shapes.items() if "!" in s) * per, sum(k for s, k in shapes.items() if _MARKED.search(s)) * per,
-            len(raw.translate(None, _USUAL)) / max(len(text), 1), counts.get("|", 0) * per, same * per, len(counts) * per, max(counts.values(), default=0) * per,
-            sum(k for w, k in counts.items() if len(w) <= 3) * per, (text.count(". ") + text.count(".\n") + text.endswith(".")) * per, insults,
+            n, upper / max(inked, 1), bang * per, marks * per, len(raw.translate(None, _USUAL)) / max(len(text), 1), counts.get("|", 0) * per, same * per, len(counts) * per,
+            max(counts.values(), default=0) * per, sum(k for w, k in counts.items() if len(w) <= 3) * per, (text.count(". ") + text.count(".\n") + text.endswith(".")) * per, insults,
         ), indices, shapes, same,
     )
 
 
-def core(word: str) -> int:
-    """The number of a word's feature, from its first run of letters and digits in lower case; -1 without one, and -2 - number for an insult."""
-    if (out := _memo.core.get(word)) is None:
-        if found := _CORE.search(word):
-            low = found.group().lower()
-            out = zlib.crc32(low.encode()) % WORDS
-            if low in INSULTS:
-                out = -2 - out
-        else:
-            out = -1
-        if len(_memo.core) < 500_000:
-            _memo.core[word] = out
-    return out
-
-
 _SPACE = b" \t\n\r\x0b\x0c"
 _UPPER = bytes(range(65, 91))
 _UPPER_BEYOND = re.compile(r"[À-ÖØ-Þ]")
@@ -164,21 +176,20 @@ LABELLERS = {
 _HARM = [LABELLERS["insulting"], LABELLERS["abusive"]]
 
 
-def features(v: View, indices: set[int], shapes: Counter, same: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of a text: 1 for each of its words and votes for HARMFUL, and shares of shapes, drawn towards 0 in short texts."""
-    n = max(v.words, 1)
-    index = sorted(indices)
-    value = [1.0] * len(index)
+def shares(v: View, shapes: dict[str, int], same: int) -> dict[int, float]:
+    """Features of a text beside its words: shares of shapes and of repeats, drawn towards 0 in short texts, and 1 for each vote for HARMFUL."""
+    per, out = 8.0 / (max(v.words, 1) + 5), {}
     for s, k in shapes.items():
-        index.append(WORDS + zlib.crc32(s.encode()) % SHAPES)
-        value.append(8.0 * k / (n + 5))
-    index.append(REPEATS)
-    value.append(8.0 * same / (n + 5))
-    for i, f in enumerate(_HARM):
-        if f(v) == HARMFUL:
-            index.append(VOTES + i)
-            value.append(1.0)
-    return np.array(index, np.int32), np.array(value, np.float32)
+        i = _memo.traits(s)[2]
+        out[i] = out.get(i, 0.0) + k * per
+    out[REPEATS] = same * per
+    return out | {VOTES + i: 1.0 for i, f in enumerate(_HARM) if f(v) == HARMFUL}
+
+
+def features(v: View, indices: set[int], shapes: dict[str, int], same: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of a text: 1 for each of its words, and its shares."""
+    beside = shares(v, shapes, same)
+    return np.array([*sorted(indices), *beside], np.int32), np.array([1.0] * len(indices) + [*beside.values()], np.float32)
 
 
 def pattern(v: View) -> int:
@@ -284,9 +295,10 @@ class Scorer:
     votes: VoteModel
     weights: dict[int, float]
 
-    def logit(self, index: np.ndarray, value: np.ndarray) -> float:
+    def logit(self, v: View, indices: set[int], shapes: dict[str, int], same: int) -> float:
+        """The weighted sum of features(); few of a text's words weigh, and only these are looked at."""
         get = self.weights.get
-        return get(BIAS, 0.0) + sum(w * x for i, x in zip(index.tolist(), value.tolist(), strict=True) if (w := get(i)) is not None)
+        return get(BIAS, 0.0) + sum(get(i) for i in sorted(self.weights.keys() & indices)) + sum(get(i, 0.0) * x for i, x in shares(v, shapes, same).items())
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Scorer:
@@ -314,8 +326,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: i
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             index, value, codes = [], [], []
             for t in b.column("text").to_pylist():
-                v, counts, shapes, same = view(t)
-                i, x = features(v, counts, shapes, same)
+                v, *found = view(t)
+                i, x = features(v, *found)
                 index.append(i.tobytes())
                 value.append(x.tobytes())
                 codes.append(pattern(v))
@@ -346,10 +358,9 @@ def score(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str =
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             n, z, codes = [], [], []
             for t in b.column("text").to_pylist():
-                v, counts, shapes, same = view(t)
-                i, x = features(v, counts, shapes, same)
+                v, *found = view(t)
                 n.append(v.words)
-                z.append(own.logit(i, x))
+                z.append(own.logit(v, *found))
                 codes.append(pattern(v))
             votes = votes_of(np.array(codes, np.int64))
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -371,8 +382,8 @@ def keep_good(df: DataFrame, scorer: Scorer, text_col: str = "text", reject: flo
         for b in batches:
             good = []
             for t in b.column(at).to_pylist():
-                v, indices, shapes, same = view(t or "")
-                good.append(v.words > 0 and own.logit(*features(v, indices, shapes, same)) <= limit)
+                v, *found = view(t or "")
+                good.append(v.words > 0 and own.logit(v, *found) <= limit)
             yield b.filter(pa.array(good, pa.bool_()))
 
     limit = float(np.log(reject / (1 - reject)))
