@@ -304,12 +304,13 @@ class Checkpoints:
         return {r.taxon for r in rows.select("taxon").distinct().collect()} if rows is not None else set()
 
 
-def guided_binning(contigs: DataFrame, expected: int, limits: Limits = Limits(), method: str = "dbscan", reverse_ranks: bool = False, start_rank: str = "superkingdom", max_partition: int | None = None, embed=None, store: Checkpoints | None = None) -> DataFrame:  # noqa: B008
+def guided_binning(contigs: DataFrame, expected: int, limits: Limits = Limits(), method: str = "dbscan", reverse_ranks: bool = False, start_rank: str = "superkingdom", max_partition: int | None = None, embed=None, store: Checkpoints | None = None, strict: bool = True) -> DataFrame:  # noqa: B008
     """(contig, cluster, metrics) by rounds over the ranks, coarse to fine or the other way: each taxon's contigs that have no bin yet are clustered.
 
     max_partition: taxa with more contigs that have no bin yet are left to finer ranks. embed: a function of a rank's contigs, all that are classified there and those
     to be clustered, that gives the second new features.
     store: where each rank's clusters are kept, so that a run that is started again goes on after the last finished rank.
+    strict: a run in which no cluster passes is an error; else its contigs come back without a bin.
     """
     if contigs.filter(F.size("markers") > 0).isEmpty():
         raise NoMarkersError("no contig has a marker: clusters cannot be judged")
@@ -336,6 +337,6 @@ def guided_binning(contigs: DataFrame, expected: int, limits: Limits = Limits(),
         new = checkpoint(reindex_bins(new, found).select("contig", F.col("bin").alias("cluster"), *METRICS))
         found += new.select("cluster").distinct().count()
         out = new if out is None else checkpoint(out.unionByName(new))
-    if not found:
+    if not found and strict:
         raise BinningError("no cluster was recovered")
     return contigs.select("contig").join(out, "contig", "left")
