@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 
 from ..session import ship
 
+#: Contigs up to which all pairs are taken; more are embedded as Barnes-Hut t-SNE does it, by near neighbours and an approximate repulsion.
+EXACT = 1024
+#: Elements of a block of distances; spacing of the grid for the repulsion, and its nodes a side beyond which pairs are summed instead.
+BLOCK, STEP, NODES = 4_000_000, 0.25, 2048
 METHODS = ("bhsne", "sksne", "umap", "densmap", "trimap")
 
 
@@ -33,20 +37,117 @@ def _joint(x: np.ndarray, perplexity: float) -> np.ndarray:
     return np.maximum((p + p.T) / (2 * n), 1e-12)
 
 
+def _neighbours(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the k nearest other rows of each row, and their squared distances."""
+    n = len(x)
+    x = x - x.mean(0)
+    at, d, square, rows = np.empty((n, k), np.int32), np.empty((n, k)), (x**2).sum(1), max(1, BLOCK // n)
+    for s in range(0, n, rows):
+        part = x[s : s + rows]
+        near = square - 2 * part @ x.T
+        near[np.arange(len(part)), np.arange(s, s + len(part))] = np.inf
+        at[s : s + rows] = np.argpartition(near, k - 1, axis=1)[:, :k]
+        d[s : s + rows] = sum((x[:, c][at[s : s + rows]] - part[:, c, None]) ** 2 for c in range(x.shape[1]))
+    return at, d
+
+
+def _affinities(d: np.ndarray, perplexity: float) -> np.ndarray:
+    """Shares of each row's neighbours, with the entropy of the perplexity."""
+    d = d - d.min(1, keepdims=True)
+    n, want = len(d), np.log(perplexity)
+    low, high, beta = np.full(n, -np.inf), np.full(n, np.inf), np.ones(n)
+    for _ in range(50):
+        p = np.exp(-d * beta[:, None])
+        s = p.sum(1)
+        up = np.log(s) + beta * (d * p).sum(1) / s > want
+        low, high = np.where(up, beta, low), np.where(up, high, beta)
+        beta = np.where(np.isinf(high), beta * 2, np.where(np.isinf(low), beta / 2, (low + high) / 2))
+    p = np.exp(-d * beta[:, None])
+    return p / p.sum(1, keepdims=True)
+
+
+def _repulsion(y: np.ndarray) -> tuple[float, np.ndarray]:
+    """The sum of 1 / (1 + d^2) over all pairs, and for each row that of differences over (1 + d^2)^2; blocks of rows at a time."""
+    total, out, square, rows = 0.0, np.empty_like(y), (y**2).sum(1), max(1, BLOCK // len(y))
+    for s in range(0, len(y), rows):
+        part = y[s : s + rows]
+        q = 1 / (1 + np.maximum(square[s : s + rows, None] + square - 2 * part @ y.T, 0))
+        total += q.sum() - len(part)
+        q *= q
+        out[s : s + rows] = q.sum(1)[:, None] * part - q @ y
+    return total, out
+
+
+class Grid:
+    """_repulsion of two dimensions by convolution on a grid of STEP, from and to which cubic polynomials interpolate. Kernels are kept while the size holds."""
+
+    def __init__(self):
+        self.size, self.kernels = 0, []
+
+    def __call__(self, y: np.ndarray) -> tuple[float, np.ndarray]:
+        cells = (y - y.min(0)) / STEP
+        need = int(cells.max()) + 4
+        if need > NODES:
+            return _repulsion(y)
+        if need > self.size:
+            self.size = next(m for m in sorted(a * 2**b for a in (8, 9, 10, 12, 15) for b in range(3, 9)) if m >= need)
+            i = np.arange(2 * self.size)
+            c = np.where(i < self.size, i, i - 2 * self.size) * STEP
+            q = 1 / (1 + c[:, None] ** 2 + c**2)
+            self.kernels = [np.fft.rfft2(k) for k in (q, c[:, None] * q**2, c * q**2)]
+        m, base = self.size, np.floor(cells).astype(np.int64)
+        t = cells - base
+        w = np.stack([-t * (t - 1) * (t - 2) / 6, (t + 1) * (t - 1) * (t - 2) / 2, -(t + 1) * t * (t - 2) / 2, (t + 1) * t * (t - 1) / 6], 2)
+        weight = (w[:, 0, :, None] * w[:, 1, None, :]).reshape(-1, 16)
+        at = ((base[:, 0] * m + base[:, 1])[:, None] + (np.arange(4)[:, None] * m + np.arange(4)).ravel()).astype(np.int64)
+        mass = np.fft.rfft2(np.bincount(at.ravel(), weight.ravel(), m * m).reshape(m, m), (2 * m, 2 * m))
+        fields = [(np.fft.irfft2(mass * k, (2 * m, 2 * m))[:m, :m].ravel()[at] * weight).sum(1) for k in self.kernels]
+        return float(fields[0].sum()) - len(y), np.column_stack(fields[1:])
+
+
+def _near_gradient(x: np.ndarray, dims: int, perplexity: float):
+    """A function of y and the exaggeration that gives the gradient, with affinities of three times as many neighbours as the perplexity."""
+    n = len(x)
+    at, d = _neighbours(x, min(n - 1, int(3 * perplexity)))
+    p = np.concatenate([_affinities(d[s : s + 10_000], perplexity) for s in range(0, n, 10_000)]) / (2 * n)
+    flat, repulsion = at.ravel(), Grid() if dims == 2 else _repulsion
+
+    def gradient(y: np.ndarray, more: float) -> np.ndarray:
+        apart = [y[:, c, None] - y[:, c][at] for c in range(dims)]
+        w = p / (1 + sum(a * a for a in apart))
+        total, pushed = repulsion(y)
+        for c, a in enumerate(apart):
+            a *= w
+            pushed[:, c] = more * (a.sum(1) - np.bincount(flat, a.ravel(), n)) - pushed[:, c] / total
+        return 4 * pushed
+
+    return gradient
+
+
+def _exact_gradient(x: np.ndarray, perplexity: float):
+    """The same over all pairs."""
+    p = _joint(x, perplexity)
+
+    def gradient(y: np.ndarray, more: float) -> np.ndarray:
+        q = 1 / (1 + ((y[:, None, :] - y[None, :, :]) ** 2).sum(2))
+        np.fill_diagonal(q, 0)
+        w = (p * more - q / q.sum()) * q
+        return 4 * (w.sum(1)[:, None] * y - w @ y)
+
+    return gradient
+
+
 def tsne(x: np.ndarray, dims: int = 2, perplexity: float = 30.0, rounds: int = 500, seed: int = 42) -> np.ndarray:
-    """Exact t-SNE with early exaggeration, momentum and gains."""
+    """t-SNE with early exaggeration, momentum and gains; memory grows with the rows, beyond EXACT of them."""
     n = len(x)
     if n <= 2:
         return np.arange(n)[:, None] * np.ones((1, dims))
-    p = _joint(x, clamp_perplexity(n, perplexity))
+    perplexity = clamp_perplexity(n, perplexity)
+    gradient = _exact_gradient(x, perplexity) if n <= EXACT else _near_gradient(x, dims, perplexity)
     y = np.random.default_rng(seed).normal(0, 1e-4, (n, dims))
     step, gain, rate = np.zeros_like(y), np.ones_like(y), max(n / 12 / 4, 50.0)
     for i in range(rounds):
-        d = ((y[:, None, :] - y[None, :, :]) ** 2).sum(2)
-        q = 1 / (1 + d)
-        np.fill_diagonal(q, 0)
-        w = (p * (12 if i < rounds // 4 else 1) - q / q.sum()) * q
-        grad = 4 * (w.sum(1)[:, None] * y - w @ y)
+        grad = gradient(y, 12 if i < rounds // 4 else 1)
         gain = np.maximum(np.where(np.sign(grad) != np.sign(step), gain + 0.2, gain * 0.8), 0.01)
         step = (0.5 if i < rounds // 4 else 0.8) * step - rate * gain * grad
         y += step
@@ -55,7 +156,7 @@ def tsne(x: np.ndarray, dims: int = 2, perplexity: float = 30.0, rounds: int = 5
 
 
 def embed(rows: DataFrame, dims: int = 2, method: str = "bhsne", perplexity: float = 30.0, seed: int = 42, by: str | None = None, rounds: int = 500) -> DataFrame:
-    """(by, contig, features) of dims numbers for the contigs of each group, a task each. Exact t-SNE serves both of its names; methods that need other libraries raise."""
+    """(by, contig, features) of dims numbers for the contigs of each group, a task each. One t-SNE serves both of its names; methods that need other libraries raise."""
     if method not in METHODS:
         raise ValueError(f"unknown method {method}; there are {', '.join(METHODS)}")
     if method not in ("bhsne", "sksne"):
