@@ -6,10 +6,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..session import ship
+from ..session import checkpoint, ship, spread
 
 #: Contigs up to which all pairs are taken; more are embedded as Barnes-Hut t-SNE does it, by near neighbours and an approximate repulsion.
-EXACT = 1024
+EXACT = 512
 #: Elements of a block of distances; spacing of the grid for the repulsion, and its nodes a side beyond which pairs are summed instead.
 BLOCK, STEP, NODES = 4_000_000, 0.25, 2048
 METHODS = ("bhsne", "sksne", "umap", "densmap", "trimap")
@@ -170,17 +170,18 @@ def embed(rows: DataFrame, dims: int = 2, method: str = "bhsne", perplexity: flo
         return pd.DataFrame({"taxon": str(key[0]), "contig": frame["contig"], "features": list(y)})
 
     grouped = rows.select((F.col(by) if by else F.lit("all")).cast("string").alias("taxon"), "contig", "features")
-    return grouped.groupBy("taxon").applyInPandas(run, "taxon string, contig string, features array<double>")
+    return spread(grouped, "taxon").groupBy("taxon").applyInPandas(run, "taxon string, contig string, features array<double>")
 
 
 def reembed(every: DataFrame, rows: DataFrame, dims: int = 2, pca_dims: int = 50, by: str = "taxon", method: str = "bhsne", seed: int = 42, rounds: int = 500) -> DataFrame:
     """rows with new features: those of an embedding of their group, or for groups of fewer than max(pca_dims, dims) + 1 contigs of one embedding of every, the contigs classified at the rank."""
     from pyspark.sql import functions as F
 
-    sizes = rows.groupBy(by).count()
-    large, small = (rows.join(sizes.filter(c).select(by), by, "left_semi") for c in (F.col("count") > max(pca_dims, dims), F.col("count") <= max(pca_dims, dims)))
+    points = checkpoint(rows.select(by, "contig", "features"))
+    sizes = points.groupBy(by).count()
+    large, small = (points.join(sizes.filter(c).select(by), by, "left_semi") for c in (F.col("count") > max(pca_dims, dims), F.col("count") <= max(pca_dims, dims)))
     parts = [embed(large, dims, method, seed=seed, by=by, rounds=rounds)]
     if not small.isEmpty():
         parts.append(embed(every, dims, method, seed=seed, rounds=rounds).join(small.select("contig"), "contig", "left_semi").select("taxon", "contig", "features"))
     new = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return rows.drop("features").join(new.select("contig", "features"), "contig")
+    return rows.drop("features").join(checkpoint(new.select("contig", "features")), "contig")
