@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import zero_padded
 from ..schemas import RANKS, UNCLASSIFIED
-from ..session import checkpoint, scratch, ship, spread
+from ..session import batches_of, checkpoint, scratch, ship, spread
 from .markers import METRICS
 
 
@@ -123,18 +123,21 @@ def dbscan(x: np.ndarray, eps: float) -> np.ndarray:
 def core_distances(x: np.ndarray, min_samples: int) -> np.ndarray:
     """The distance to the min_samples-th point, itself the first."""
     k = min(min_samples, len(x)) - 1
-    if k <= 0:
-        return np.zeros(len(x))
+    return near_distances(x, k + 1)[:, k] if k > 0 else np.zeros(len(x))
+
+
+def near_distances(x: np.ndarray, k: int) -> np.ndarray:
+    """Of each row the k least distances in order, itself the first."""
     columns = np.ascontiguousarray(x.T, float)
-    return np.array([np.partition(_distances(columns, p), k)[k] for p in x])
+    return np.array([np.sort(np.partition(_distances(columns, p), k - 1)[:k]) for p in x]).reshape(len(x), k)
 
 
 class Linkage:
     """The merges of a tree by weight; rows below a node lie side by side in order."""
 
-    def __init__(self, x: np.ndarray, min_samples: int):
+    def __init__(self, x: np.ndarray, core: np.ndarray | None = None):
         n = self.n = len(x)
-        tree = spanning_tree(x, core_distances(x, min_samples) if min_samples > 1 else None)
+        tree = spanning_tree(x, core)
         tree = tree[np.argsort(tree[:, 2], kind="stable"), :2].astype(int).tolist()
         parent, size, kids = list(range(2 * n - 1)), [1] * n, [(0, 0)] * n
         for new, (a, b) in enumerate(tree, n):
@@ -179,10 +182,10 @@ class Linkage:
 
 
 def hdbscan(x: np.ndarray, min_cluster_size: int = 2, min_samples: int = 1, linkage: Linkage | None = None) -> np.ndarray:
-    """Linkage.leaves of the points; none where there are fewer points than a cluster has. linkage: that of x and min_samples, if it is there."""
+    """Linkage.leaves of the points; none where there are fewer points than a cluster has. linkage: that of x and its core distances, if it is there."""
     if len(x) < max(min_cluster_size, 2):
         return np.full(len(x), -1)
-    return (linkage or Linkage(x, min_samples)).leaves(min_cluster_size)
+    return (linkage or Linkage(x, core_distances(x, min_samples))).leaves(min_cluster_size)
 
 
 class Group:
@@ -293,12 +296,15 @@ class Group:
         more; from MOST_SAMPLES on, each round doubles that size.
         """
         most, size, samples, best, out, n = MOST_SIZE, 2, 1, -np.inf, np.full(len(rows), -1), np.inf
-        x, linkage, of = self.x[rows], None, 0
+        x, linkage, of, near, before = self.x[rows], None, 0, None, None
         while n > 1:
             if of != samples and len(rows) >= max(size, 2):  # the tree is the same for all cluster sizes
-                linkage, of = Linkage(x, samples), samples
+                if samples > 1 and (near is None or near.shape[1] < min(samples, len(x))):
+                    near = near_distances(x, min(max(samples, MOST_SAMPLES), len(x)))
+                linkage, of = Linkage(x, near[:, min(samples, len(x)) - 1] if samples > 1 else None), samples
             labels = hdbscan(x, size, samples, linkage) if len(rows) > 1 else np.full(len(rows), -1)
-            median = self._median(self.metrics(rows, labels), limits)
+            if before is None or (labels != before).any():
+                median, before = self._median(self.metrics(rows, labels), limits), labels
             if median >= best:
                 best, out = median, labels
             n = len(set(labels[labels >= 0].tolist()))
@@ -459,9 +465,10 @@ def guided_binning(contigs: DataFrame, expected: int, limits: Limits = Limits(),
         if store and (kept := store.read(rank)) is not None and not kept.isEmpty():
             new = kept.drop("rank")
         else:
-            new = cluster_groups(left, expected, limits, method)
+            with batches_of(spark, 1000):
+                new = checkpoint(cluster_groups(left, expected, limits, method))
             if store:
-                store.write(rank, checkpoint(new))
+                store.write(rank, new)
         new = new.filter("cluster > 0")
         new = checkpoint(reindex_bins(new, found).select("contig", F.col("bin").alias("cluster"), *METRICS))
         found += new.select("cluster").distinct().count()
