@@ -26,9 +26,19 @@ def fasta_folder(spark: SparkSession, path: str) -> DataFrame:
 
 def combined_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(accession, description, sequence) of genome files, each record named by the assembly accession of its path and its own name."""
+    return _combined(spark.read.option("lineSep", "\n>").text(path).select(F.input_file_name().alias("path"), F.col("value").alias("r")))
+
+
+def combined_archive(spark: SparkSession, path: str) -> DataFrame:
+    """combined_fasta of genome files that lie in an archive of writers.fasta_archive: for genomes by the hundred thousand, too many for a file each."""
+    return _combined(spark.read.parquet(path).select("path", F.explode(F.split("content", "\n>")).alias("r")))
+
+
+def _combined(records: DataFrame) -> DataFrame:
+    """records: the path of the file, and a record of it."""
     from ..functions.sequences import genome_accession
 
-    records = spark.read.option("lineSep", "\n>").text(path).select(genome_accession(F.input_file_name()).alias("accession"), F.regexp_replace("value", "^>", "").alias("r")).filter(F.trim("r") != "")
+    records = records.select(genome_accession(F.col("path")).alias("accession"), F.regexp_replace("r", "^>", "").alias("r")).filter(F.trim("r") != "")
     return records.select("accession", F.concat("accession", F.lit(" "), F.substring_index("r", "\n", 1)).alias("description"), F.regexp_replace(F.expr("substr(r, length(substring_index(r, '\n', 1)) + 1)"), "\\s", "").alias("sequence"))
 
 

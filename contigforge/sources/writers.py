@@ -27,6 +27,12 @@ def fasta_by(contigs: DataFrame, by: str, path: str) -> None:
     contigs.select(by, record(F.col("contig"), F.col("sequence")).alias("value")).write.mode("error").partitionBy(by).text(path)
 
 
+def fasta_archive(contigs: DataFrame, by: str, path: str) -> None:
+    """FASTA files of fasta_by as one table (path, content), a row for each record, so that no store has to hold a folder and a file for each value."""
+    name = F.concat(F.lit(f"{by}="), F.col(by).cast("string"), F.lit(".fasta"))
+    contigs.select(name.alias("path"), F.concat(record(F.col("contig"), F.col("sequence")), F.lit("\n")).alias("content")).write.mode("error").parquet(path)
+
+
 def cluster_fasta(contigs: DataFrame, bins: DataFrame, path: str) -> None:
     """A folder for each cluster, unclustered for the rest."""
     rows = contigs.join(bins.select("contig", F.coalesce("cluster", F.lit("unclustered")).alias("cluster")), "contig")
