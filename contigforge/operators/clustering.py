@@ -56,23 +56,31 @@ def _distances(columns: np.ndarray, point: np.ndarray) -> np.ndarray:
 
 
 def spanning_tree(x: np.ndarray, core: np.ndarray | None = None) -> np.ndarray:
-    """Rows (a, b, weight) of a minimum spanning tree by distance, or by mutual reachability if core distances are given."""
+    """Rows (a, b, weight) of a minimum spanning tree by distance, or by mutual reachability if core distances are given.
+
+    One product tells which rows can come closer by a new point, with room for rounding; only theirs are worked out as distances.
+    """
     n = len(x)
-    out, columns, left = np.empty((max(n - 1, 0), 3)), np.ascontiguousarray(x.T, float), np.arange(n)
-    best, source, done = np.full(n, np.inf), np.zeros(n, np.int64), np.zeros(n, bool)
+    out, x = np.empty((max(n - 1, 0), 3)), np.ascontiguousarray(x, float)
+    middle = x - (x.mean(0) if n else 0)
+    square = (middle**2).sum(1)
+    room = 1e-12 * square.max(initial=0)
+    left, best, source, done = np.arange(n), np.full(n, np.inf), np.zeros(n, np.int64), np.zeros(n, bool)
+    near = np.column_stack([2 * middle, np.full(n, np.inf)])  # the last: square of the best distance less that of the row
     at = 0
     for k in range(n - 1):
-        name, point, done[at], best[at] = left[at], columns[:, at].copy(), True, np.inf
-        if k % 1024 == 1023 and 4 * done.sum() > len(done):  # what is in the tree is no longer looked at
+        name, done[at], best[at], near[at, -1] = left[at], True, np.inf, -np.inf
+        if k % 512 == 511 and 8 * done.sum() > len(done):  # what is in the tree is no longer looked at
             keep = ~done
-            columns, left, best, source, done = np.ascontiguousarray(columns[:, keep]), left[keep], best[keep], source[keep], done[keep]
-        d = _distances(columns, point)
+            left, best, source, done, near = left[keep], best[keep], source[keep], done[keep], near[keep]
+        some = np.flatnonzero(near @ np.append(middle[name], 1.0) >= square[name] - room) if np.isfinite(room) else np.flatnonzero(~done)
+        rows = left[some]
+        d = _distances(x[rows].T, x[name])
         if core is not None:
-            d = np.maximum(np.maximum(d, core[left]), core[name])
-        d[done] = np.inf
-        closer = d < best
-        source[closer] = name
-        np.minimum(best, d, out=best)
+            d = np.maximum(np.maximum(d, core[rows]), core[name])
+        closer = d < best[some]
+        some, d = some[closer], d[closer]
+        source[some], best[some], near[some, -1] = name, d, d * d - square[left[some]]
         at = int(best.argmin())
         if done[at]:  # distances that are no numbers below infinity
             at = int((~done).argmax())
