@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import library
+from .chunks import BLOCK_BYTES, library
 from .common import documents, map_batches, shared_dir, texts, tokenizer_path, worker_state
 
 BLOCK = 128
@@ -102,6 +103,19 @@ class Blocks:
 FILES = "shard int, segment int, shard_start long, doc_ids array<long>, n_tokens array<long>, payload binary"
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """The ids and texts of as many batches as hold BLOCK_BYTES."""
+    doc_ids, rows, size = [], [], 0
+    for b in batches:
+        doc_ids += b.column("doc_id").to_pylist()
+        rows += b.column("text").to_pylist()
+        size += b.nbytes
+        if size >= BLOCK_BYTES:
+            yield doc_ids, rows
+            doc_ids, rows, size = [], [], 0
+    yield doc_ids, rows
+
+
 def write(df: DataFrame, path: str, vocabulary: str, end_id: int, words: bool = True, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the shards of FILES under path: documents in ascending id order over all shards, each with the end id after its own ids."""
     end = int(end_id).to_bytes(4, "little")
@@ -115,8 +129,8 @@ def write(df: DataFrame, path: str, vocabulary: str, end_id: int, words: bool =
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["shard", "segment", "shard_start", "doc_ids", "n_tokens", "payload"])
 
         encoder = library(vocabulary, words)
-        for b in batches:
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text").to_pylist()), strict=True):
+        for doc_ids, rows in _gathered(batches):
+            for doc_id, ids in zip(doc_ids, encoder.encode(rows), strict=True):
                 held_ids.append(doc_id)
                 held.append(ids + end)
                 held_n.append(len(ids) // 4 + 1)

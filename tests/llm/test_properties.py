@@ -32,6 +32,43 @@ def test_chunks_are_the_library(texts, words):
     assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(TEXTS, max_size=6), st.sampled_from([1, 9, 60]))
+def test_words_in_blocks_are_the_library(texts, most):
+    path, whole = common.tokenizer_path("word_bpe_49k.json"), chunks.BLOCK_BYTES
+    texts = [*texts, " ".join(texts), "", "it'S 3.14,\tVoilà×2 “no”\r\n"]
+    chunks.BLOCK_BYTES = most
+    try:
+        got = [np.frombuffer(x, "<u4").tolist() for x in chunks.library(path, True).encode(texts)]
+    finally:
+        chunks.BLOCK_BYTES = whole
+    assert got == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_are_asked_for_once_a_block(monkeypatch):
+    """Case, white space and marks beside a word make no other chunk, and what comes again in a block isn't looked up again."""
+    asked = []
+
+    class Asked(chunks.Known):
+        def __getitem__(self, string):
+            asked.append(string)
+            return super().__getitem__(string)
+
+    monkeypatch.setattr(chunks, "Known", Asked)
+    path, texts = common.tokenizer_path("word_bpe_49k.json"), ["The cat, the Cat.\nTHE\tcat the,"] * 500
+    got = chunks.library(path, True, (11, 11)).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [Tokenizer.from_file(path).encode(texts[0], add_special_tokens=False).ids] * 500
+    assert sorted(asked) == [b",", b".", b"cat", b"the"]
+
+
+def test_pieces_of_numbers_are_remembered():
+    """Numbers are many different chunks of few different pieces; each piece is encoded once."""
+    made = []
+    words = chunks.Words(lambda texts: [], chunks._WORD_LEVEL, lambda p: made.append(p) or p.encode().ljust(4))
+    assert words.encode(["3.14 it's 41.3", "1431.4"]) == [b"3   .   1   4   it  's  4   1   .   3   ", b"1   4   3   1   .   4   "]
+    assert sorted(made) == ["'s", ".", "1", "3", "4", "it"]
+
+
 def test_a_full_memory_still_encodes(monkeypatch):
     monkeypatch.setattr(chunks, "REMEMBERED", 3)
     monkeypatch.setattr(chunks, "REMEMBERED_PIECES", 3)
