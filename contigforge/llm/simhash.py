@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, checkpoint, documents, map_batches, release, shuffle_partitions, stage, texts, worker_state
+from .common import batch, checkpoint, documents, make_room, map_batches, shuffle_partitions, stage, texts, worker_state
 from .components import components, renamed
 
 SHINGLE = 3
@@ -351,7 +351,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     keyed = source.select("text_hash", F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("none"), "text")
     wanted = keyed.join(asked, ["text_hash", "k", "none"]).dropDuplicates(["text_hash", "k", "none"])  # one exchange serves both
     held = stage(map_batches(wanted.select("text_hash", "g", "text"), sets, "t long, g long, s binary"), "near-copies-sets")
-    release(df.sparkSession)
+    make_room(df.sparkSession)
     named = different.select("text_hash", "first", F.col("text_hash").alias("root"))
     for step in compare(held, links, similarity, size):
         named = renamed(named, "root", step)

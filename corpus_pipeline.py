@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contigforge.llm import chunks, linededup, packing, quality, simhash, suffixes
-from contigforge.llm.common import BATCH_ROWS, shared_dir, tokenizer_path
+from contigforge.llm.common import BATCH_ROWS, make_room, shared_dir, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -19,7 +19,9 @@ def _documents(df: DataFrame) -> DataFrame:
     return df.select("doc_id", "text", "lang", "source", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n_chars"))
 
 
-def _ready(spark: SparkSession) -> None:
+def _ready(spark: SparkSession, workers: bool = True) -> None:
+    """Each stage begins with executors that hold little of the one before."""
+    make_room(spark, workers)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -32,6 +34,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without boilerplate lines, but for the first document that has one; a document of such lines alone stays, empty."""
+    _ready(spark, workers=False)  # this stage is native
     return _documents(linededup.remove_lines(docs.select(*COLUMNS)))
 
 
@@ -49,6 +52,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without passages of suffixes.LENGTH bytes or more that a document of smaller id has; emptied documents stay, empty."""
+    _ready(spark)
     return _documents(suffixes.remove_repeats(docs.select(*COLUMNS)))
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from contigforge.llm import components, fingerprints, linededup, quality, simhash, suffixes
+from contigforge.llm import common, components, fingerprints, linededup, quality, simhash, suffixes
 
 
 def sketch(text):
@@ -419,3 +419,24 @@ def test_pipeline(spark, docs, tmp_path):
     assert set(range(300, 360)) <= set(ids) and not any(i is not None and i >= 400 for i in ids) and len([i for i in ids if i in (4, 5)]) == 1
     out = pipeline.run(spark, str(tmp_path))
     assert out.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_pipeline_stages_make_room(spark, docs, monkeypatch):
+    """Before each stage and amid near copies, executors run a full collection of their own, so that no stage starts on what another left."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    monkeypatch.setattr(common, "release", lambda spark: None)  # the driver's own collection; here it has the executors' heap
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    full = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    for workers in (True, False):
+        before = full()
+        common.make_room(spark, workers)
+        assert full() > before
+    called, frame = [], docs[0](["a b c d e f", "a b c d e f", "g h i"])
+    for module in (pipeline, simhash):
+        monkeypatch.setattr(module, "make_room", lambda spark, workers=True: called.append(workers))
+    counts = []
+    for _, stage in pipeline.STAGES:
+        called.clear()
+        stage(spark, frame, "")
+        counts.append(list(called))
+    assert counts == [[True], [False], [True, True], [True], [True]]  # line dedup runs no Python
