@@ -10,8 +10,8 @@ from ..session import checkpoint, ship, spread
 
 #: Contigs up to which all pairs are taken; more are embedded as Barnes-Hut t-SNE does it, by near neighbours and an approximate repulsion.
 EXACT = 512
-#: Elements of a block of distances; spacing of the grid for the repulsion, and its nodes a side beyond which pairs are summed instead.
-BLOCK, STEP, NODES = 4_000_000, 0.25, 2048
+#: Elements of a block of distances, and of one of pulls, small enough for a core's cache; spacing of the grid for the repulsion, its most nodes a side, and the pairs that take as long as one node.
+BLOCK, PULL, STEP, NODES, NODE = 4_000_000, 65_536, 0.25, 2048, 30
 METHODS = ("bhsne", "sksne", "umap", "densmap", "trimap")
 
 
@@ -66,42 +66,62 @@ def _affinities(d: np.ndarray, perplexity: float) -> np.ndarray:
     return p / p.sum(1, keepdims=True)
 
 
-def _repulsion(y: np.ndarray) -> tuple[float, np.ndarray]:
-    """The sum of 1 / (1 + d^2) over all pairs, and for each row that of differences over (1 + d^2)^2; blocks of rows at a time."""
-    total, out, square, rows = 0.0, np.empty_like(y), (y**2).sum(1), max(1, BLOCK // len(y))
-    for s in range(0, len(y), rows):
-        part = y[s : s + rows]
-        q = 1 / (1 + np.maximum(square[s : s + rows, None] + square - 2 * part @ y.T, 0))
-        total += q.sum() - len(part)
+def _repulsion(y: np.ndarray, far: np.ndarray | None = None) -> tuple[float, np.ndarray]:
+    """The sum of 1 / (1 + d^2) over all pairs, and for each row that of differences over (1 + d^2)^2; blocks of rows at a time. With the indices far, only pairs that one of these rows is in."""
+    far, rest = np.arange(len(y)) if far is None else far, np.ones(len(y), bool)
+    rest[far] = False
+    total, out, square, rows = 0.0, np.zeros_like(y), (y**2).sum(1), max(1, BLOCK // len(y))
+    for s in range(0, len(far), rows):
+        at = far[s : s + rows]
+        part = y[at]
+        q = 1 / (1 + np.maximum(square[at, None] + square - 2 * part @ y.T, 0))
+        total += q.sum() - len(part) + q[:, rest].sum()
         q *= q
-        out[s : s + rows] = q.sum(1)[:, None] * part - q @ y
+        out[at] = q.sum(1)[:, None] * part - q @ y
+        if len(far) < len(y):
+            back = q[:, rest].T
+            out[rest] += back.sum(1)[:, None] * y[rest] - back @ part
     return total, out
 
 
 class Grid:
-    """_repulsion of two dimensions by convolution on a grid of STEP, from and to which cubic polynomials interpolate. Kernels are kept while the size holds."""
+    """_repulsion of two dimensions by convolution on a grid of STEP, from and to which cubic polynomials interpolate. Its size is the one that costs least with the pairs of the rows outside it, so that a few rows far away don't make it large. Kernels are kept while the size holds."""
+
+    sides = np.array(sorted(m for m in {a * 2**b for a in (8, 9, 10, 12, 15) for b in range(3, 9)} if m <= NODES))
 
     def __init__(self):
         self.size, self.kernels = 0, []
 
     def __call__(self, y: np.ndarray) -> tuple[float, np.ndarray]:
-        cells = (y - y.min(0)) / STEP
-        need = int(cells.max()) + 4
-        if need > NODES:
+        middle = np.quantile(y, (0.02, 0.98), axis=0).mean(0)
+        away, half = np.abs(y - middle).max(1), (self.sides - 4) * STEP / 2
+        outside = len(y) - np.searchsorted(np.sort(away), half)
+        cost = outside * len(y) + NODE * self.sides**2
+        k = int(cost.argmin())
+        if cost[k] >= len(y) ** 2:
             return _repulsion(y)
-        if need > self.size:
-            self.size = next(m for m in sorted(a * 2**b for a in (8, 9, 10, 12, 15) for b in range(3, 9)) if m >= need)
-            i = np.arange(2 * self.size)
-            c = np.where(i < self.size, i, i - 2 * self.size) * STEP
+        inside = away < half[k]
+        total, out = _repulsion(y, np.flatnonzero(~inside))
+        own, pushed = self._inside(y[inside] - (middle - half[k]), int(self.sides[k]))
+        out[inside] += pushed
+        return total + own, out
+
+    def _inside(self, y: np.ndarray, m: int) -> tuple[float, np.ndarray]:
+        """The same for rows on a grid of m nodes a side from 0 on."""
+        if m != self.size:
+            self.size = m
+            i = np.arange(2 * m)
+            c = np.where(i < m, i, i - 2 * m) * STEP
             q = 1 / (1 + c[:, None] ** 2 + c**2)
             self.kernels = [np.fft.rfft2(k) for k in (q, c[:, None] * q**2, c * q**2)]
-        m, base = self.size, np.floor(cells).astype(np.int64)
+        cells = y / STEP
+        base = np.floor(cells).astype(np.int64)
         t = cells - base
         w = np.stack([-t * (t - 1) * (t - 2) / 6, (t + 1) * (t - 1) * (t - 2) / 2, -(t + 1) * t * (t - 2) / 2, (t + 1) * t * (t - 1) / 6], 2)
         weight = (w[:, 0, :, None] * w[:, 1, None, :]).reshape(-1, 16)
         at = ((base[:, 0] * m + base[:, 1])[:, None] + (np.arange(4)[:, None] * m + np.arange(4)).ravel()).astype(np.int64)
         mass = np.fft.rfft2(np.bincount(at.ravel(), weight.ravel(), m * m).reshape(m, m), (2 * m, 2 * m))
-        fields = [(np.fft.irfft2(mass * k, (2 * m, 2 * m))[:m, :m].ravel()[at] * weight).sum(1) for k in self.kernels]
+        fields = [(np.fft.irfft(np.fft.ifft(mass * k, axis=0)[:m], 2 * m, axis=1)[:, :m].ravel()[at] * weight).sum(1) for k in self.kernels]
         return float(fields[0].sum()) - len(y), np.column_stack(fields[1:])
 
 
@@ -110,16 +130,24 @@ def _near_gradient(x: np.ndarray, dims: int, perplexity: float):
     n = len(x)
     at, d = _neighbours(x, min(n - 1, int(3 * perplexity)))
     p = np.concatenate([_affinities(d[s : s + 10_000], perplexity) for s in range(0, n, 10_000)]) / (2 * n)
-    flat, repulsion = at.ravel(), Grid() if dims == 2 else _repulsion
+    repulsion, rows = Grid() if dims == 2 else _repulsion, max(1, PULL // at.shape[1])
 
     def gradient(y: np.ndarray, more: float) -> np.ndarray:
-        apart = [y[:, c, None] - y[:, c][at] for c in range(dims)]
-        w = p / (1 + sum(a * a for a in apart))
         total, pushed = repulsion(y)
-        for c, a in enumerate(apart):
-            a *= w
-            pushed[:, c] = more * (a.sum(1) - np.bincount(flat, a.ravel(), n)) - pushed[:, c] / total
-        return 4 * pushed
+        pulled, columns = np.zeros_like(y), [np.ascontiguousarray(c) for c in y.T]
+        for s in range(0, n, rows):
+            near = at[s : s + rows].astype(np.intp)
+            apart = [c[s : s + rows, None] - c[near] for c in columns]
+            w = apart[0] * apart[0]
+            for a in apart[1:]:
+                w += a * a
+            w += 1
+            np.divide(p[s : s + rows], w, out=w)
+            for c, a in enumerate(apart):
+                a *= w
+                pulled[:, c] -= np.bincount(near.ravel(), a.ravel(), n)
+                pulled[s : s + rows, c] += a.sum(1)
+        return 4 * (more * pulled - pushed / total)
 
     return gradient
 
